@@ -1,0 +1,11 @@
+"""The queries of the core library and the SQL that each must equal."""
+
+from __future__ import annotations
+
+
+def queries() -> dict:
+    return {}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {}

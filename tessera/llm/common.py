@@ -140,3 +140,8 @@ def starts(*columns: np.ndarray) -> np.ndarray:
 
 def texts_of(column) -> list[str]:
     return [x or "" for x in column.to_pylist()]
+
+
+def column_ints(values: np.ndarray, cuts: np.ndarray, kind: pa.DataType) -> pa.Array:
+    """A list column: row i holds values[cuts[i]:cuts[i + 1]]."""
+    return pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(values, kind))

@@ -6,10 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import pieces
+from tessera.llm import decontam, linededup, pieces
 from tessera.llm.common import table
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.digest(decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), width=10))
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.digest(table(spark, sf_dir, "documents"), copies=3, least=20)
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(table(spark, sf_dir, "documents"), default_model(), keep_ids=False, keep_text=False)
 
@@ -22,6 +30,8 @@ def default_model() -> str:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_decontamination": op1_decontamination,
+        "op3_line_dedup": op3_line_dedup,
         "op7_sentencepiece": op7_sentencepiece,
     }
 

@@ -26,8 +26,9 @@ from pyspark.sql import DataFrame
 from tessera.llm.common import arrow_map, batch, prepare, texts_of
 
 MARK = "▁"
-_CACHED_PARTS = 300_000
-_CACHED_CHARS = 64
+#: Parts kept by a worker, in two generations of so many each.
+_CACHED_PARTS = 350_000
+_CACHED_CHARS = 40
 
 
 class Pieces:
@@ -64,9 +65,12 @@ class Pieces:
         self.cut_marks = not any(re.search(f"[^{MARK}]{MARK}", p) for p in self.id)
         self.cut_lines = not any("\n" in p and len(p) > 1 for p in self.id)
         self.pattern = re.compile(rf"\n|{MARK}+[^{MARK}\n]*|[^{MARK}\n]+" if self.cut_marks and self.cut_lines else r"(?s).+")
+        #: Two characters that stand together in no piece part a text.
+        self.inside = {p[i : i + 2] for p in self.id for i in range(len(p) - 1)}
         self.pairs: dict[tuple[str, str], bool] = {}
         self.known_ids: dict[str, str] = _Parts(self._ids_text)
-        self.known_text: dict[str, str] = _Parts(self._decoded_part)
+        #: Parts whose ids decode to another text than the part itself (with blanks for marks).
+        self.altered = 0
 
     def merged(self, text: str) -> list[str]:
         """The pieces that merging by score makes of a short text: the best pair first, the leftmost of equals."""
@@ -96,35 +100,43 @@ class Pieces:
         n = len(text)
         if n < 2:
             return [text] if n else []
-        lengths: list[list[int]] = [[] for _ in range(n)]  # at each start, ascending
+        if n == 2 or text in self.id:
+            whole = self.merged(text)
+            if len(whole) == 1 or n == 2:
+                return whole
+        longest = [1] * n
         for end, size in self.auto.iter(text):
-            lengths[end - size + 1].append(size)
-        failed, at, out, tried = bytearray(n // 8 + 1), 0, [], []
-        options = None
+            if size > longest[end - size + 1]:
+                longest[end - size + 1] = size
+        failed, known, pairs = bytearray(n // 8 + 1), self.id, self.pairs
+        at, out, sizes = 0, [], []
+        size = longest[0]
         while at < n:
-            if options is None:
-                options = lengths[at].copy()
-                if not options or options[0] != 1:
-                    options.insert(0, 1)
-            chosen = None
-            while options:
-                size = options.pop()
-                if failed[at + size >> 3] >> (at + size & 7) & 1:
-                    continue
-                piece = text[at : at + size]
-                if self.compatible(out[-1], piece) if out else (size == 1 or self.merged(piece) == [piece]):
-                    chosen = piece
-                    break
-            if chosen is not None:
-                out.append(chosen)
-                tried.append(options)
-                at += len(chosen)
-                options = None
+            while size:
+                end = at + size
+                piece = text[at:end]
+                if (size == 1 or piece in known) and not failed[end >> 3] >> (end & 7) & 1:
+                    if out:
+                        ok = pairs.get((out[-1], piece))
+                        if ok is None:
+                            ok = self.compatible(out[-1], piece)
+                    else:
+                        ok = size == 1 or self.merged(piece) == [piece]
+                    if ok:
+                        break
+                size -= 1
+            if size:
+                out.append(piece)
+                sizes.append(size)
+                at = end
+                size = longest[at] if at < n else 0
             else:
-                failed[at >> 3] |= 1 << (at & 7)  # a token that ends here was reached in its only valid way: no other prefix can lead on
-                last = out.pop()
-                at -= len(last)
-                options = tried.pop()
+                # the way to this place is the only valid one, so from here no way leads to the end
+                failed[at >> 3] |= 1 << (at & 7)
+                out.pop()
+                size = sizes.pop()
+                at -= size
+                size -= 1
         return out
 
     def part_ids(self, part: str) -> list[int]:
@@ -140,10 +152,15 @@ class Pieces:
         return out
 
     def _ids_text(self, part: str) -> str:
-        return "".join(f"{i}," for i in self.part_ids(part))
-
-    def _decoded_part(self, part: str) -> str:
-        return self.surface([int(x) for x in self.known_ids[part].split(",")[:-1]])
+        inside = self.inside
+        cuts = [i for i in range(1, len(part)) if part[i - 1 : i + 1] not in inside]
+        if cuts:
+            known = self.known_ids
+            return "".join([known[part[a:z]] for a, z in zip([0, *cuts], [*cuts, len(part)], strict=True)])
+        ids = self.part_ids(part)
+        if self.surface(ids) != part.replace(MARK, " "):
+            self.altered += 1
+        return "".join([f"{i}," for i in ids])
 
     def surface(self, ids) -> str:
         """The text of ids with marks as blanks; a prefix blank is kept. Bytes that are no UTF-8 give U+FFFD each."""
@@ -172,7 +189,8 @@ class Pieces:
         """(ids, each followed by a comma; decoded text)."""
         parts = self.parts(text)
         ids = "".join(map(self.known_ids.__getitem__, parts))
-        back = "".join(map(self.known_text.__getitem__, parts))
+        # every part's ids have been decoded when they were made; where all gave the part, so does the whole
+        back = self.surface([int(x) for x in ids.split(",")[:-1]]) if self.altered else "".join(parts).replace(MARK, " ")
         return ids, back[1:] if back.startswith(" ") else back
 
     def encode(self, text: str) -> list[int]:
@@ -199,16 +217,19 @@ def _utf8(held: bytearray) -> str:
 
 
 class _Parts(dict):
-    """Results by part. Long parts aren't kept, and the whole is emptied when full: memory stays bounded."""
+    """Results by part in two generations: the older one is dropped when the newer is full. Long parts aren't kept: memory stays bounded."""
 
     def __init__(self, make):
         super().__init__({"": ""})
-        self.make = make
+        self.make, self.old = make, {}
 
     def __missing__(self, part):
-        out = self.make(part)
+        out = self.old.get(part)
+        if out is None:
+            out = self.make(part)
         if len(part) <= _CACHED_CHARS:
             if len(self) >= _CACHED_PARTS:
+                self.old = dict(self)
                 self.clear()
                 self[""] = ""
             self[part] = out

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tessera.llm import decontam, linededup, pieces
+from tessera.llm import decontam, license_scan, linededup, pieces, suffixarray, topk, toxicity, urlfilter
 from tessera.llm.common import table
 
 
@@ -14,14 +15,40 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.digest(decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), width=10))
 
 
+def op2_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixarray.remove(table(spark, sf_dir, "documents"), width=400, keep=False)
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.digest(table(spark, sf_dir, "documents"), copies=3, least=20)
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # a page's outcome is the quality label of the same number
+    outcomes = table(spark, sf_dir, "labels").where("quality in (0, 1) and doc_id is not null").groupBy(F.col("doc_id").alias("page_id")).agg(F.min("quality").cast("long").alias("good"))
+    return urlfilter.judge(table(spark, sf_dir, "pages"), outcomes)
+
+
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    lexicon = toxicity.learn(docs, table(spark, sf_dir, "labels").where(~toxicity.held_out("doc_id")))
+    scored = toxicity.score(docs, lexicon)
+    return scored.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(table(spark, sf_dir, "documents"), default_model(), keep_ids=False, keep_text=False)
 
 
+def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.where("vec_id % 20 = 0"), k=20, scale=64.0)
+
+
 def default_model() -> str:
     import public_tokenizers
 
@@ -31,8 +58,13 @@ def default_model() -> str:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontamination": op1_decontamination,
+        "op2_suffix_array": op2_suffix_array,
         "op3_line_dedup": op3_line_dedup,
+        "op4_url_filter": op4_url_filter,
+        "op5_license_scan": op5_license_scan,
+        "op6_toxicity": op6_toxicity,
         "op7_sentencepiece": op7_sentencepiece,
+        "op9_top_k": op9_top_k,
     }
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontam, license_scan, linededup, pieces, suffixarray, topk, toxicity, urlfilter
+from tessera.llm import decontam, license_scan, linededup, pieces, suffixarray, suffixtree, topk, toxicity, urlfilter
 from tessera.llm.common import table
 
 
@@ -44,6 +44,10 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(table(spark, sf_dir, "documents"), default_model(), keep_ids=False, keep_text=False)
 
 
+def op8_suffix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixtree.remove(table(spark, sf_dir, "documents"), width=50, keep=False)
+
+
 def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return topk.top_k(vectors, vectors.where("vec_id % 20 = 0"), k=20, scale=64.0)
@@ -64,6 +68,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_license_scan": op5_license_scan,
         "op6_toxicity": op6_toxicity,
         "op7_sentencepiece": op7_sentencepiece,
+        "op8_suffix_trees": op8_suffix_trees,
         "op9_top_k": op9_top_k,
     }
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm import anchors
 from tessera.llm.anchors import RUN, merged, runs_of
-from tessera.llm.common import PACKED_DDL, Packer, arrow_map, batch, bucket_of, parts, prepare, small_join, starts, unpack, written
+from tessera.llm.common import Packer, arrow_map, batch, bucket_of, parts, prepare, small_join, starts, unpack, written
 from tessera.llm.wordcore import BASE, BASE_INV, BYTE_VALUE, chunks, column_bytes, mix, powers, sliding_min
 
 GRAM = 32

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontam, license_scan, linededup, pieces, suffixarray, suffixtree, topk, toxicity, urlfilter
+from tessera.llm import decontam, jaccard, license_scan, linededup, pieces, suffixarray, suffixtree, topk, toxicity, urlfilter
 from tessera.llm.common import table
 
 
@@ -53,6 +53,10 @@ def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, vectors.where("vec_id % 20 = 0"), k=20, scale=64.0)
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"), width=5, num=80, den=100)
+
+
 def default_model() -> str:
     import public_tokenizers
 
@@ -70,6 +74,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_sentencepiece": op7_sentencepiece,
         "op8_suffix_trees": op8_suffix_trees,
         "op9_top_k": op9_top_k,
+        "op10_jaccard_join": op10_jaccard_join,
     }
 
 

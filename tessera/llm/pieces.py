@@ -22,6 +22,9 @@ from functools import cache
 import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tessera.llm.common import arrow_map, batch, prepare, texts_of
 
@@ -241,8 +244,8 @@ def pieces(path: str) -> Pieces:
     return Pieces(path)
 
 
-def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = True, keep_text: bool = True) -> DataFrame:
-    """Encode and decode each text: id, n_tokens, ids_sha256, decoded_sha256, and the ids and the decoded text if wanted.
+def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = True, keep_text: bool = True, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Encode and decode each text: id, the columns to carry, n_tokens, ids_sha256, decoded_sha256, and the ids and the decoded text if wanted.
 
     One narrow pass: no exchange, bounded Arrow batches. Null and empty texts
     have no ids and decode to an empty text; repeated rows are encoded each; other columns of
@@ -251,14 +254,16 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
     prepare(docs.sparkSession)
     fields = [("n_tokens", pa.int64(), "long"), ("ids_sha256", pa.string(), "string"), ("decoded_sha256", pa.string(), "string")]
     fields += [("ids", pa.list_(pa.int32()), "array<int>")] * keep_ids + [("decoded", pa.string(), "string")] * keep_text
-    schema = pa.schema([("id", pa.int64()), *[(n, t) for n, t, _ in fields]])
+    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), *[F.col(c) for c in carry])
+    own = to_arrow_schema(source.drop("text").schema)
+    schema = pa.schema([*own, *[pa.field(n, t) for n, t, _ in fields]])
 
     def run(batches):
-        own = pieces(model_path)
+        model = pieces(model_path)
         for b in batches:
             n, ids_sha, text_sha, all_ids, all_text = [], [], [], [], []
             for text in texts_of(b.column(1)):
-                ids, back = own.encode_text(text)
+                ids, back = model.encode_text(text)
                 ids = ids[:-1]
                 n.append(ids.count(",") + 1 if ids else 0)
                 ids_sha.append(hashlib.sha256(ids.encode()).hexdigest())
@@ -267,7 +272,7 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
                     all_ids.append([int(x) for x in ids.split(",")] if ids else [])
                 if keep_text:
                     all_text.append(back)
-            yield batch(schema, b.column(0), n, ids_sha, text_sha, *[all_ids] * keep_ids, *[all_text] * keep_text)
+            yield batch(schema, b.column(0), *[b.column(2 + i).cast(own.field(1 + i).type) for i in range(len(carry))], n, ids_sha, text_sha, *[all_ids] * keep_ids, *[all_text] * keep_text)
 
-    out = arrow_map(docs.selectExpr(f"cast(`{id_col}` as long) id", f"cast(`{text_col}` as string) text"), run, "id long, " + ", ".join(f"{n} {t}" for n, _, t in fields))
-    return out.withColumnRenamed("id", id_col)
+    ddl = T.StructType([*source.drop("text").schema, *T._parse_datatype_string(", ".join(f"{n} {t}" for n, _, t in fields))])
+    return arrow_map(source, run, ddl).withColumnRenamed("id", id_col)

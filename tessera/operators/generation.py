@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.rollouts import ROLLOUT, failed
+from tessera.session import find_package
 
 
 class EchoClient:
@@ -34,6 +35,7 @@ def generate(prompts: DataFrame, client, n: int, retries: int = 3, wait: float =
     rows carry the error. Batches of one task go one after another, so the
     work in flight is bounded by the cluster's task slots.
     """
+    find_package(prompts.sparkSession)
     wide = prompts.select(*keys, "prompt", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("rollout_id"))
     schema = ", ".join(f"`{k}` {dict(wide.dtypes)[k]}" for k in keys) + ", rollout_id int, response string, error string"
 

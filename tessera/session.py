@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,3 +20,11 @@ def cut(df: DataFrame) -> DataFrame:
         own = df.sparkSession.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
         sc.setCheckpointDir(own or tempfile.mkdtemp(prefix="tessera-"))
     return df.checkpoint()
+
+
+def find_package(spark: SparkSession) -> None:
+    """Let Python workers that can see this machine's files find the package; elsewhere it must be installed or shipped."""
+    root = str(Path(__file__).resolve().parents[1])
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH", "")) if x)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import PACKED_DDL, Packer, arrow_map, batch, bucket_of, small_join, starts, unpack, written
+from tessera.llm.common import PACKED_DDL, Packer, arrow_map, batch, bucket_of, compact, small_join, starts, unpack
 from tessera.llm.wordcore import mix
 
 RUN = np.dtype([("m", np.uint64), ("f", np.uint64), ("doc", np.int64), ("t", np.int64), ("s", np.int32), ("n", np.int32), ("own", np.int8)])
@@ -36,7 +36,7 @@ def marked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc, t, text, rep): rep is the least doc of all rows with this text if there are several, else null."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text).alias("t"), F.xxhash64(F.lit(1), text).alias("u"), text.alias("text"))
-    copied = written(rows.groupBy("t", "u").agg(F.min("doc").alias("rep"), F.count("*").alias("n")).where("n > 1").select("t", "u", "rep"), "copies")
+    copied = compact(rows.groupBy("t", "u").agg(F.min("doc").alias("rep"), F.count("*").alias("n")).where("n > 1").select("t", "u", "rep"), "copies")
     return small_join(rows, copied, ["t", "u"], "left", MOST_COPIES).drop("u")
 
 

@@ -3,20 +3,28 @@
 from __future__ import annotations
 
 import atexit
+import os
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _written: list[tuple[SparkSession, str]] = []
+_held: list[DataFrame] = []
 
 
 def prepare(spark: SparkSession) -> None:
-    """Bound the Arrow batches that go to Python workers: by rows, and by bytes for long texts."""
+    """Bound the Arrow batches that go to Python workers: by rows, and by bytes for long texts. Let workers on this machine find the package."""
+    root = str(Path(__file__).resolve().parents[2])
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH", "")) if x)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     try:
         spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
@@ -46,9 +54,34 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def held(df: DataFrame) -> DataFrame:
+    """df kept on the executors' disks from its first use on: for what is used several times, as large as the input, and made from it in one pass. Lost parts are made again."""
+    out = df.persist(StorageLevel.DISK_ONLY)
+    _held.append(out)
+    return out
+
+
+def compact(df: DataFrame, name: str, per_file: int = 50_000) -> DataFrame:
+    """written(), in as many files as the rows need: for results whose number of rows is known only when they are there.
+
+    They are kept on the executors' disks just until they are counted and written.
+    """
+    first = df.persist(StorageLevel.DISK_ONLY)
+    try:
+        n = first.count()
+        return written(first.coalesce(max(1, -(-n // per_file))), name)
+    finally:
+        first.unpersist()
+
+
 @atexit.register
 def clean() -> None:
-    """Delete the tables that written() has left; call it when no result that reads them is in use."""
+    """Delete the tables that written() has left, and what held() keeps; call it when no result that reads them is in use."""
+    while _held:
+        try:
+            _held.pop().unpersist()
+        except Exception:  # noqa: BLE001  the session has ended
+            break
     while _written:
         spark, path = _written.pop()
         try:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import written
+from tessera.llm.common import compact
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -22,13 +22,13 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
 
 def components(links: DataFrame) -> DataFrame:
     """(node, component) of the nodes of links (a, b), where component is the smallest node reachable."""
-    edges = written(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges")
+    edges = compact(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges")
     before = None
     while True:
         r = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
         if not r.n or before == tuple(r):
             break
         before = tuple(r)
-        edges = written(_star(_star(edges, True), False), "edges")
+        edges = compact(_star(_star(edges, True), False), "edges")
     # at the end every node hangs on its component's least node
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("component"))).distinct()

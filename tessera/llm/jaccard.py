@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import PACKED_DDL, Packer, arrow_map, batch, bucket_of, parts, prepare, small_join, starts, unpack, written
+from tessera.llm.common import PACKED_DDL, Packer, arrow_map, batch, bucket_of, compact, held, parts, prepare, small_join, starts, unpack
 from tessera.llm.components import components
 from tessera.llm.wordcore import LOWER, SPACE, Words, chunks, column_bytes, inside_rows, mix, window_hashes
 
@@ -290,7 +290,7 @@ def possible(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
 
 def verified(pairs: DataFrame, texts: DataFrame, width: int, num: int, den: int) -> DataFrame:
     """The pairs (a, b) that are similar: each a is compared with blocks of at most about MEMBERS of its b."""
-    pairs = written(pairs, "pairs")
+    pairs = compact(pairs, "pairs")
     count = pairs.count()
     blocks = pairs.groupBy("a").agg((F.floor(F.count("*") / MEMBERS) + 1).alias("blocks"))
     dealt = small_join(pairs, blocks, "a", "inner", MOST).withColumn("block", F.pmod(F.xxhash64("b"), "blocks"))
@@ -331,19 +331,19 @@ def join(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, id_col:
     prepare(spark)
     buckets = 2 * parts(spark)
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    every = written(described(texts, width, num, den), "sets")
+    every = held(described(texts, width, num, den))
     some = every.where("n > 0 and doc is not null")
-    equal = written(some.groupBy("n", "f", "g").agg(F.min("doc").alias("rep"), F.count("*").alias("k")).where("k > 1").drop("k"), "classes")
+    equal = compact(some.groupBy("n", "f", "g").agg(F.min("doc").alias("rep"), F.count("*").alias("k")).where("k > 1").drop("k"), "classes")
     classed = small_join(every, equal, ["n", "f", "g"], "left", MOST)
     sets = classed.where("n > 0 and doc is not null and (rep is null or rep = doc)")
-    alike = written(sets.groupBy("n", "p").agg(F.min("doc").alias("leader"), F.count("*").alias("k")).where("k > 1").drop("k"), "groups")
+    alike = compact(sets.groupBy("n", "p").agg(F.min("doc").alias("leader"), F.count("*").alias("k")).where("k > 1").drop("k"), "groups")
     grouped = small_join(sets, alike, ["n", "p"], "left", MOST)
     leaders = grouped.where("leader is null or leader = doc")
-    live = written(shared_postings(postings(leaders, buckets), buckets), "live")
-    members = written(grouped.where("leader is not null").select("leader", "doc"), "members")
+    live = compact(shared_postings(postings(leaders, buckets), buckets), "live", 5_000)
+    members = compact(grouped.where("leader is not null").select("leader", "doc"), "members")
 
     first = centres(live, buckets, num, den).unionByName(members.where("leader <> doc").select(F.col("leader").alias("a"), F.col("doc").alias("b")))
-    links = written(verified(first, texts, width, num, den), "links")
+    links = compact(verified(first, texts, width, num, den), "links")
     comps = components(links)
     # candidates between components: groups' pairs expanded into members, and pairs inside a group
     wide = cross_pairs(live, comps, buckets, num, den)
@@ -360,7 +360,7 @@ def join(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, id_col:
         second = small_join(second, comps.select(F.col("node").alias(side), F.col("component").alias(f"c{side}")), side, "left", MOST)
     second = second.where("a <> b and coalesce(ca, a) <> coalesce(cb, b)").select("a", "b").distinct()
     links = links.unionByName(verified(possible(second, sets, num, den), texts, width, num, den))
-    comps = written(components(links), "components")
+    comps = compact(components(links), "components")
     node = F.coalesce("rep", "doc").alias("node")
     out = small_join(classed.select("doc", "n", node), comps, "node", "left", MOST)
     return out.select(F.col("doc").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "node").alias("component_id"))

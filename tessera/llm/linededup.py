@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import arrow_map, batch, column_ints, parts, prepare, starts, texts_of, written
+from tessera.llm.common import arrow_map, batch, compact, held, parts, prepare, starts, texts_of
 from tessera.llm.wordcore import BASE, BASE_INV, BYTE_VALUE, LOWER, SPACE, Words, chunks, column_bytes, mix, powers
 
 _CHUNK = 1 << 20
@@ -118,7 +118,7 @@ def dropped_lines(lines: DataFrame, copies: int, n: int) -> DataFrame:
             own = doc[at[g] : ends[g]]
             yield batch(schema, h1[at[g] : at[g] + 1], h2[at[g] : at[g] + 1], [None], [None], [None], [np.unique(own)[::-1][:copies].tolist()])
 
-    found = written(arrow_map(dealt, run, ddl), "lines")
+    found = compact(arrow_map(dealt, run, ddl), "lines", 200_000)
     sums = found.where("docs is not null").groupBy("h1", "h2").agg(F.array_distinct(F.flatten(F.collect_list("docs"))).alias("docs")).where(F.size("docs") >= copies).select("h1", "h2", F.array_max("docs").alias("keeper"))
     later = found.where("docs is null and h1 is not null").join(F.broadcast(sums), ["h1", "h2"]).where("doc <> keeper").select("doc", "row", "pos")
     return found.where("docs is null and h1 is null").select("doc", "row", "pos").unionByName(later)
@@ -135,7 +135,7 @@ def keep_bitmaps(docs: DataFrame, copies: int = 3, least: int = 20, id_col: str
     prepare(docs.sparkSession)
     n = parts(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text_col).alias("row"), F.col(text_col).cast("string").alias("text")).where("doc is not null and text is not null")
-    lines = written(line_records(rows, least), "keys")
+    lines = held(line_records(rows, least))
     drops = dropped_lines(lines, copies, n).groupBy("doc", "row").agg(F.collect_list("pos").alias("at"))
     schema = pa.schema([("doc", pa.int64()), ("row", pa.int64()), ("dropped", pa.binary())])
 

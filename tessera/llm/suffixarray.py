@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm import anchors
 from tessera.llm.anchors import RUN, merged, runs_of
-from tessera.llm.common import Packer, arrow_map, batch, bucket_of, parts, prepare, small_join, starts, unpack, written
+from tessera.llm.common import Packer, arrow_map, batch, bucket_of, compact, parts, prepare, small_join, starts, unpack
 from tessera.llm.wordcore import BASE, BASE_INV, BYTE_VALUE, chunks, column_bytes, mix, powers, sliding_min
 
 GRAM = 32
@@ -224,7 +224,7 @@ def resolve(shipped: DataFrame, width: int, buckets: int) -> DataFrame:
                 out.append(batch(schema, *none, *b.columns))
         return pa.Table.from_batches(out, schema)
 
-    found = written(shipped.groupBy("shard").applyInArrow(group, ddl), "repeats")
+    found = compact(shipped.groupBy("shard").applyInArrow(group, ddl), "repeats")
     plain = pa.schema([schema.field(i) for i in range(4)])
 
     def merge(t: pa.Table) -> pa.Table:
@@ -248,7 +248,7 @@ def resolve(shipped: DataFrame, width: int, buckets: int) -> DataFrame:
 def repeated_spans(texts: DataFrame, width: int, gram: int = GRAM, shard_bytes: int = SHARD_BYTES, cross_bytes: int = CROSS_BYTES) -> DataFrame:
     """(doc, t, starts, ends) of the texts of marked() rows that take part."""
     n = parts(texts.sparkSession)
-    live = written(anchors.live_runs(anchors.exchange_runs(texts, find_runs(width, min(gram, width)), 2 * n), False, cross_bytes), "runs")
+    live = compact(anchors.live_runs(anchors.exchange_runs(texts, find_runs(width, min(gram, width)), 2 * n), False, cross_bytes), "runs")
     size = live.where(F.col("kind") != anchors.FULL).agg(F.count("*").alias("n"), F.sum("n").alias("bytes")).first()
     shards = max(1, -(-(size.bytes or 0) // shard_bytes))
     found = resolve(anchors.regions(texts, live, size.n, shards, cut_bytes), width, 2 * n)
@@ -266,7 +266,7 @@ def remove(docs: DataFrame, width: int = 400, id_col: str = "doc_id", text_col:
     prepare(docs.sparkSession)
     rows = anchors.marked(docs, id_col, text_col)
     spans = repeated_spans(rows.where("octet_length(text) >= %d and doc is not null and (rep is null or rep = doc)" % width), width)
-    spans = written(spans, "spans")
+    spans = compact(spans, "spans")
     every = small_join(rows, spans, ["doc", "t"], "left", anchors.MOST_COPIES)
     schema = pa.schema([("id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), *[("kept", pa.binary())] * keep])
 

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm import anchors
 from tessera.llm.anchors import RUN, merged
-from tessera.llm.common import Packer, arrow_map, batch, bucket_of, parts, prepare, small_join, starts, unpack, written
+from tessera.llm.common import Packer, arrow_map, batch, bucket_of, compact, parts, prepare, small_join, starts, unpack
 from tessera.llm.wordcore import SAME, SPACE, WORD_BASE, Words, chunks, column_bytes, inside_rows, mix, powers, sliding_min, window_hashes
 
 GRAM = 10
@@ -211,7 +211,7 @@ def resolve(shipped: DataFrame, width: int, buckets: int) -> DataFrame:
                 out.append(batch(schema, *none, *b.columns))
         return pa.Table.from_batches(out, schema)
 
-    found = written(shipped.groupBy("shard").applyInArrow(group, "doc long, t long, s int, e int, bucket int, body binary"), "passages")
+    found = compact(shipped.groupBy("shard").applyInArrow(group, "doc long, t long, s int, e int, bucket int, body binary"), "passages")
 
     def merge(t: pa.Table) -> pa.Table:
         r = unpack(t, _NODE)
@@ -227,7 +227,7 @@ def resolve(shipped: DataFrame, width: int, buckets: int) -> DataFrame:
 
 def repeated_spans(texts: DataFrame, width: int, gram: int = GRAM, shard_words: int = SHARD_WORDS, cross_words: int = CROSS_WORDS) -> DataFrame:
     n = parts(texts.sparkSession)
-    live = written(anchors.live_runs(anchors.exchange_runs(texts, find_runs(width, min(gram, width)), 2 * n), True, cross_words), "runs")
+    live = compact(anchors.live_runs(anchors.exchange_runs(texts, find_runs(width, min(gram, width)), 2 * n), True, cross_words), "runs")
     size = live.where(F.col("kind") != anchors.FULL).agg(F.count("*").alias("n"), F.sum("n").alias("words")).first()
     shards = max(1, -(-(size.words or 0) // shard_words))
     return anchors.spans(live, resolve(anchors.regions(texts, live, size.n, shards, cut_words), width, 2 * n))
@@ -245,7 +245,7 @@ def remove(docs: DataFrame, width: int = 50, id_col: str = "doc_id", text_col: s
     """
     prepare(docs.sparkSession)
     rows = anchors.marked(docs, id_col, text_col)
-    found = written(repeated_spans(rows.where("text <> '' and doc is not null and (rep is null or rep = doc)"), width), "spans")
+    found = compact(repeated_spans(rows.where("text <> '' and doc is not null and (rep is null or rep = doc)"), width), "spans")
     every = small_join(rows, found, ["doc", "t"], "left", anchors.MOST_COPIES)
     schema = pa.schema([("id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), *[("kept", pa.string())] * keep])
 

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import small_join, written
+from tessera.llm.common import compact, small_join
 
 #: Fixed values: (verdict, host, path).
 RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
@@ -66,7 +66,7 @@ def reputation(pages: DataFrame, outcomes: DataFrame, suffixes=SUFFIXES) -> tupl
 
     pages: page_id, host. outcomes: page_id, good (0 or 1). Only labelled hosts have rows; all are sums of counts, computed map-side first.
     """
-    counted = written(levels(pages.join(outcomes, "page_id").groupBy("host").agg(F.sum("good").alias("good"), F.count("*").alias("n")), suffixes), "hosts")
+    counted = compact(levels(pages.join(outcomes, "page_id").groupBy("host").agg(F.sum("good").alias("good"), F.count("*").alias("n")), suffixes), "hosts")
     by = {k: counted.groupBy(*c).agg(F.sum("good").alias("good"), F.sum("n").alias("n")) for k, c in (("suffix", ["suffix"]), ("domain", ["domain", "suffix"]), ("host", ["host", "domain", "suffix"]))}
     total = counted.agg(F.sum("good").alias("good"), F.sum("n").alias("n")).first()
     overall = ((total.good or 0) + 1) / ((total.n or 0) + 2)

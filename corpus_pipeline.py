@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import decontam, jaccard, linededup, pieces, toxicity
-from tessera.llm.common import table, written
+from tessera.llm.common import compact, table, written
 from tessera.llm.queries import default_model
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -23,7 +23,7 @@ MOST_DROPPED = 150_000
 
 def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     """docs less the ids in dropped, which is broadcast if counted to be small, else joined by an exchange."""
-    ids = written(dropped.distinct(), "dropped")
+    ids = compact(dropped.distinct(), "dropped")
     return docs.join(F.broadcast(ids) if ids.count() <= MOST_DROPPED else ids, "doc_id", "left_anti").select(*COLUMNS)
 
 

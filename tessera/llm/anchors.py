@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import PACKED_DDL, Packer, arrow_map, batch, bucket_of, compact, small_join, starts, unpack
+from tessera.llm.common import PACKED_DDL, Packer, arrow_groups, arrow_map, batch, bucket_of, compact, small_join, starts, unpack
 from tessera.llm.wordcore import mix
 
 RUN = np.dtype([("m", np.uint64), ("f", np.uint64), ("doc", np.int64), ("t", np.int64), ("s", np.int32), ("n", np.int32), ("own", np.int8)])
@@ -98,7 +98,7 @@ def live_runs(packed: DataFrame, smaller: bool, limit: int) -> DataFrame:
             out.append(batch(schema, r["doc"][k], r["t"][k], r["s"][k], r["n"][k], r["m"][k].view(np.int64), blocks[k].astype(np.int32), np.full(len(k), kind, np.int8)))
         return pa.Table.from_batches(out)
 
-    return packed.groupBy("bucket").applyInArrow(group, "doc long, t long, s int, n int, m long, blocks int, kind tinyint")
+    return arrow_groups(packed.groupBy("bucket"), group, "doc long, t long, s int, n int, m long, blocks int, kind tinyint")
 
 
 def regions(texts: DataFrame, live: DataFrame, sent: int, shards: int, cut) -> DataFrame:

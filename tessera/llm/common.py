@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 import atexit
-import os
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.group_ops import PandasCogroupedOps
+
+from tessera.session import find_package
 
 _written: list[tuple[SparkSession, str]] = []
 _held: list[DataFrame] = []
@@ -21,10 +23,7 @@ _held: list[DataFrame] = []
 
 def prepare(spark: SparkSession) -> None:
     """Bound the Arrow batches that go to Python workers: by rows, and by bytes for long texts. Let workers on this machine find the package."""
-    root = str(Path(__file__).resolve().parents[2])
-    env = spark.sparkContext.environment
-    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
-        env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH", "")) if x)
+    find_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     try:
         spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
@@ -100,8 +99,43 @@ def parts(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    return df.mapInArrow(fn, schema)
+def tidy() -> None:
+    """Give freed memory back to the system: workers live on, beside the executor's heap."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    def run(batches):
+        try:
+            yield from fn(batches)
+        finally:
+            tidy()
+
+    return df.mapInArrow(run, schema)
+
+
+def arrow_groups(groups, fn: Callable[..., pa.Table], schema: str) -> DataFrame:
+    """fn over each group (or cogroup) as a table."""
+
+    def one(t: pa.Table) -> pa.Table:
+        large = t.nbytes > 1 << 20
+        out = fn(t)
+        if large:
+            del t
+            tidy()
+        return out
+
+    def two(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = fn(left, right)
+        if left.nbytes + right.nbytes > 1 << 20:
+            tidy()
+        return out
+
+    return groups.applyInArrow(two if isinstance(groups, PandasCogroupedOps) else one, schema)
 
 
 def small_semi(df: DataFrame, ids: DataFrame, key: str, most: int = 200_000, count: int | None = None) -> DataFrame:

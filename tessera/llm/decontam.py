@@ -31,7 +31,7 @@ SEPARATORS = np.zeros(256, np.bool_)
 SEPARATORS[[*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)]] = True
 SEPARATORS[0x41:0x5B] = False
 
-_SHARD_BYTES = 1 << 21
+_SHARD_BYTES = 1 << 20
 #: Test windows are sent to executors in blocks of at most so many bytes of test text.
 BLOCK_BYTES = 16 << 20
 
@@ -80,15 +80,18 @@ class Shard:
         self.postings = terms[order] << 32 | known[order]
         self.count = np.bincount(terms, minlength=len(vocabulary))
         self.begin = np.cumsum(self.count) - self.count
+        self.first = words.first
         self.row = np.repeat(np.arange(len(words.first) - 1), np.diff(words.first))
         self.n = len(h)
 
-    def near(self, term: np.ndarray, place: np.ndarray, slop: int) -> np.ndarray:
-        """Whether a posting of term is within slop of place."""
-        i = np.searchsorted(self.postings, term << 32 | np.maximum(place - slop, 0))
+    def near(self, term: np.ndarray, place: np.ndarray, row: np.ndarray, slop: int) -> np.ndarray:
+        """Whether a posting of term is within slop of place, in the same text."""
+        low = np.maximum(place - slop, self.first[row])
+        i = np.searchsorted(self.postings, term << 32 | low)
         i[i == len(self.postings)] = 0
         found = self.postings[i]
-        return (found >> 32 == term) & ((found & 0xFFFFFFFF) >= place - slop) & ((found & 0xFFFFFFFF) <= place + slop)
+        at = found & 0xFFFFFFFF
+        return (found >> 32 == term) & (at >= low) & (at <= np.minimum(place + slop, self.first[row + 1] - 1))
 
     def match(self, windows: Windows, slop: int = 0) -> tuple[np.ndarray, np.ndarray]:
         """(window, start) of the matches inside one text."""
@@ -116,7 +119,7 @@ class Shard:
                 break
             offset = order[window, rank]
             term = windows.terms[window, offset]
-            ok = (term < 0) | self.near(np.maximum(term, 0), start + offset, slop)
+            ok = (term < 0) | self.near(np.maximum(term, 0), start + offset, self.row[start], slop)
             window, start = window[ok], start[ok]
         if slop and len(window):  # the same place found from two postings of the rarest term
             both = np.unique(np.column_stack([window, start]), axis=0)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import PACKED_DDL, Packer, arrow_map, batch, bucket_of, compact, held, parts, prepare, small_join, starts, unpack
+from tessera.llm.common import PACKED_DDL, Packer, arrow_groups, arrow_map, batch, bucket_of, compact, held, parts, prepare, small_join, starts, unpack
 from tessera.llm.components import components
 from tessera.llm.wordcore import LOWER, SPACE, Words, chunks, column_bytes, inside_rows, mix, window_hashes
 
@@ -33,7 +33,7 @@ BINS = 256
 MEMBERS = 256
 MOST = 150_000
 MOST_PAIRS = 200_000
-_CHUNK = 1 << 20
+_CHUNK = 1 << 18
 _POST = np.dtype([("tok", np.uint64), ("gid", np.int64), ("n", np.int32), ("pos", np.int32)])
 _EDGE = np.dtype([("b", np.int64), ("a", np.int64), ("k", np.int32)])
 _LIVE = np.dtype([("tok", np.uint64), ("gid", np.int64), ("n", np.int32), ("pos", np.int32), ("comp", np.int64)])
@@ -86,7 +86,7 @@ def sketch(texts: DataFrame, width: int) -> np.ndarray:
         return pa.table({"bucket": t.column("bucket")[:1], "body": pa.array([bits.tobytes()], pa.binary())})
 
     out = np.zeros((pieces, 1 << _PIECE_BITS), np.uint8)
-    for r in arrow_map(texts.select("text"), run, PACKED_DDL).groupBy("bucket").applyInArrow(add, PACKED_DDL).collect():
+    for r in arrow_groups(arrow_map(texts.select("text"), run, PACKED_DDL).groupBy("bucket"), add, PACKED_DDL).collect():
         out[r.bucket] = np.frombuffer(r.body, np.uint8)
     return out.ravel()
 
@@ -99,7 +99,6 @@ def described(texts: DataFrame, width: int, num: int, den: int) -> DataFrame:
     def run(batches):
         rarity = order_of.value
         for b in batches:
-            doc = b.column(0).to_numpy(zero_copy_only=False)
             data, offsets = column_bytes(b.column(1))
             for i, j in chunks(offsets, _CHUNK):
                 o = offsets[i : j + 1]
@@ -122,7 +121,7 @@ def described(texts: DataFrame, width: int, num: int, den: int) -> DataFrame:
                     h = np.where(pos < np.repeat(length, n), mix(value + pos.astype(np.uint64)), np.uint64(0))
                     p[some] = np.add.reduceat(h, first[some])
                     prefix = [value[a : a + k].tobytes() if k > 0 and c else b"" for a, k, c in zip(first.tolist(), length.tolist(), n.tolist(), strict=True)]
-                yield batch(schema, doc[i:j], n, f.view(np.int64), g.view(np.int64), p.view(np.int64), prefix, [x.tobytes() for x in np.minimum(bins, 255).astype(np.uint8)])
+                yield batch(schema, b.column(0).slice(i, m), n, f.view(np.int64), g.view(np.int64), p.view(np.int64), prefix, [x.tobytes() for x in np.minimum(bins, 255).astype(np.uint8)])
 
     return arrow_map(texts, run, "doc long, n long, f long, g long, p long, prefix binary, bins binary")
 
@@ -163,7 +162,7 @@ def shared_postings(packed: DataFrame, buckets: int) -> DataFrame:
         list(pack.add(bucket_of(mix(r["gid"].view(np.uint64)), buckets), r))
         return pa.Table.from_batches(list(pack.flush()), pa.schema([("bucket", pa.int32()), ("body", pa.binary())]))
 
-    return packed.groupBy("bucket").applyInArrow(group, PACKED_DDL)
+    return arrow_groups(packed.groupBy("bucket"), group, PACKED_DDL)
 
 
 def centres(live: DataFrame, buckets: int, num: int, den: int) -> DataFrame:
@@ -205,7 +204,7 @@ def centres(live: DataFrame, buckets: int, num: int, den: int) -> DataFrame:
         e = e[starts(e["b"])]
         return pa.table({"a": pa.array(e["a"], pa.int64()), "b": pa.array(e["b"], pa.int64())})
 
-    return arrow_map(live, by_token, PACKED_DDL).groupBy("bucket").applyInArrow(edges, PACKED_DDL).groupBy("bucket").applyInArrow(best, "a long, b long")
+    return arrow_groups(arrow_groups(arrow_map(live, by_token, PACKED_DDL).groupBy("bucket"), edges, PACKED_DDL).groupBy("bucket"), best, "a long, b long")
 
 
 def cross_pairs(live: DataFrame, comps: DataFrame, buckets: int, num: int, den: int) -> DataFrame:
@@ -264,8 +263,8 @@ def cross_pairs(live: DataFrame, comps: DataFrame, buckets: int, num: int, den:
         return pa.Table.from_batches([batch(schema, p[:, 0], p[:, 1])])
 
     labels = arrow_map(comps.select("node", "component"), by_group, PACKED_DDL)
-    labelled = live.groupBy("bucket").cogroup(labels.groupBy("bucket")).applyInArrow(label, PACKED_DDL)
-    return labelled.groupBy("bucket").applyInArrow(pairs, "a long, b long").distinct()
+    labelled = arrow_groups(live.groupBy("bucket").cogroup(labels.groupBy("bucket")), label, PACKED_DDL)
+    return arrow_groups(labelled.groupBy("bucket"), pairs, "a long, b long").distinct()
 
 
 def possible(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -300,23 +299,21 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, num: int, den: int)
 
     def compare(t: pa.Table) -> pa.Table:
         data, offsets = column_bytes(t.column("text"))
-        out = []
-        centre = t.column("centre").to_numpy()
-        doc = t.column("doc").to_numpy()
-        row, value = shingle_sets(data, offsets, width)
-        n = np.bincount(row, minlength=len(doc))
-        first = np.cumsum(n) - n
+        centre, doc = t.column("centre").to_numpy(), t.column("doc").to_numpy()
+        out = np.zeros(0, np.int64)
         for c in np.flatnonzero(centre)[:1]:
-            own = value[first[c] : first[c] + n[c]]
-            if not len(own):
-                continue
-            k = np.minimum(np.searchsorted(own, value), len(own) - 1)
-            both = np.bincount(row[own[k] == value], minlength=len(doc))
-            hit = ~centre & (den * both >= num * (n + n[c] - both)) & (n > 0)
-            out = np.unique(doc[hit])
+            _, own = shingle_sets(data[offsets[c] : offsets[c + 1]], offsets[c : c + 2] - offsets[c], width)
+            for i, j in chunks(offsets, _CHUNK) if len(own) else ():
+                o = offsets[i : j + 1]
+                row, value = shingle_sets(data[o[0] : o[-1]], o - o[0], width)
+                n = np.bincount(row, minlength=j - i)
+                k = np.minimum(np.searchsorted(own, value), len(own) - 1)
+                both = np.bincount(row[own[k] == value], minlength=j - i)
+                hit = ~centre[i:j] & (den * both >= num * (n + len(own) - both)) & (n > 0)
+                out = np.union1d(out, doc[i:j][hit])
         return pa.Table.from_batches([batch(schema, np.full(len(out), t.column("a")[0].as_py()), np.asarray(out, np.int64))])
 
-    return rows.groupBy("a", "block").applyInArrow(compare, "a long, b long")
+    return arrow_groups(rows.groupBy("a", "block"), compare, "a long, b long")
 
 
 def join(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

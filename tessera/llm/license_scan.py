@@ -150,8 +150,8 @@ def oracle() -> str:
     pairs = ", ".join(f"({q(s)}, {q(n)})" for s, n in known.items())
     steps = ordered(RULES)
     sql = f"""WITH known(s, name) AS (VALUES {pairs}),
-cut AS (SELECT rn, doc_id, unnest(regexp_split_to_array(coalesce(text, ''), '\\n|[.!?]+[ \\t\\r]+')) AS part, generate_subscripts(regexp_split_to_array(coalesce(text, ''), '\\n|[.!?]+[ \\t\\r]+'), 1) AS at FROM (SELECT row_number() OVER () AS rn, * FROM documents)),
-ids AS (SELECT rn, list(name ORDER BY at) AS ids FROM cut JOIN known ON trim(regexp_replace(lower(part), '[^a-z0-9+]+', ' ', 'g')) = s GROUP BY rn),
+cut AS (SELECT rn, doc_id, unnest(regexp_split_to_array(coalesce(text, ''), '\\n|[.!?]+[ \\t\\r]+')) AS part, generate_subscripts(regexp_split_to_array(coalesce(text, ''), '\\n|[.!?]+[ \\t\\r]+'), 1) AS pos FROM (SELECT row_number() OVER () AS rn, * FROM documents)),
+ids AS (SELECT rn, list(name ORDER BY pos) AS ids FROM cut JOIN known ON trim(regexp_replace(lower(part), '[^a-z0-9+]+', ' ', 'g')) = s GROUP BY rn),
 s0 AS (SELECT d.doc_id, coalesce(len(ids), 0) AS n_known, coalesce(array_to_string(ids, ','), '') AS sentence_ids, CASE WHEN ids IS NULL THEN '' ELSE ',,' || array_to_string(ids, ',,') || ',,' END AS rest, '' AS names FROM (SELECT row_number() OVER () AS rn, doc_id FROM documents) d LEFT JOIN ids USING (rn))"""
     for i, (name, rule) in enumerate(steps):
         p = q("," + ",,".join(rule) + ",")

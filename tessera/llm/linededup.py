@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import arrow_map, batch, compact, held, parts, prepare, starts, texts_of
 from tessera.llm.wordcore import BASE, BASE_INV, BYTE_VALUE, LOWER, SPACE, Words, chunks, column_bytes, mix, powers
 
-_CHUNK = 1 << 20
+_CHUNK = 1 << 18
 BASE2 = np.uint64(0xC2B2AE3D27D4EB4F)
 BASE2_INV = np.uint64(pow(int(BASE2), -1, 2**64))
 #: \n alone parts lines.

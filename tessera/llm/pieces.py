@@ -30,7 +30,7 @@ from tessera.llm.common import arrow_map, batch, prepare, texts_of
 
 MARK = "▁"
 #: Parts kept by a worker, in two generations of so many each.
-_CACHED_PARTS = 350_000
+_CACHED_PARTS = 250_000
 _CACHED_CHARS = 40
 
 
@@ -93,7 +93,7 @@ class Pieces:
         key = (a, b)
         ok = self.pairs.get(key)
         if ok is None:
-            if len(self.pairs) >= 500_000:
+            if len(self.pairs) >= _CACHED_PARTS:
                 self.pairs.clear()
             ok = self.pairs[key] = self.merged(a + b) == [a, b]
         return ok

@@ -24,13 +24,13 @@ from pyspark.sql import functions as F
 
 from tessera.llm import anchors
 from tessera.llm.anchors import RUN, merged, runs_of
-from tessera.llm.common import Packer, arrow_map, batch, bucket_of, compact, parts, prepare, small_join, starts, unpack
+from tessera.llm.common import Packer, arrow_groups, arrow_map, batch, bucket_of, compact, parts, prepare, small_join, starts, unpack
 from tessera.llm.wordcore import BASE, BASE_INV, BYTE_VALUE, chunks, column_bytes, mix, powers, sliding_min
 
 GRAM = 32
 SHARD_BYTES = 3 << 20
 CROSS_BYTES = 6 << 20
-_CHUNK = 1 << 20
+_CHUNK = 1 << 18
 BASE2 = np.uint64(0xC2B2AE3D27D4EB4F)
 BASE2_INV = np.uint64(pow(int(BASE2), -1, 2**64))
 _CROSS = np.dtype([("h", np.uint64), ("g", np.uint64), ("doc", np.int64), ("t", np.int64), ("s", np.int32), ("n", np.int8)])
@@ -224,7 +224,7 @@ def resolve(shipped: DataFrame, width: int, buckets: int) -> DataFrame:
                 out.append(batch(schema, *none, *b.columns))
         return pa.Table.from_batches(out, schema)
 
-    found = compact(shipped.groupBy("shard").applyInArrow(group, ddl), "repeats")
+    found = compact(arrow_groups(shipped.groupBy("shard"), group, ddl), "repeats")
     plain = pa.schema([schema.field(i) for i in range(4)])
 
     def merge(t: pa.Table) -> pa.Table:
@@ -241,7 +241,7 @@ def resolve(shipped: DataFrame, width: int, buckets: int) -> DataFrame:
         hits = asks[np.bincount(owner[r["g"][there] == asks["g"][owner]], minlength=len(asks)) > 1]
         return pa.Table.from_batches([batch(plain, hits["doc"], hits["t"], hits["s"], (hits["s"] + width).astype(np.int32))])
 
-    crossed = found.where("body is not null").select("bucket", "body").groupBy("bucket").applyInArrow(merge, "doc long, t long, s int, e int")
+    crossed = arrow_groups(found.where("body is not null").select("bucket", "body").groupBy("bucket"), merge, "doc long, t long, s int, e int")
     return found.where("body is null").select("doc", "t", "s", "e").unionByName(crossed)
 
 

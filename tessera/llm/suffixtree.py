@@ -26,14 +26,14 @@ from pyspark.sql import functions as F
 
 from tessera.llm import anchors
 from tessera.llm.anchors import RUN, merged
-from tessera.llm.common import Packer, arrow_map, batch, bucket_of, compact, parts, prepare, small_join, starts, unpack
+from tessera.llm.common import Packer, arrow_groups, arrow_map, batch, bucket_of, compact, parts, prepare, small_join, starts, unpack
 from tessera.llm.wordcore import SAME, SPACE, WORD_BASE, Words, chunks, column_bytes, inside_rows, mix, powers, sliding_min, window_hashes
 
 GRAM = 10
 SHARD_WORDS = 400_000
 CROSS_WORDS = 800_000
 GROUP_SUFFIXES = 100_000
-_CHUNK = 1 << 20
+_CHUNK = 1 << 18
 _INVERSE = np.uint64(pow(int(WORD_BASE), -1, 2**64))
 _NODE = np.dtype([("h", np.uint64), ("g", np.uint64), ("doc", np.int64), ("t", np.int64), ("s", np.int32), ("n", np.int8)])
 
@@ -211,7 +211,7 @@ def resolve(shipped: DataFrame, width: int, buckets: int) -> DataFrame:
                 out.append(batch(schema, *none, *b.columns))
         return pa.Table.from_batches(out, schema)
 
-    found = compact(shipped.groupBy("shard").applyInArrow(group, "doc long, t long, s int, e int, bucket int, body binary"), "passages")
+    found = compact(arrow_groups(shipped.groupBy("shard"), group, "doc long, t long, s int, e int, bucket int, body binary"), "passages")
 
     def merge(t: pa.Table) -> pa.Table:
         r = unpack(t, _NODE)
@@ -221,7 +221,7 @@ def resolve(shipped: DataFrame, width: int, buckets: int) -> DataFrame:
         hits = r[(r["n"] == 1) & (least < r["doc"])]
         return pa.Table.from_batches([batch(plain, hits["doc"], hits["t"], hits["s"], (hits["s"] + width).astype(np.int32))])
 
-    crossed = found.where("body is not null").select("bucket", "body").groupBy("bucket").applyInArrow(merge, "doc long, t long, s int, e int")
+    crossed = arrow_groups(found.where("body is not null").select("bucket", "body").groupBy("bucket"), merge, "doc long, t long, s int, e int")
     return found.where("body is null").select("doc", "t", "s", "e").unionByName(crossed)
 
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import PACKED_DDL, Packer, arrow_map, batch, parts, prepare, unpack
+from tessera.llm.common import PACKED_DDL, Packer, arrow_groups, arrow_map, batch, parts, prepare, unpack
 
 LEAF = 64
 SHARD = 8192
@@ -222,4 +222,4 @@ def _block(c: DataFrame, rows, seed, width: int, k: int, buckets: int) -> DataFr
         h = best(unpack(t, _HIT), k)
         return pa.Table.from_batches([batch(schema, sent.value[0][h["q"]], (ranks(h["q"]) + 1).astype(np.int32), h["id"], h["score"])])
 
-    return arrow_map(c, run, PACKED_DDL).groupBy("bucket").applyInArrow(merge, "query_id long, rank int, id long, score long")
+    return arrow_groups(arrow_map(c, run, PACKED_DDL).groupBy("bucket"), merge, "query_id long, rank int, id long, score long")

@@ -25,19 +25,20 @@ BASE_INV = np.uint64(pow(int(BASE), -1, 2**64))
 WORD_BASE = np.uint64(0xD6E8FEB86659FD93)
 
 _powers: dict[int, np.ndarray] = {}
+_KEPT_POWERS = 1 << 19
 
 
 def powers(base: np.uint64, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64; kept, and grown by doubling."""
+    """base**0 .. base**(n-1) modulo 2**64. Short runs of them are kept; long ones, for a very long text, are made anew."""
     key = int(base)
     have = _powers.get(key)
     if have is None or len(have) < n:
-        size = 1 << max(10, int(n - 1).bit_length())
-        have = np.empty(size, np.uint64)
+        have = np.empty(max(n, _KEPT_POWERS), np.uint64)
         have[0] = 1
         have[1:] = base
         np.multiply.accumulate(have, out=have)
-        _powers[key] = have
+        if n <= _KEPT_POWERS:
+            _powers[key] = have
     return have[:n]
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,9 +33,6 @@ def usable(width: Column, height: Column, least: int = SHORT, ratio: float = 8.0
 
 def sharpness(images: DataFrame) -> DataFrame:
     """images of Spark's image source with spread (variance of grey values; near 0: blank) and edges (variance of the Laplacian; low: blurry)."""
-    import numpy as np
-    import pandas as pd
-
     @F.pandas_udf("spread double, edges double")
     def measure(h: pd.Series, w: pd.Series, ch: pd.Series, data: pd.Series) -> pd.DataFrame:
         out = []
@@ -52,9 +51,6 @@ def sharpness(images: DataFrame) -> DataFrame:
 
 def difference_hash(images: DataFrame) -> DataFrame:
     """images with dhash: 64 bits of brighter-than-right-neighbour over a 9 x 8 reduction."""
-    import numpy as np
-    import pandas as pd
-
     @F.pandas_udf("long")
     def hashed(h: pd.Series, w: pd.Series, ch: pd.Series, data: pd.Series) -> pd.Series:
         out = []

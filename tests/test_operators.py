@@ -139,3 +139,48 @@ def test_projection_is_pruned_and_filter_pushed(spark, tmp_path):
     spark.range(10).withColumn("text", F.lit("x")).write.parquet(p)
     plan = spark.read.parquet(p).where("id > 5").select("id")._jdf.queryExecution().toString()
     assert "ReadSchema: struct<id:bigint>" in plan and "GreaterThan(id,5)" in plan
+
+
+IMAGE = "image struct<origin: string, height: int, width: int, nChannels: int, mode: int, data: binary>"
+
+
+def test_images(spark):
+    from tessera.functions import vision
+
+    flat, steps = bytes([90] * 20 * 20 * 3), bytes((i % 20) * 12 for i in range(20 * 20) for _ in range(3))
+    rows = [((n, h, w, 3, 16, d),) for n, h, w, d in (("flat", 20, 20, flat), ("steps", 20, 20, steps), ("bad", -1, -1, b""), ("short", 20, 20, b"12"))]
+    df = spark.createDataFrame(rows, IMAGE)
+    got = {r.image.origin: r for r in vision.sharpness(df).collect()}
+    assert got["flat"].spread == got["flat"].edges == 0 and got["steps"].spread > 100 and got["bad"].spread is None and got["short"].edges is None
+    hashes = {r.image.origin: r.dhash for r in vision.difference_hash(df).collect()}
+    assert hashes == {"flat": 0, "steps": 0, "bad": None, "short": None}
+    turned = spark.createDataFrame([(("turned", 20, 20, 3, 16, bytes(reversed(steps))),)], IMAGE)
+    assert vision.difference_hash(turned).first().dhash == -1
+
+
+def test_cosine_pairs_by_planes(spark):
+    df = spark.createDataFrame([(1, [1.0, 0.0, 0.1]), (2, [1.0, 0.0, 0.1]), (3, [-1.0, 0.2, 0.0]), (4, [2.0, 0.0, 0.2])], "id int, v array<double>")
+    got = {(r.a, r.b) for r in curation.cosine_pairs(df, "id", "v", 0.99, planes=4).collect()}
+    assert got == {(1, 2), (1, 4), (2, 4)}
+
+
+def test_sinks(spark, tmp_path):
+    df = spark.createDataFrame([(1, "é", "a"), (2, "b", "b")], "id int, text string, part string")
+    for _ in range(2):
+        records.append_jsonl(df, str(tmp_path / "log"))
+    assert spark.read.json(str(tmp_path / "log")).count() == 4 and "é" in "".join(p.read_text() for p in (tmp_path / "log").glob("part-*"))
+    records.write_parquet(df, str(tmp_path / "t"), "part")
+    records.write_parquet(df.where("part = 'a'").withColumn("text", F.lit("new")), str(tmp_path / "t"), "part")
+    assert {(r.id, r.text) for r in records.parquet(spark, str(tmp_path / "t"), "id", "text").collect()} == {(1, "new"), (2, "b")}
+    assert records.row_count(spark, str(tmp_path / "t")) == 2
+
+
+def test_exact_duplicates_with_nulls(spark):
+    df = spark.createDataFrame([(3, None, "x"), (1, None, "x"), (2, "", "x")], "id int, a string, b string")
+    assert {(r.id, r.keeper) for r in curation.exact_duplicates(df, "id", "a", "b").collect()} == {(3, 1), (1, 1), (2, 2)}
+
+
+def test_metadata_and_keys(spark):
+    df = spark.createDataFrame([(5, None, "q")], "index long, id string, question string")
+    assert df.select(*rollouts.metadata(df)).first().asDict() == {"index": 5, "id": "5", "question": "q"}
+    assert df.select(rollouts.key(df).alias("k")).first().k == "5"

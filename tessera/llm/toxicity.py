@@ -138,7 +138,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     sample = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("text <> ''").join(F.broadcast(rows), "id")
     base = {f" {t} ": w for t, w in TERMS.items()}
     # a toxic row is one of a bounded sample, and its words are needed together
-    positives = [t for (t,) in sample.where("label = 1").select(F.substring("text", 1, 200_000)).toLocalIterator()] if n else []
+    positives = [t for (t,) in sample.where("label = 1").select("text").toLocalIterator()] if n else []
     n_neg = max(0, rows.where("label = 0").count()) if n else 0
     if len(positives) < 5 or n_neg < 5:
         return Lexicon(base)

@@ -10,6 +10,11 @@ with its windows' units) is shipped to shards by anchor, where equal windows
 must meet. Only anchors with very many different regions are dealt over
 several shards, whose results are merged in a second step.
 
+Anchors whose runs alone would be too many for one task are told by a count
+sketch of a fixed size. Their runs are not gathered: those of equal content are
+collapsed where they were found, and all others are shipped as they are, dealt
+over as many shards as their number needs.
+
 Texts that are equal as a whole are counted first; one row of each takes part.
 """
 
@@ -20,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import PACKED_DDL, Packer, arrow_groups, arrow_map, batch, bucket_of, compact, small_join, starts, unpack
+from tessera.llm.common import PACKED_DDL, Packer, arrow_groups, arrow_map, batch, bucket_of, compact, held, small_join, starts, unpack
 from tessera.llm.wordcore import mix
 
 RUN = np.dtype([("m", np.uint64), ("f", np.uint64), ("doc", np.int64), ("t", np.int64), ("s", np.int32), ("n", np.int32), ("own", np.int8)])
@@ -30,6 +35,10 @@ FULL, PENDING, PARTNER = 0, 1, 2
 MOST_COPIES = 150_000
 #: The runs to ship are sent to the texts by broadcast up to so many, else joined by an exchange.
 MOST_SENT = 600_000
+#: Runs of one anchor (of one class of the sketch) that are gathered in a task at most.
+MOST_RUNS = 250_000
+SKETCH_BITS = 20
+_PIECE_BITS = 14
 
 
 def marked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -54,13 +63,95 @@ def exchange_runs(texts: DataFrame, find, buckets: int) -> DataFrame:
     return arrow_map(texts.select("doc", "t", "text"), run, PACKED_DDL)
 
 
-def live_runs(packed: DataFrame, smaller: bool, limit: int) -> DataFrame:
+def live_runs(packed: DataFrame, smaller: bool, limit: int, most: int | None = None) -> DataFrame:
     """(doc, t, s, n, m, blocks, kind) of the runs that may hold repeated windows.
 
     smaller: a window counts as repeated only if it is in a smaller doc too.
     limit: units of different regions of one anchor that fit a shard; blocks is the number of shards for it.
     """
-    schema = pa.schema([("doc", pa.int64()), ("t", pa.int64()), ("s", pa.int32()), ("n", pa.int32()), ("m", pa.int64()), ("blocks", pa.int32()), ("kind", pa.int8())])
+    most = MOST_RUNS if most is None else most
+    packed = held(packed)
+    sizes = class_counts(packed)
+    if (sizes > most).any():
+        every = packed.sparkSession.sparkContext.broadcast(np.where(sizes > most, sizes, 0))
+        return _gathered(_split(packed, every, hot=False), smaller, limit).unionByName(_ungathered(_split(packed, every, hot=True), smaller, limit, every))
+    return _gathered(packed, smaller, limit)
+
+
+def class_of(m: np.ndarray) -> np.ndarray:
+    return (mix(m ^ np.uint64(0x2545F4914F6CDD1D)) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
+
+
+def class_counts(packed: DataFrame) -> np.ndarray:
+    """The number of runs in each of 2**SKETCH_BITS classes of anchors: eight megabytes, at any size of input."""
+
+    def run(batches):
+        total = np.zeros(1 << SKETCH_BITS, np.int64)
+        for b in batches:
+            for body in b.column("body").to_pylist():
+                total += np.bincount(class_of(np.frombuffer(body, RUN)["m"]), minlength=len(total))
+        for k, x in enumerate(total.reshape(-1, 1 << _PIECE_BITS)):
+            if x.any():
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([x.astype(np.uint32 if x.max() < 2**32 else np.int64).tobytes()], pa.binary())], names=["bucket", "body"])
+
+    def add(t: pa.Table) -> pa.Table:
+        total = np.zeros(1 << _PIECE_BITS, np.int64)
+        for body in t.column("body").to_pylist():
+            total += np.frombuffer(body, np.uint32 if len(body) == 4 << _PIECE_BITS else np.int64)
+        return pa.table({"bucket": t.column("bucket")[:1], "body": pa.array([total.tobytes()], pa.binary())})
+
+    out = np.zeros((1 << (SKETCH_BITS - _PIECE_BITS), 1 << _PIECE_BITS), np.int64)
+    for r in arrow_groups(arrow_map(packed, run, PACKED_DDL).groupBy("bucket"), add, PACKED_DDL).collect():
+        out[r.bucket] = np.frombuffer(r.body, np.int64)
+    return out.ravel()
+
+
+def _split(packed: DataFrame, sizes, hot: bool) -> DataFrame:
+    def run(batches):
+        for b in batches:
+            bodies = []
+            for body in b.column("body").to_pylist():
+                r = np.frombuffer(body, RUN)
+                bodies.append(r[(sizes.value[class_of(r["m"])] > 0) == hot].tobytes())
+            yield pa.RecordBatch.from_arrays([b.column("bucket"), pa.array(bodies, pa.binary())], schema=b.schema)
+
+    return arrow_map(packed, run, PACKED_DDL)
+
+
+LIVE = pa.schema([("doc", pa.int64()), ("t", pa.int64()), ("s", pa.int32()), ("n", pa.int32()), ("m", pa.int64()), ("blocks", pa.int32()), ("kind", pa.int8())])
+LIVE_DDL = "doc long, t long, s int, n int, m long, blocks int, kind tinyint"
+
+
+def _ungathered(packed: DataFrame, smaller: bool, limit: int, sizes) -> DataFrame:
+    """The runs of very common anchors: of equal ones in one body, one stands for all; every other is pending, in one of two shards at least."""
+
+    def run(batches):
+        for b in batches:
+            for body in b.column("body").to_pylist():
+                r = np.frombuffer(body, RUN)
+                r = r[np.lexsort((r["s"], r["t"], r["doc"], r["n"], r["f"], r["m"]))]
+                r = r[starts(r["m"], r["f"], r["n"], r["doc"], r["t"], r["s"])]
+                if not len(r):
+                    continue
+                at = starts(r["m"], r["f"], r["n"])
+                size = np.diff(np.r_[at, len(r)])
+                least = np.repeat(r["doc"][at], size)
+                # bytes: a region found twice repeats wherever it is, and its first place stands for it
+                full = r["doc"] > least if smaller else np.repeat(size > 1, size)
+                kind = np.where(full, FULL, PENDING).astype(np.int8)
+                if not smaller:
+                    kind[at[size > 1]] = PENDING
+                blocks = np.maximum(2, sizes.value[class_of(r["m"])] * int(r["n"].mean() + 1) // limit * 2).astype(np.int32)
+                yield batch(LIVE, r["doc"], r["t"], r["s"], r["n"], r["m"].view(np.int64), blocks, kind)
+                if not smaller and (size > 1).any():  # it repeats itself, too
+                    own = r[at[size > 1]]
+                    yield batch(LIVE, own["doc"], own["t"], own["s"], own["n"], own["m"].view(np.int64), np.full(len(own), 2, np.int32), np.full(len(own), FULL, np.int8))
+
+    return arrow_map(packed, run, LIVE_DDL)
+
+
+def _gathered(packed: DataFrame, smaller: bool, limit: int) -> DataFrame:
+    schema = LIVE
 
     def group(t: pa.Table) -> pa.Table:
         r = unpack(t, RUN)
@@ -98,7 +189,7 @@ def live_runs(packed: DataFrame, smaller: bool, limit: int) -> DataFrame:
             out.append(batch(schema, r["doc"][k], r["t"][k], r["s"][k], r["n"][k], r["m"][k].view(np.int64), blocks[k].astype(np.int32), np.full(len(k), kind, np.int8)))
         return pa.Table.from_batches(out)
 
-    return arrow_groups(packed.groupBy("bucket"), group, "doc long, t long, s int, n int, m long, blocks int, kind tinyint")
+    return arrow_groups(packed.groupBy("bucket"), group, LIVE_DDL)
 
 
 def regions(texts: DataFrame, live: DataFrame, sent: int, shards: int, cut) -> DataFrame:

@@ -84,8 +84,10 @@ def test_line_dedup_keeps_columns(spark, rows):
     assert texts[0] is None and {d: brute.sha(t or "") for d, t in texts.items()} == {d: s for d, _, _, s in brute.line_dedup(rows)}
 
 
-@pytest.mark.parametrize("limits", [{}, {"shard_bytes": 3000, "cross_bytes": 300}])
-def test_suffix_array(spark, rows, limits, monkeypatch):
+@pytest.mark.parametrize(("limits", "runs"), [({}, None), ({"shard_bytes": 3000, "cross_bytes": 300}, None), ({"shard_bytes": 3000, "cross_bytes": 300}, 1), ({}, 0)])
+def test_suffix_array(spark, rows, limits, runs, monkeypatch):
+    if runs is not None:
+        monkeypatch.setattr(anchors, "MOST_RUNS", runs)
     plain = suffixarray.repeated_spans
     monkeypatch.setattr(suffixarray, "repeated_spans", lambda t, w: plain(t, w, gram=16, **limits))
     if limits:
@@ -113,8 +115,10 @@ def test_suffix_array_order():
             assert lcp[b] == k
 
 
-@pytest.mark.parametrize("limits", [{}, {"shard_words": 600, "cross_words": 60}])
-def test_suffix_trees(spark, rows, limits, monkeypatch):
+@pytest.mark.parametrize(("limits", "runs"), [({}, None), ({"shard_words": 600, "cross_words": 60}, None), ({"shard_words": 600, "cross_words": 60}, 1), ({}, 0)])
+def test_suffix_trees(spark, rows, limits, runs, monkeypatch):
+    if runs is not None:
+        monkeypatch.setattr(anchors, "MOST_RUNS", runs)
     plain = suffixtree.repeated_spans
     monkeypatch.setattr(suffixtree, "repeated_spans", lambda t, w: plain(t, w, gram=5, **limits))
     got = suffixtree.remove(docs_of(spark, rows), width=20).collect()

@@ -35,9 +35,12 @@ MOST = 150_000
 MOST_PAIRS = 200_000
 _CHUNK = 1 << 18
 _POST = np.dtype([("tok", np.uint64), ("gid", np.int64), ("n", np.int32), ("pos", np.int32)])
+#: Groups that share a shingle with so many others bring their counts along, so that their pairs are bounded where they are formed.
+DENSE = 16
 _EDGE = np.dtype([("b", np.int64), ("a", np.int64), ("k", np.int32)])
 _LIVE = np.dtype([("tok", np.uint64), ("gid", np.int64), ("n", np.int32), ("pos", np.int32), ("comp", np.int64)])
-_COMP = np.dtype([("gid", np.int64), ("comp", np.int64)])
+_INFO = np.dtype([("gid", np.int64), ("comp", np.int64), ("n", np.int64), ("bins", np.uint8, BINS)])
+_SHARED = np.dtype([*_POST.descr, ("df", np.int32)])
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -157,9 +160,13 @@ def shared_postings(packed: DataFrame, buckets: int) -> DataFrame:
         r = r[np.argsort(r["tok"], kind="stable")]
         at = starts(r["tok"])
         size = np.diff(np.r_[at, len(r)])
-        r = r[np.repeat(size > 1, size)]
+        keep = np.repeat(size > 1, size)
+        out = np.empty(int(keep.sum()), _SHARED)
+        for name in _POST.names:
+            out[name] = r[name][keep]
+        out["df"] = np.minimum(np.repeat(size, size)[keep], 1 << 30)
         pack = Packer(buckets, 1 << 62)
-        list(pack.add(bucket_of(mix(r["gid"].view(np.uint64)), buckets), r))
+        list(pack.add(bucket_of(mix(out["gid"].view(np.uint64)), buckets), out))
         return pa.Table.from_batches(list(pack.flush()), pa.schema([("bucket", pa.int32()), ("body", pa.binary())]))
 
     return arrow_groups(packed.groupBy("bucket"), group, PACKED_DDL)
@@ -171,12 +178,12 @@ def centres(live: DataFrame, buckets: int, num: int, den: int) -> DataFrame:
     def by_token(batches):
         pack = Packer(buckets, 16 << 20)
         for b in batches:
-            r = unpack(pa.Table.from_batches([b]), _POST)
+            r = unpack(pa.Table.from_batches([b]), _SHARED)
             yield from pack.add(bucket_of(mix(r["tok"]), buckets), r)
         yield from pack.flush()
 
     def edges(t: pa.Table) -> pa.Table:
-        r = unpack(t, _POST)
+        r = unpack(t, _SHARED)
         r = r[np.lexsort((r["gid"], r["tok"]))]
         at = starts(r["tok"])
         first = np.repeat(at, np.diff(np.r_[at, len(r)]))
@@ -207,80 +214,108 @@ def centres(live: DataFrame, buckets: int, num: int, den: int) -> DataFrame:
     return arrow_groups(arrow_groups(arrow_map(live, by_token, PACKED_DDL).groupBy("bucket"), edges, PACKED_DDL).groupBy("bucket"), best, "a long, b long")
 
 
-def cross_pairs(live: DataFrame, comps: DataFrame, buckets: int, num: int, den: int) -> DataFrame:
-    """(a, b), a < b: the candidate pairs of groups in different components."""
+def reachable(u: np.ndarray, v: np.ndarray, na: np.ndarray, nb: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Whether the overlap can reach the need: the sum of the lesser counts of each hash class bounds it. Counts of 255 stand for any number."""
+    least = np.minimum(u, v)
+    return (least == 255).any(1) | (least.sum(1, dtype=np.int64) >= -(-num * (na + nb) // (num + den)))
+
+
+def cross_pairs(live: DataFrame, groups: DataFrame, buckets: int, num: int, den: int) -> DataFrame:
+    """(a, b), a < b: the candidate pairs of groups in different components. groups: doc, comp, n, bins."""
 
     def by_group(batches):
         pack = Packer(buckets, 16 << 20)
         for b in batches:
-            r = np.empty(b.num_rows, _COMP)
-            r["gid"], r["comp"] = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            r = np.empty(b.num_rows, _INFO)
+            r["gid"], r["comp"], r["n"] = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 2))
+            r["bins"] = np.frombuffer(column_bytes(b.column(3))[0].tobytes(), np.uint8).reshape(-1, BINS)
             yield from pack.add(bucket_of(mix(r["gid"].view(np.uint64)), buckets), r)
         yield from pack.flush()
 
+    kinds = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("body", pa.binary())])
+
+    def packed(kind: int, bucket: np.ndarray, records: np.ndarray):
+        pack = Packer(buckets, 1 << 62)
+        list(pack.add(bucket, records))
+        for b in pack.flush():
+            yield batch(kinds, b.column(0), np.full(b.num_rows, kind, np.int32), b.column(1))
+
     def label(left: pa.Table, right: pa.Table) -> pa.Table:
-        r, c = unpack(left, _POST), unpack(right, _COMP)
-        c = c[np.argsort(c["gid"])]
+        r, g = unpack(left, _SHARED), unpack(right, _INFO)
+        if not len(r):
+            return pa.Table.from_batches([], kinds)
+        g = g[np.argsort(g["gid"], kind="stable")]
+        k = np.searchsorted(g["gid"], r["gid"])
         out = np.empty(len(r), _LIVE)
         for name in _POST.names:
             out[name] = r[name]
-        out["comp"] = r["gid"]
-        if len(c):
-            k = np.minimum(np.searchsorted(c["gid"], r["gid"]), len(c) - 1)
-            out["comp"] = np.where(c["gid"][k] == r["gid"], c["comp"][k], r["gid"])
-        pack = Packer(buckets, 1 << 62)
-        list(pack.add(bucket_of(mix(out["tok"]), buckets), out))
-        return pa.Table.from_batches(list(pack.flush()), pa.schema([("bucket", pa.int32()), ("body", pa.binary())]))
+        out["comp"] = g["comp"][k]
+        bucket = bucket_of(mix(out["tok"]), buckets)
+        dense = np.flatnonzero(r["df"] >= DENSE)
+        both = np.unique(np.column_stack([bucket[dense].astype(np.int64), k[dense]]), axis=0)
+        return pa.Table.from_batches([*packed(0, bucket, out), *packed(1, both[:, 0].astype(np.int32), g[both[:, 1]])], kinds)
 
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
+    def bounded(p: np.ndarray, g: np.ndarray) -> np.ndarray:
+        """The pairs less those that the counts at hand rule out."""
+        if not len(p) or not len(g):
+            return p
+        ok = np.ones(len(p), np.bool_)
+        i, j = (np.minimum(np.searchsorted(g["gid"], p[:, c]), len(g) - 1) for c in (0, 1))
+        known = np.flatnonzero((g["gid"][i] == p[:, 0]) & (g["gid"][j] == p[:, 1]))
+        for at in range(0, len(known), 50_000):
+            k = known[at : at + 50_000]
+            u, v = g[i[k]], g[j[k]]
+            ok[k] = reachable(u["bins"], v["bins"], u["n"], v["n"], num, den)
+        return p[ok]
+
     def pairs(t: pa.Table) -> pa.Table:
-        r = unpack(t, _LIVE)
+        kind = t.column("kind").to_numpy()
+        r = unpack(t.filter(pa.array(kind == 0)), _LIVE)
+        g = unpack(t.filter(pa.array(kind == 1)), _INFO)
+        g = g[np.argsort(g["gid"], kind="stable")]
         r = r[np.lexsort((r["comp"], r["tok"]))]
         at, run = starts(r["tok"]), starts(r["tok"], r["comp"])
         end = np.repeat(np.r_[at[1:], len(r)], np.diff(np.r_[at, len(r)]))
         skip = np.repeat(np.r_[run[1:], len(r)], np.diff(np.r_[run, len(r)]))
         k = end - skip  # each entry meets the entries of later components only
-        out, held = [], 0
+        out, found = [], 0
         who = np.flatnonzero(k)
         total = np.cumsum(k[who])
         lo = 0
         while lo < len(who):
-            hi = max(lo + 1, int(np.searchsorted(total, (total[lo - 1] if lo else 0) + 1_000_000)))
+            hi = max(lo + 1, int(np.searchsorted(total, (total[lo - 1] if lo else 0) + 500_000)))
             own = who[lo:hi]
             i = np.repeat(own, k[own])
             j = np.arange(len(i)) - np.repeat(np.cumsum(k[own]) - k[own], k[own]) + np.repeat(skip[own], k[own])
             ok = (r["gid"][i] != r["gid"][j]) & fits(r["n"][i].astype(np.int64), r["pos"][i], r["n"][j].astype(np.int64), r["pos"][j], num, den)
             x, y = r["gid"][i[ok]], r["gid"][j[ok]]
             if len(x):
-                out.append(np.unique(np.column_stack([np.minimum(x, y), np.maximum(x, y)]), axis=0) if len(x) < 5_000_000 else np.column_stack([np.minimum(x, y), np.maximum(x, y)]))
-                held += len(out[-1])
-                if held > 2_000_000:
+                out.append(bounded(np.unique(np.column_stack([np.minimum(x, y), np.maximum(x, y)]), axis=0), g))
+                found += len(out[-1])
+                if found > 2_000_000:
                     out = [np.unique(np.concatenate(out), axis=0)]
-                    held = len(out[0])
+                    found = len(out[0])
             lo = hi
         p = np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
         return pa.Table.from_batches([batch(schema, p[:, 0], p[:, 1])])
 
-    labels = arrow_map(comps.select("node", "component"), by_group, PACKED_DDL)
-    labelled = arrow_groups(live.groupBy("bucket").cogroup(labels.groupBy("bucket")), label, PACKED_DDL)
+    info = arrow_map(groups.select("doc", "comp", "n", "bins"), by_group, PACKED_DDL)
+    labelled = arrow_groups(live.groupBy("bucket").cogroup(info.groupBy("bucket")), label, "bucket int, kind int, body binary")
     return arrow_groups(labelled.groupBy("bucket"), pairs, "a long, b long").distinct()
 
 
 def possible(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs whose overlap can reach the need: the sum of the lesser counts of each hash class bounds it."""
+    """The pairs whose overlap can reach the need, by their counts."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches):
         for x in batches:
-            if not x.num_rows:
-                continue
-            u, v = (np.frombuffer(column_bytes(x.column(i))[0].tobytes(), np.uint8).reshape(-1, BINS) for i in (2, 4))
-            na, nb = (x.column(i).to_numpy(zero_copy_only=False) for i in (3, 5))
-            least = np.minimum(u, v)
-            full = (least == 255).any(1)
-            ok = full | (least.astype(np.int32).sum(1) >= -(-num * (na + nb) // (num + den)))
-            yield x.select([0, 1]).filter(pa.array(ok)).cast(schema)
+            if x.num_rows:
+                u, v = (np.frombuffer(column_bytes(x.column(i))[0].tobytes(), np.uint8).reshape(-1, BINS) for i in (2, 4))
+                na, nb = (x.column(i).to_numpy(zero_copy_only=False) for i in (3, 5))
+                yield x.select([0, 1]).filter(pa.array(reachable(u, v, na, nb, num, den))).cast(schema)
 
     s = sets.select("doc", "bins", "n")
     both = pairs.join(s.withColumnsRenamed({"doc": "a", "bins": "ua", "n": "na"}), "a").join(s.withColumnsRenamed({"doc": "b", "bins": "ub", "n": "nb"}), "b")
@@ -343,7 +378,8 @@ def join(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, id_col:
     links = compact(verified(first, texts, width, num, den), "links")
     comps = components(links)
     # candidates between components: groups' pairs expanded into members, and pairs inside a group
-    wide = cross_pairs(live, comps, buckets, num, den)
+    labelled = small_join(leaders, comps.withColumnsRenamed({"node": "doc", "component": "comp"}), "doc", "left", MOST).withColumn("comp", F.coalesce("comp", "doc"))
+    wide = cross_pairs(live, labelled, buckets, num, den)
     m = members.withColumnRenamed("leader", "key")
     for side in ("a", "b"):
         wide = small_join(wide.withColumnRenamed(side, "key"), m, "key", "left", MOST).select(F.coalesce("doc", "key").alias(side), "b" if side == "a" else "a")

@@ -144,6 +144,7 @@ def _members(forest):
 def test_jaccard(spark, rows, members, monkeypatch):
     monkeypatch.setattr(jaccard, "MEMBERS", members)
     if members == 2:
+        monkeypatch.setattr(jaccard, "DENSE", 2)
         monkeypatch.setattr(jaccard, "MOST_PAIRS", 0)
         monkeypatch.setattr(jaccard, "MOST", 0)
     got = jaccard.join(docs_of(spark, rows)).collect()

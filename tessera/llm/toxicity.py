@@ -15,7 +15,7 @@ it, near copies counting once; negatives are then searched for the candidates.
 from __future__ import annotations
 
 import math
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import ahocorasick
 import numpy as np
@@ -88,8 +88,8 @@ class Lexicon:
         return 1 / (1 + math.exp(-(self.curve[0] + self.curve[1] * a + self.curve[2] * b)))
 
 
-def copies(texts: list[list[str]]) -> list[int]:
-    """A class for each text: texts that share one of eight minima of hashed word triples are in one class."""
+def copies(texts: list[str]) -> list[int]:
+    """A class for each folded text: texts that share one of eight minima of hashed word triples are in one class."""
     parent = list(range(len(texts)))
 
     def root(i):
@@ -99,7 +99,8 @@ def copies(texts: list[list[str]]) -> list[int]:
         return i
 
     seen: dict[tuple, int] = {}
-    for i, words in enumerate(texts):
+    for i, text in enumerate(texts):
+        words = text.split()
         h = np.array([hash(t) & 0xFFFFFFFFFFFF for t in zip(words, words[1:], words[2:])] or [hash(tuple(words)) & 0xFFFFFFFFFFFF], np.uint64)
         for k in range(8):
             m = int(((h * np.uint64(2 * k + 0x9E3779B97F4A7C15)) >> np.uint64(7)).min())
@@ -109,21 +110,35 @@ def copies(texts: list[list[str]]) -> list[int]:
     return [root(i) for i in range(len(texts))]
 
 
-def candidates(positives: list[str], negatives: int) -> dict[str, int]:
-    """Terms with the number of classes of positive texts that have them, where chance explains less than one term in a hundred."""
-    words = [fold(t).split() for t in positives]
-    classes = copies(words)
-    where: dict[str, set] = defaultdict(set)
-    for own, k in zip(words, classes, strict=True):
-        for w in set(own):
+def features_of(texts) -> set[str]:
+    """The whole words and the beginnings of words in some folded texts."""
+    out = set()
+    for text in texts:
+        for w in set(text.split()):
             if len(w) >= 3:
-                where[f" {w} "].add(k)
-                for n in _PREFIXES:
-                    if len(w) > n:
-                        where[f" {w[:n]}"].add(k)
-    n = len(set(classes))
-    where = {t: len(c) for t, c in where.items() if len(c) >= 3}
-    least = max(3, math.log(100 * max(1, len(where))) / math.log((n + negatives + 1) / (n + 0.5)))
+                out.add(f" {w} ")
+                out.update(f" {w[:n]}" for n in _PREFIXES if len(w) > n)
+    return out
+
+
+def candidates(positives: list[str], negatives: int) -> dict[str, int]:
+    """Terms with the number of classes of positive texts that have them, where chance explains less than one term in a hundred.
+
+    Counted twice: first by hash, in an array of a fixed size, so that only terms of three classes at least are kept by name.
+    """
+    folded = [fold(t) for t in positives]
+    members: dict[int, list[str]] = defaultdict(list)
+    for text, k in zip(folded, copies(folded), strict=True):
+        members[k].append(text)
+    hashed = np.zeros(1 << 22, np.uint32)
+    for own in members.values():
+        hashed[np.fromiter({hash(f) & 0x3FFFFF for f in features_of(own)}, np.int64)] += 1
+    where: Counter = Counter()
+    for own in members.values():
+        where.update([f for f in features_of(own) if hashed[hash(f) & 0x3FFFFF] >= 3])
+    n = len(members)
+    tested = sum(c >= 3 for c in where.values())
+    least = max(3, math.log(100 * max(1, tested)) / math.log((n + negatives + 1) / (n + 0.5)))
     return {t: c for t, c in where.items() if c >= least}
 
 

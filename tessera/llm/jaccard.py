@@ -14,6 +14,11 @@ components are formed, their groups expanded into members, filtered by an upper
 bound of their overlap (the sum of least counts of 256 hash classes), and compared.
 No link between components is lost; links inside one need not be made. A
 centre's members are compared in blocks of a bounded number.
+
+A shingle that very many groups have is not gathered in one task: where it
+occurs several times in one batch, one posting goes on for all, also as their
+centre; and in the second round only shingles of several components are dealt,
+told by a filter of a fixed size.
 """
 
 from __future__ import annotations
@@ -23,13 +28,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import PACKED_DDL, Packer, arrow_groups, arrow_map, batch, bucket_of, compact, held, parts, prepare, small_join, starts, unpack
+from tessera.llm.common import KINDS, KINDS_DDL, PACKED, PACKED_DDL, Packer, arrow_groups, arrow_map, batch, bucket_of, compact, held, kinds, of_kind, parts, prepare, small_join, starts, unpack
 from tessera.llm.components import components
 from tessera.llm.wordcore import LOWER, SPACE, Words, chunks, column_bytes, inside_rows, mix, window_hashes
 
 SKETCH_BITS = 20
 _PIECE_BITS = 14
 BINS = 256
+FILTER_BITS = 22
 MEMBERS = 256
 MOST = 150_000
 MOST_PAIRS = 200_000
@@ -136,38 +142,43 @@ def fits(na, pa_, nb, pb, num: int, den: int) -> np.ndarray:
 
 
 def postings(groups: DataFrame, buckets: int) -> DataFrame:
+    """Kind 0, by shingle: a posting, with df the number of postings in its batch. Kind 1, by group: the batch's other postings of that shingle, which are shared for sure."""
+
     def run(batches):
-        pack = Packer(buckets, 16 << 20)
         for b in batches:
             n = b.column(1).to_numpy(zero_copy_only=False)
             data, offsets = column_bytes(b.column(2))
             tok = np.frombuffer(data.tobytes(), np.uint64)
             size = np.diff(offsets) // 8
-            r = np.empty(len(tok), _POST)
+            r = np.empty(len(tok), _SHARED)
             r["tok"], r["gid"], r["n"] = tok, np.repeat(b.column(0).to_numpy(zero_copy_only=False), size), np.repeat(n, size)
             r["pos"] = np.arange(len(tok)) - np.repeat(np.cumsum(size) - size, size)
-            yield from pack.add(bucket_of(mix(tok), buckets), r)
-        yield from pack.flush()
+            r = r[np.lexsort((r["gid"], r["tok"]))]
+            at = starts(r["tok"])
+            count = np.diff(np.r_[at, len(r)])
+            r["df"] = np.repeat(count, count)
+            rest = np.ones(len(r), np.bool_)
+            rest[at] = False
+            yield from kinds(0, bucket_of(mix(r["tok"][at]), buckets), r[at], buckets)
+            yield from kinds(1, bucket_of(mix(r["gid"][rest].view(np.uint64)), buckets), r[rest], buckets)
 
-    return arrow_map(groups.select("doc", "n", "prefix"), run, PACKED_DDL)
+    return arrow_map(groups.select("doc", "n", "prefix"), run, KINDS_DDL)
 
 
 def shared_postings(packed: DataFrame, buckets: int) -> DataFrame:
     """The postings of shingles that several groups have, packed by group."""
 
     def group(t: pa.Table) -> pa.Table:
-        r = unpack(t, _POST)
+        r = of_kind(t, 0, _SHARED)
         r = r[np.argsort(r["tok"], kind="stable")]
         at = starts(r["tok"])
-        size = np.diff(np.r_[at, len(r)])
-        keep = np.repeat(size > 1, size)
-        out = np.empty(int(keep.sum()), _SHARED)
-        for name in _POST.names:
-            out[name] = r[name][keep]
-        out["df"] = np.minimum(np.repeat(size, size)[keep], 1 << 30)
+        df = np.repeat(np.add.reduceat(r["df"].astype(np.int64), at) if len(at) else at, np.diff(np.r_[at, len(r)]))
+        out = r[df > 1]
+        out["df"] = np.minimum(df[df > 1], 1 << 30)
+        out = np.concatenate([out, of_kind(t, 1, _SHARED)])
         pack = Packer(buckets, 1 << 62)
         list(pack.add(bucket_of(mix(out["gid"].view(np.uint64)), buckets), out))
-        return pa.Table.from_batches(list(pack.flush()), pa.schema([("bucket", pa.int32()), ("body", pa.binary())]))
+        return pa.Table.from_batches(list(pack.flush()), PACKED)
 
     return arrow_groups(packed.groupBy("bucket"), group, PACKED_DDL)
 
@@ -175,19 +186,11 @@ def shared_postings(packed: DataFrame, buckets: int) -> DataFrame:
 def centres(live: DataFrame, buckets: int, num: int, den: int) -> DataFrame:
     """(a, b): for each group b the group a < b that shares most shingles with it, of those that are the least group of a shared shingle."""
 
-    def by_token(batches):
-        pack = Packer(buckets, 16 << 20)
-        for b in batches:
-            r = unpack(pa.Table.from_batches([b]), _SHARED)
-            yield from pack.add(bucket_of(mix(r["tok"]), buckets), r)
-        yield from pack.flush()
-
-    def edges(t: pa.Table) -> pa.Table:
-        r = unpack(t, _SHARED)
+    def stars(r: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(edges, centres): each posting with the least group of its shingle, and that group's postings."""
         r = r[np.lexsort((r["gid"], r["tok"]))]
         at = starts(r["tok"])
-        first = np.repeat(at, np.diff(np.r_[at, len(r)]))
-        c = r[first]
+        c = r[np.repeat(at, np.diff(np.r_[at, len(r)]))]
         ok = (c["gid"] < r["gid"]) & fits(c["n"].astype(np.int64), c["pos"], r["n"].astype(np.int64), r["pos"], num, den)
         a, b = c["gid"][ok], r["gid"][ok]
         order = np.lexsort((a, b))
@@ -195,9 +198,19 @@ def centres(live: DataFrame, buckets: int, num: int, den: int) -> DataFrame:
         new = starts(b, a)
         e = np.empty(len(new), _EDGE)
         e["a"], e["b"], e["k"] = a[new], b[new], np.diff(np.r_[new, len(a)])
+        return e, r[at]
+
+    def by_token(batches):
+        for b in batches:
+            e, c = stars(unpack(pa.Table.from_batches([b]), _SHARED))
+            yield from kinds(0, bucket_of(mix(c["tok"]), buckets), c, buckets)
+            yield from kinds(1, bucket_of(mix(e["b"].view(np.uint64)), buckets), e, buckets)
+
+    def edges(t: pa.Table) -> pa.Table:
+        e = np.concatenate([stars(of_kind(t, 0, _SHARED))[0], of_kind(t, 1, _EDGE)])
         pack = Packer(buckets, 1 << 62)
         list(pack.add(bucket_of(mix(e["b"].view(np.uint64)), buckets), e))
-        return pa.Table.from_batches(list(pack.flush()), pa.schema([("bucket", pa.int32()), ("body", pa.binary())]))
+        return pa.Table.from_batches(list(pack.flush()), PACKED)
 
     def best(t: pa.Table) -> pa.Table:
         e = unpack(t, _EDGE)
@@ -211,7 +224,7 @@ def centres(live: DataFrame, buckets: int, num: int, den: int) -> DataFrame:
         e = e[starts(e["b"])]
         return pa.table({"a": pa.array(e["a"], pa.int64()), "b": pa.array(e["b"], pa.int64())})
 
-    return arrow_groups(arrow_groups(arrow_map(live, by_token, PACKED_DDL).groupBy("bucket"), edges, PACKED_DDL).groupBy("bucket"), best, "a long, b long")
+    return arrow_groups(arrow_groups(arrow_map(live, by_token, KINDS_DDL).groupBy("bucket"), edges, PACKED_DDL).groupBy("bucket"), best, "a long, b long")
 
 
 def reachable(u: np.ndarray, v: np.ndarray, na: np.ndarray, nb: np.ndarray, num: int, den: int) -> np.ndarray:
@@ -232,18 +245,10 @@ def cross_pairs(live: DataFrame, groups: DataFrame, buckets: int, num: int, den:
             yield from pack.add(bucket_of(mix(r["gid"].view(np.uint64)), buckets), r)
         yield from pack.flush()
 
-    kinds = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("body", pa.binary())])
-
-    def packed(kind: int, bucket: np.ndarray, records: np.ndarray):
-        pack = Packer(buckets, 1 << 62)
-        list(pack.add(bucket, records))
-        for b in pack.flush():
-            yield batch(kinds, b.column(0), np.full(b.num_rows, kind, np.int32), b.column(1))
-
     def label(left: pa.Table, right: pa.Table) -> pa.Table:
         r, g = unpack(left, _SHARED), unpack(right, _INFO)
         if not len(r):
-            return pa.Table.from_batches([], kinds)
+            return pa.Table.from_batches([], KINDS)
         g = g[np.argsort(g["gid"], kind="stable")]
         k = np.searchsorted(g["gid"], r["gid"])
         out = np.empty(len(r), _LIVE)
@@ -253,7 +258,7 @@ def cross_pairs(live: DataFrame, groups: DataFrame, buckets: int, num: int, den:
         bucket = bucket_of(mix(out["tok"]), buckets)
         dense = np.flatnonzero(r["df"] >= DENSE)
         both = np.unique(np.column_stack([bucket[dense].astype(np.int64), k[dense]]), axis=0)
-        return pa.Table.from_batches([*packed(0, bucket, out), *packed(1, both[:, 0].astype(np.int32), g[both[:, 1]])], kinds)
+        return pa.Table.from_batches([*kinds(0, bucket, out, buckets), *kinds(1, both[:, 0].astype(np.int32), g[both[:, 1]], buckets)], KINDS)
 
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -271,9 +276,9 @@ def cross_pairs(live: DataFrame, groups: DataFrame, buckets: int, num: int, den:
         return p[ok]
 
     def pairs(t: pa.Table) -> pa.Table:
-        kind = t.column("kind").to_numpy()
-        r = unpack(t.filter(pa.array(kind == 0)), _LIVE)
-        g = unpack(t.filter(pa.array(kind == 1)), _INFO)
+        r, g = of_kind(t, 0, _LIVE), of_kind(t, 1, _INFO)
+        if not len(r):
+            return pa.Table.from_batches([], schema)
         g = g[np.argsort(g["gid"], kind="stable")]
         r = r[np.lexsort((r["comp"], r["tok"]))]
         at, run = starts(r["tok"]), starts(r["tok"], r["comp"])
@@ -302,8 +307,54 @@ def cross_pairs(live: DataFrame, groups: DataFrame, buckets: int, num: int, den:
         return pa.Table.from_batches([batch(schema, p[:, 0], p[:, 1])])
 
     info = arrow_map(groups.select("doc", "comp", "n", "bins"), by_group, PACKED_DDL)
-    labelled = arrow_groups(live.groupBy("bucket").cogroup(info.groupBy("bucket")), label, "bucket int, kind int, body binary")
-    return arrow_groups(labelled.groupBy("bucket"), pairs, "a long, b long").distinct()
+    labelled = held(arrow_groups(live.groupBy("bucket").cogroup(info.groupBy("bucket")), label, KINDS_DDL))
+    several = labelled.sparkSession.sparkContext.broadcast(several_components(labelled, buckets))
+
+    def dealt(batches):
+        for b in batches:
+            keep = []
+            for kind, body in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+                if kind == 0:
+                    r = np.frombuffer(body, _LIVE)
+                    body = r[several.value[class_of(r["tok"])]].tobytes()
+                keep.append(body)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(keep, pa.binary())], schema=b.schema)
+
+    return arrow_groups(arrow_map(labelled, dealt, KINDS_DDL).groupBy("bucket"), pairs, "a long, b long").distinct()
+
+
+def class_of(tok: np.ndarray) -> np.ndarray:
+    return (mix(tok) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+
+
+def several_components(labelled: DataFrame, buckets: int) -> np.ndarray:
+    """Whether some shingle of each of 2**FILTER_BITS hash classes is in groups of several components: at any size of input at most 16 MB reach the driver, most often next to nothing."""
+
+    def least(r: np.ndarray) -> np.ndarray:
+        """Two postings of each shingle at most: of its least and of its largest component."""
+        r = r[np.lexsort((r["comp"], r["tok"]))]
+        at = starts(r["tok"])
+        return r[np.unique(np.concatenate([at, np.r_[at[1:], len(r)] - 1]))] if len(r) else r
+
+    def ends(batches):
+        for b in batches:
+            t = pa.Table.from_batches([b])
+            r = least(of_kind(t, 0, _LIVE))
+            pack = Packer(buckets, 1 << 62)
+            list(pack.add(bucket_of(mix(r["tok"]), buckets), r))
+            yield from pack.flush()
+
+    def several(t: pa.Table) -> pa.Table:
+        r = least(unpack(t, _LIVE))
+        at = starts(r["tok"])
+        last = np.r_[at[1:], len(r)] - 1
+        hit = np.unique(class_of(r["tok"][at][r["comp"][at] < r["comp"][last]])).astype(np.int32)
+        return pa.table({"bucket": pa.array([0], pa.int32()), "body": pa.array([hit.tobytes()], pa.binary())})
+
+    out = np.zeros(1 << FILTER_BITS, np.bool_)
+    for r in arrow_groups(arrow_map(labelled, ends, PACKED_DDL).groupBy("bucket"), several, PACKED_DDL).toLocalIterator():
+        out[np.frombuffer(r.body, np.int32)] = True
+    return out
 
 
 def possible(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:

@@ -15,6 +15,7 @@ it, near copies counting once; negatives are then searched for the candidates.
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter, defaultdict
 
 import ahocorasick
@@ -100,8 +101,9 @@ def copies(texts: list[str]) -> list[int]:
 
     seen: dict[tuple, int] = {}
     for i, text in enumerate(texts):
-        words = text.split()
-        h = np.array([hash(t) & 0xFFFFFFFFFFFF for t in zip(words, words[1:], words[2:])] or [hash(tuple(words)) & 0xFFFFFFFFFFFF], np.uint64)
+        h = np.array([zlib.crc32(w.encode()) for w in text.split()] or [0], np.uint64)
+        if len(h) > 2:
+            h = h[:-2] * np.uint64(0xD6E8FEB86659FD93) + h[1:-1] * np.uint64(0xA0761D6478BD642F) + h[2:] * np.uint64(0xE7037ED1A0B428DB)
         for k in range(8):
             m = int(((h * np.uint64(2 * k + 0x9E3779B97F4A7C15)) >> np.uint64(7)).min())
             j = seen.setdefault((k, m), i)

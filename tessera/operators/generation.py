@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.arrays import target_score
+from tessera.functions.text import score_target
 from tessera.operators.rollouts import ROLLOUT, failed
 from tessera.session import find_package
 
@@ -28,6 +30,11 @@ class EchoClient:
         return [f"<think>\n{len(p)}\n</think>\nTherefore, the final answer is <answer>{len(p) % 7}</answer>" for p in prompts]
 
 
+    def logprobs(self, texts: list[str]) -> list[tuple[list[int], list[float | None]]]:
+        """Tokens are code points; the first has no log-prob, as in a prompt's."""
+        return [([ord(c) for c in t], [None if i == 0 else -(ord(c) % 7) / 10 for i, c in enumerate(t)]) for t in texts]
+
+
 def generate(prompts: DataFrame, client, n: int, retries: int = 3, wait: float = 2.0, batch: int = 64, keys: tuple[str, ...] = ("id",)) -> DataFrame:
     """keys, rollout_id, response, error: n rollouts of each prompt (columns: keys and prompt).
 
@@ -57,6 +64,42 @@ def generate(prompts: DataFrame, client, n: int, retries: int = 3, wait: float =
     return wide.mapInPandas(run, schema)
 
 
+def score_candidates(candidates: DataFrame, client, batch: int = 64, keys: tuple[str, ...] = ("id", "rollout_id")) -> DataFrame:
+    """keys, score_error, mean, sum, count, start: the log-probs of each response's answer.
+
+    candidates: keys, prompt, response. Two scorings a response, of the text up
+    to the answer's body and of the text with it; what they share is left out.
+    A response that doesn't end with its answer, and a scoring that fails, carry an error.
+    """
+    find_package(candidates.sparkSession)
+    parted = candidates.withColumn("__t", score_target(F.col("response"))).select(*keys, F.concat("prompt", "__t.prefix").alias("prefix"), F.concat("prompt", "__t.prefix", "__t.target").alias("full"))
+    kinds = dict(parted.dtypes)
+    schema = ", ".join(f"`{k}` {kinds[k]}" for k in keys) + ", prefix_ids array<int>, full_ids array<int>, logprobs array<double>, score_error string"
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        session = client.open()
+        for rows in batches:
+            for i in range(0, len(rows), batch):
+                part = rows.iloc[i : i + batch]
+                ended = part["full"].notna()
+                out: list[tuple] = []
+                try:
+                    got = iter(zip(session.logprobs(part["prefix"][ended].tolist()), session.logprobs(part["full"][ended].tolist()), strict=True))
+                    for ok in ended:
+                        if ok:
+                            (prefix_ids, _), (full_ids, logprobs) = next(got)
+                            out.append((prefix_ids, full_ids, logprobs, None))
+                        else:
+                            out.append((None, None, None, "no answer at the end"))
+                except Exception as e:  # noqa: BLE001  whatever a client raises becomes the rows' error
+                    out = [(None, None, None, f"{type(e).__name__}: {e}" if ok else "no answer at the end") for ok in ended]
+                yield part[[*keys]].assign(**{n: [x[k] for x in out] for k, n in enumerate(("prefix_ids", "full_ids", "logprobs", "score_error"))})
+
+    scored = parted.mapInPandas(run, schema).withColumn("s", target_score(F.col("prefix_ids"), F.col("full_ids"), F.col("logprobs")))
+    error = F.coalesce("score_error", F.when(F.col("s.count") == 0, "no scored token"))
+    return scored.select(*keys, error.alias("score_error"), "s.mean", "s.sum", F.coalesce("s.count", F.lit(0).cast("long")).alias("count"), "s.start")
+
+
 def gathered(rollouts: DataFrame, keys: tuple[str, ...] = ("id",)) -> DataFrame:
     """keys and rollouts in the order of their numbers: a sample's own n rollouts meet, so groups are bounded."""
     from tessera.operators.rollouts import parsed

@@ -30,6 +30,21 @@ def best_of_n(candidates: DataFrame, *keys: str) -> DataFrame:
     )
 
 
+def best_records(samples: DataFrame, rollouts: DataFrame, scores: DataFrame, key: str = "id") -> DataFrame:
+    """samples with their nested best-of-n record: selection_method, num_correct_rollouts, selected_rollout_id, best_rollout, candidate_scores, correct_rollout_ids.
+
+    rollouts: key and the rollout's fields; scores: key, rollout_id, mean, sum,
+    count. A sample's candidates are its own few rollouts. Samples of which a candidate has no mean have no record.
+    """
+    fields = ["rollout_id", "response", "final_answer", "has_answer_tag", "finish_reason", "response_chars"]
+    best = best_of_n(scores, key).where("selection_reason is not null")
+    taken = rollouts.select(key, *fields).join(best.withColumnRenamed("selected_rollout_id", "rollout_id"), [key, "rollout_id"])
+    chosen = taken.select(key, F.struct(*fields, "answer_logprob_sum", "answer_logprob_mean", "answer_token_count", "selection_reason").alias("best_rollout"), "num_correct_rollouts", F.col("rollout_id").alias("selected_rollout_id"))
+    one = F.struct("rollout_id", "final_answer", F.col("mean").alias("answer_logprob_mean"), F.col("sum").alias("answer_logprob_sum"), F.col("count").alias("answer_token_count"))
+    lists = scores.join(rollouts.select(key, "rollout_id", "final_answer"), [key, "rollout_id"]).groupBy(key).agg(F.array_sort(F.collect_list(one)).alias("candidate_scores"), F.array_sort(F.collect_list("rollout_id")).alias("correct_rollout_ids"))
+    return samples.join(chosen, key).join(lists, key).withColumn("selection_method", F.lit(METHOD))
+
+
 def final_rows(best: DataFrame) -> DataFrame:
     """The nested best-of-n records as flat rows of 26 columns; absent sample fields are null."""
     nested = {"rollout_id", "response", "final_answer", "has_answer_tag", "finish_reason", "response_chars", "selection_reason", "answer_logprob_mean", "answer_logprob_sum", "answer_token_count"}

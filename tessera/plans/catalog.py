@@ -262,6 +262,15 @@ def generate_rollouts(spark, d):
     return generation.gathered(rows, ("doc_id",)).select("doc_id", F.explode("rollouts").alias("r")).select("doc_id", "r.rollout_id", "r.final_answer", "r.has_answer_tag")
 
 
+SCORED = f"WITH {X.rollouts_sql()}, m AS (SELECT index, rollout_id, trim(regexp_extract(response, '(?is)<answer>(.*?)</answer>\\.?\\s*$', 1)) AS target FROM rollouts WHERE response IS NOT NULL), s AS (SELECT *, list_transform(string_split(target, ''), lambda c: -(ord(c) % 7) / 10.0::DOUBLE) AS lp FROM m)"
+
+
+@query(f"{SCORED} SELECT index, rollout_id, CASE WHEN target = '' THEN 'no answer at the end' END AS score_error, CASE WHEN target <> '' THEN round(list_sum(lp) / len(lp), 6) END AS mean, CASE WHEN target <> '' THEN round(list_sum(lp), 6) END AS sum, CASE WHEN target <> '' THEN CAST(len(lp) AS BIGINT) ELSE 0 END AS count FROM s")
+def score_candidates(spark, d):
+    rows = X.rollouts(spark, d).where("response is not null").withColumn("prompt", F.lit("Q: "))
+    return generation.score_candidates(rows, generation.EchoClient(), keys=("index", "rollout_id")).select("index", "rollout_id", "score_error", *r6("mean", "sum"), "count")
+
+
 @query("SELECT doc_id, lang FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 1)")
 def resume_anti(spark, d):
     return rollouts.not_done(table(spark, d, "documents").select("doc_id", "lang"), table(spark, d, "labels").where("quality = 1"), "doc_id")
@@ -303,6 +312,15 @@ def best_of_n(spark, d):
     return selection.best_of_n(candidates(spark, d), "id").select("id", "num_correct_rollouts", "selected_rollout_id", *r6("answer_logprob_mean", "answer_logprob_sum"), "answer_token_count", "selection_reason")
 
 
+@query(f"WITH {CANDIDATES}, l AS (SELECT id, array_to_string(list(rollout_id || ':' || CAST(count AS VARCHAR) ORDER BY rollout_id), ',') AS candidates FROM cand GROUP BY id) SELECT best.id, 'normalized_answer_likelihood' AS selection_method, n AS num_correct_rollouts, rid AS selected_rollout_id, 'r' || rid AS response, candidates FROM best JOIN l USING (id) JOIN documents d ON d.doc_id = best.id")
+def best_records(spark, d):
+    rows = candidates(spark, d)
+    texts = rows.select("id", "rollout_id", F.concat(F.lit("r"), F.col("rollout_id").cast("string")).alias("response"), F.lit("").alias("final_answer"), F.lit(True).alias("has_answer_tag"), F.lit("stop").alias("finish_reason"), F.lit(2).alias("response_chars"))
+    out = selection.best_records(table(spark, d, "documents").select(F.col("doc_id").alias("id")), texts, rows)
+    listed = F.array_join(F.transform("candidate_scores", lambda x: F.concat_ws(":", x["rollout_id"].cast("string"), x["answer_token_count"].cast("string"))), ",")
+    return out.select("id", "selection_method", "num_correct_rollouts", "selected_rollout_id", "best_rollout.response", listed.alias("candidates"))
+
+
 @query(f"WITH {CANDIDATES} SELECT d.doc_id AS index, CAST(d.doc_id AS VARCHAR) AS id, d.lang AS domain, rid AS rollout_id, 'r' || rid AS response, n AS num_correct_rollouts, CASE WHEN n > 1 THEN round(mean, 6) END AS answer_logprob_mean, CAST(NULL AS VARCHAR) AS subtype FROM best JOIN documents d ON d.doc_id = best.id")
 def final_rows(spark, d):
     best = selection.best_of_n(candidates(spark, d), "id").withColumnRenamed("id", "index")

@@ -184,3 +184,16 @@ def test_metadata_and_keys(spark):
     df = spark.createDataFrame([(5, None, "q")], "index long, id string, question string")
     assert df.select(*rollouts.metadata(df)).first().asDict() == {"index": 5, "id": "5", "question": "q"}
     assert df.select(rollouts.key(df).alias("k")).first().k == "5"
+
+
+def test_score_candidates(spark):
+    class Down(generation.EchoClient):
+        def logprobs(self, texts):
+            raise RuntimeError("down")
+
+    rows = spark.createDataFrame([("a", 0, "Q ", "x <answer>abc</answer>"), ("a", 1, "Q ", "no answer"), ("b", 0, "Q ", None)], "id string, rollout_id int, prompt string, response string")
+    got = {(r.id, r.rollout_id): r for r in generation.score_candidates(rows, generation.EchoClient()).collect()}
+    want = [-(ord(c) % 7) / 10 for c in "abc"]
+    assert got["a", 0]["count"] == 3 and got["a", 0].sum == pytest.approx(sum(want)) and got["a", 0].score_error is None
+    assert got["a", 1].score_error == got["b", 0].score_error == "no answer at the end"
+    assert {r.score_error for r in generation.score_candidates(rows, Down()).collect()} == {"RuntimeError: down", "no answer at the end"}

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import PACKED_DDL, Packer, arrow_groups, arrow_map, batch, bucket_of, compact, held, small_join, starts, unpack
+from tessera.llm.common import Held, PACKED_DDL, Packer, arrow_groups, arrow_map, batch, bucket_of, compact, small_join, starts, unpack
 from tessera.llm.wordcore import mix
 
 RUN = np.dtype([("m", np.uint64), ("f", np.uint64), ("doc", np.int64), ("t", np.int64), ("s", np.int32), ("n", np.int32), ("own", np.int8)])
@@ -70,12 +70,13 @@ def live_runs(packed: DataFrame, smaller: bool, limit: int, most: int | None = N
     limit: units of different regions of one anchor that fit a shard; blocks is the number of shards for it.
     """
     most = MOST_RUNS if most is None else most
-    packed = held(packed)
-    sizes = class_counts(packed)
-    if (sizes > most).any():
+    with Held() as held:
+        packed = held(packed)
+        sizes = class_counts(packed)
+        if not (sizes > most).any():
+            return compact(_gathered(packed, smaller, limit), "runs")
         every = packed.sparkSession.sparkContext.broadcast(np.where(sizes > most, sizes, 0))
-        return _gathered(_split(packed, every, hot=False), smaller, limit).unionByName(_ungathered(_split(packed, every, hot=True), smaller, limit, every))
-    return _gathered(packed, smaller, limit)
+        return compact(_gathered(_split(packed, every, hot=False), smaller, limit).unionByName(_ungathered(_split(packed, every, hot=True), smaller, limit, every)), "runs")
 
 
 def class_of(m: np.ndarray) -> np.ndarray:

@@ -18,7 +18,6 @@ from pyspark.sql.pandas.group_ops import PandasCogroupedOps
 from tessera.session import find_package
 
 _written: list[tuple[SparkSession, str]] = []
-_held: list[DataFrame] = []
 
 
 def prepare(spark: SparkSession) -> None:
@@ -53,11 +52,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def held(df: DataFrame) -> DataFrame:
-    """df kept on the executors' disks from its first use on: for what is used several times, as large as the input, and made from it in one pass. Lost parts are made again."""
-    out = df.persist(StorageLevel.DISK_ONLY)
-    _held.append(out)
-    return out
+class Held:
+    """Keeps what is used several times, is as large as the input and made from it in one pass on the executors' disks, until the block ends. Lost parts are made again."""
+
+    def __init__(self):
+        self.frames: list[DataFrame] = []
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        self.frames.append(df.persist(StorageLevel.DISK_ONLY))
+        return self.frames[-1]
+
+    def __enter__(self) -> Held:
+        return self
+
+    def __exit__(self, *_) -> None:
+        for df in reversed(self.frames):
+            df.unpersist()
 
 
 def compact(df: DataFrame, name: str, per_file: int = 50_000) -> DataFrame:
@@ -75,12 +85,7 @@ def compact(df: DataFrame, name: str, per_file: int = 50_000) -> DataFrame:
 
 @atexit.register
 def clean() -> None:
-    """Delete the tables that written() has left, and what held() keeps; call it when no result that reads them is in use."""
-    while _held:
-        try:
-            _held.pop().unpersist()
-        except Exception:  # noqa: BLE001  the session has ended
-            break
+    """Delete the tables that written() has left; call it when no result that reads them is in use."""
     while _written:
         spark, path = _written.pop()
         try:

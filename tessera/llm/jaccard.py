@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import KINDS, KINDS_DDL, PACKED, PACKED_DDL, Packer, arrow_groups, arrow_map, batch, bucket_of, compact, held, kinds, of_kind, parts, prepare, small_join, starts, unpack
+from tessera.llm.common import Held, KINDS, KINDS_DDL, PACKED, PACKED_DDL, Packer, arrow_groups, arrow_map, batch, bucket_of, compact, kinds, of_kind, parts, prepare, small_join, starts, unpack
 from tessera.llm.components import components
 from tessera.llm.wordcore import LOWER, SPACE, Words, chunks, column_bytes, inside_rows, mix, window_hashes
 
@@ -233,7 +233,7 @@ def reachable(u: np.ndarray, v: np.ndarray, na: np.ndarray, nb: np.ndarray, num:
     return (least == 255).any(1) | (least.sum(1, dtype=np.int64) >= -(-num * (na + nb) // (num + den)))
 
 
-def cross_pairs(live: DataFrame, groups: DataFrame, buckets: int, num: int, den: int) -> DataFrame:
+def cross_pairs(live: DataFrame, groups: DataFrame, buckets: int, num: int, den: int, held: Held) -> DataFrame:
     """(a, b), a < b: the candidate pairs of groups in different components. groups: doc, comp, n, bins."""
 
     def by_group(batches):
@@ -414,37 +414,38 @@ def join(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, id_col:
     prepare(spark)
     buckets = 2 * parts(spark)
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    every = held(described(texts, width, num, den))
-    some = every.where("n > 0 and doc is not null")
-    equal = compact(some.groupBy("n", "f", "g").agg(F.min("doc").alias("rep"), F.count("*").alias("k")).where("k > 1").drop("k"), "classes")
-    classed = small_join(every, equal, ["n", "f", "g"], "left", MOST)
-    sets = classed.where("n > 0 and doc is not null and (rep is null or rep = doc)")
-    alike = compact(sets.groupBy("n", "p").agg(F.min("doc").alias("leader"), F.count("*").alias("k")).where("k > 1").drop("k"), "groups")
-    grouped = small_join(sets, alike, ["n", "p"], "left", MOST)
-    leaders = grouped.where("leader is null or leader = doc")
-    live = compact(shared_postings(postings(leaders, buckets), buckets), "live", 5_000)
-    members = compact(grouped.where("leader is not null").select("leader", "doc"), "members")
-
-    first = centres(live, buckets, num, den).unionByName(members.where("leader <> doc").select(F.col("leader").alias("a"), F.col("doc").alias("b")))
-    links = compact(verified(first, texts, width, num, den), "links")
-    comps = components(links)
-    # candidates between components: groups' pairs expanded into members, and pairs inside a group
-    labelled = small_join(leaders, comps.withColumnsRenamed({"node": "doc", "component": "comp"}), "doc", "left", MOST).withColumn("comp", F.coalesce("comp", "doc"))
-    wide = cross_pairs(live, labelled, buckets, num, den)
-    m = members.withColumnRenamed("leader", "key")
-    for side in ("a", "b"):
-        wide = small_join(wide.withColumnRenamed(side, "key"), m, "key", "left", MOST).select(F.coalesce("doc", "key").alias(side), "b" if side == "a" else "a")
-    # inside a group, only where its members are in several components, and then between these
-    mixed = small_join(m, comps.withColumnRenamed("node", "doc"), "doc", "left", MOST).select("key", "doc", F.coalesce("component", "doc").alias("c"))
-    mixed = mixed.join(mixed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key"), "key", "left_semi")
-    other = mixed.select("key", F.col("doc").alias("other"), F.col("c").alias("d"))
-    inner = mixed.join(other, (mixed["key"] == other["key"]) & (mixed["c"] < other["d"])).select(F.col("doc").alias("a"), F.col("other").alias("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    second = wide.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).unionByName(inner)
-    for side in ("a", "b"):
-        second = small_join(second, comps.select(F.col("node").alias(side), F.col("component").alias(f"c{side}")), side, "left", MOST)
-    second = second.where("a <> b and coalesce(ca, a) <> coalesce(cb, b)").select("a", "b").distinct()
-    links = links.unionByName(verified(possible(second, sets, num, den), texts, width, num, den))
+    with Held() as held:
+        every = held(described(texts, width, num, den))
+        some = every.where("n > 0 and doc is not null")
+        equal = compact(some.groupBy("n", "f", "g").agg(F.min("doc").alias("rep"), F.count("*").alias("k")).where("k > 1").drop("k"), "classes")
+        classed = small_join(every, equal, ["n", "f", "g"], "left", MOST)
+        nodes = compact(classed.select("doc", "n", F.coalesce("rep", "doc").alias("node")), "nodes", 500_000)
+        sets = classed.where("n > 0 and doc is not null and (rep is null or rep = doc)")
+        alike = compact(sets.groupBy("n", "p").agg(F.min("doc").alias("leader"), F.count("*").alias("k")).where("k > 1").drop("k"), "groups")
+        grouped = small_join(sets, alike, ["n", "p"], "left", MOST)
+        leaders = grouped.where("leader is null or leader = doc")
+        live = compact(shared_postings(postings(leaders, buckets), buckets), "live", 5_000)
+        members = compact(grouped.where("leader is not null").select("leader", "doc"), "members")
+
+        first = centres(live, buckets, num, den).unionByName(members.where("leader <> doc").select(F.col("leader").alias("a"), F.col("doc").alias("b")))
+        links = compact(verified(first, texts, width, num, den), "links")
+        comps = components(links)
+        # candidates between components: groups' pairs expanded into members, and pairs inside a group
+        labelled = small_join(leaders, comps.withColumnsRenamed({"node": "doc", "component": "comp"}), "doc", "left", MOST).withColumn("comp", F.coalesce("comp", "doc"))
+        wide = cross_pairs(live, labelled, buckets, num, den, held)
+        m = members.withColumnRenamed("leader", "key")
+        for side in ("a", "b"):
+            wide = small_join(wide.withColumnRenamed(side, "key"), m, "key", "left", MOST).select(F.coalesce("doc", "key").alias(side), "b" if side == "a" else "a")
+        # inside a group, only where its members are in several components, and then between these
+        mixed = small_join(m, comps.withColumnRenamed("node", "doc"), "doc", "left", MOST).select("key", "doc", F.coalesce("component", "doc").alias("c"))
+        mixed = mixed.join(mixed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key"), "key", "left_semi")
+        other = mixed.select("key", F.col("doc").alias("other"), F.col("c").alias("d"))
+        inner = mixed.join(other, (mixed["key"] == other["key"]) & (mixed["c"] < other["d"])).select(F.col("doc").alias("a"), F.col("other").alias("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        second = wide.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).unionByName(inner)
+        for side in ("a", "b"):
+            second = small_join(second, comps.select(F.col("node").alias(side), F.col("component").alias(f"c{side}")), side, "left", MOST)
+        second = second.where("a <> b and coalesce(ca, a) <> coalesce(cb, b)").select("a", "b").distinct()
+        links = compact(links.unionByName(verified(possible(second, sets, num, den), texts, width, num, den)), "links")
     comps = compact(components(links), "components")
-    node = F.coalesce("rep", "doc").alias("node")
-    out = small_join(classed.select("doc", "n", node), comps, "node", "left", MOST)
+    out = small_join(nodes, comps, "node", "left", MOST)
     return out.select(F.col("doc").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "node").alias("component_id"))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import arrow_map, batch, compact, held, parts, prepare, starts, texts_of
+from tessera.llm.common import Held, arrow_map, batch, compact, parts, prepare, starts, texts_of
 from tessera.llm.wordcore import BASE, BASE_INV, BYTE_VALUE, LOWER, SPACE, Words, chunks, column_bytes, mix, powers
 
 _CHUNK = 1 << 18
@@ -135,8 +135,9 @@ def keep_bitmaps(docs: DataFrame, copies: int = 3, least: int = 20, id_col: str
     prepare(docs.sparkSession)
     n = parts(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text_col).alias("row"), F.col(text_col).cast("string").alias("text")).where("doc is not null and text is not null")
-    lines = held(line_records(rows, least))
-    drops = dropped_lines(lines, copies, n).groupBy("doc", "row").agg(F.collect_list("pos").alias("at"))
+    with Held() as held:
+        drops = dropped_lines(held(line_records(rows, least)), copies, n)
+    drops = drops.groupBy("doc", "row").agg(F.collect_list("pos").alias("at"))
     schema = pa.schema([("doc", pa.int64()), ("row", pa.int64()), ("dropped", pa.binary())])
 
     def run(batches):

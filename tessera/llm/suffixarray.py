@@ -248,7 +248,7 @@ def resolve(shipped: DataFrame, width: int, buckets: int) -> DataFrame:
 def repeated_spans(texts: DataFrame, width: int, gram: int = GRAM, shard_bytes: int = SHARD_BYTES, cross_bytes: int = CROSS_BYTES) -> DataFrame:
     """(doc, t, starts, ends) of the texts of marked() rows that take part."""
     n = parts(texts.sparkSession)
-    live = compact(anchors.live_runs(anchors.exchange_runs(texts, find_runs(width, min(gram, width)), 2 * n), False, cross_bytes), "runs")
+    live = anchors.live_runs(anchors.exchange_runs(texts, find_runs(width, min(gram, width)), 2 * n), False, cross_bytes)
     size = live.where(F.col("kind") != anchors.FULL).agg(F.count("*").alias("n"), F.sum("n").alias("bytes")).first()
     shards = max(1, -(-(size.bytes or 0) // shard_bytes))
     found = resolve(anchors.regions(texts, live, size.n, shards, cut_bytes), width, 2 * n)

@@ -227,7 +227,7 @@ def resolve(shipped: DataFrame, width: int, buckets: int) -> DataFrame:
 
 def repeated_spans(texts: DataFrame, width: int, gram: int = GRAM, shard_words: int = SHARD_WORDS, cross_words: int = CROSS_WORDS) -> DataFrame:
     n = parts(texts.sparkSession)
-    live = compact(anchors.live_runs(anchors.exchange_runs(texts, find_runs(width, min(gram, width)), 2 * n), True, cross_words), "runs")
+    live = anchors.live_runs(anchors.exchange_runs(texts, find_runs(width, min(gram, width)), 2 * n), True, cross_words)
     size = live.where(F.col("kind") != anchors.FULL).agg(F.count("*").alias("n"), F.sum("n").alias("words")).first()
     shards = max(1, -(-(size.words or 0) // shard_words))
     return anchors.spans(live, resolve(anchors.regions(texts, live, size.n, shards, cut_words), width, 2 * n))

@@ -188,22 +188,6 @@ class Packer:
         yield pa.RecordBatch.from_arrays([pa.array(bucket[at], pa.int32()), pa.array([records[a:b].tobytes() for a, b in zip(at, ends, strict=True)], pa.binary())], schema=PACKED)
 
 
-KINDS = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("body", pa.binary())])
-KINDS_DDL = "bucket int, kind int, body binary"
-
-
-def kinds(kind: int, bucket: np.ndarray, records: np.ndarray, buckets: int):
-    """Packed rows of one of several kinds of records."""
-    pack = Packer(buckets, 1 << 62)
-    list(pack.add(bucket, records))
-    for b in pack.flush():
-        yield batch(KINDS, b.column(0), np.full(b.num_rows, kind, np.int32), b.column(1))
-
-
-def of_kind(t: pa.Table, kind: int, dtype: np.dtype) -> np.ndarray:
-    return unpack(t.filter(pa.array(t.column("kind").to_numpy() == kind)), dtype)
-
-
 def bucket_of(h: np.ndarray, buckets: int) -> np.ndarray:
     """A bucket of the hash's upper bits."""
     return ((h >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)

@@ -10,7 +10,7 @@ Equal sets are one class, and classes with equal prefixes and sizes one group;
 only groups have postings. The join goes in two rounds, as components are wanted and not all pairs:
 first each group is compared with one centre, the one that shares most of its
 prefix, and links join components. Then the candidate pairs between different
-components are formed, their groups expanded into members, filtered by an upper
+components are formed, of groups parted by component and expanded into members, filtered by an upper
 bound of their overlap (the sum of least counts of 256 hash classes), and compared.
 No link between components is lost; links inside one need not be made. A
 centre's members are compared in blocks of a bounded number.
@@ -39,7 +39,7 @@ _POST = np.dtype([("tok", np.uint64), ("gid", np.int64), ("n", np.int32), ("pos"
 DENSE = 16
 _EDGE = np.dtype([("b", np.int64), ("a", np.int64), ("k", np.int32)])
 _LIVE = np.dtype([("tok", np.uint64), ("gid", np.int64), ("n", np.int32), ("pos", np.int32), ("comp", np.int64)])
-_INFO = np.dtype([("gid", np.int64), ("comp", np.int64), ("n", np.int64), ("bins", np.uint8, BINS)])
+_INFO = np.dtype([("gid", np.int64), ("comp", np.int64), ("sub", np.int64), ("n", np.int64), ("bins", np.uint8, BINS)])
 _SHARED = np.dtype([*_POST.descr, ("df", np.int32)])
 
 
@@ -220,15 +220,22 @@ def reachable(u: np.ndarray, v: np.ndarray, na: np.ndarray, nb: np.ndarray, num:
     return (least == 255).any(1) | (least.sum(1, dtype=np.int64) >= -(-num * (na + nb) // (num + den)))
 
 
-def cross_pairs(live: DataFrame, groups: DataFrame, buckets: int, num: int, den: int) -> DataFrame:
-    """(a, b), a < b: the candidate pairs of groups in different components. groups: doc, comp, n, bins."""
+def parted(r: np.ndarray) -> np.ndarray:
+    """One record for each group's members in one component, a part, under the least of them (sub)."""
+    r = r[np.lexsort((r["sub"], r["comp"], r["gid"]))]
+    return r[starts(r["gid"], r["comp"])]
+
+
+def cross_pairs(live: DataFrame, sets: DataFrame, buckets: int, num: int, den: int) -> DataFrame:
+    """(a, b), a < b: the candidate pairs of parts of groups in different components, by their least members. sets: doc, leader, comp, n, bins."""
 
     def by_group(batches):
         pack = Packer(buckets, 16 << 20)
         for b in batches:
             r = np.empty(b.num_rows, _INFO)
-            r["gid"], r["comp"], r["n"] = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 2))
-            r["bins"] = np.frombuffer(column_bytes(b.column(3))[0].tobytes(), np.uint8).reshape(-1, BINS)
+            r["gid"], r["comp"], r["sub"], r["n"] = (b.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+            r["bins"] = np.frombuffer(column_bytes(b.column(4))[0].tobytes(), np.uint8).reshape(-1, BINS)
+            r = parted(r)
             yield from pack.add(bucket_of(mix(r["gid"].view(np.uint64)), buckets), r)
         yield from pack.flush()
 
@@ -244,12 +251,15 @@ def cross_pairs(live: DataFrame, groups: DataFrame, buckets: int, num: int, den:
         r, g = unpack(left, _SHARED), unpack(right, _INFO)
         if not len(r):
             return pa.Table.from_batches([], kinds)
-        g = g[np.argsort(g["gid"], kind="stable")]
-        k = np.searchsorted(g["gid"], r["gid"])
+        g = parted(g)
+        lo, hi = (np.searchsorted(g["gid"], r["gid"], side) for side in ("left", "right"))
+        size = hi - lo  # a group has postings for each of its parts
+        k = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(lo, size)
+        r = r[np.repeat(np.arange(len(r)), size)]
         out = np.empty(len(r), _LIVE)
         for name in _POST.names:
             out[name] = r[name]
-        out["comp"] = g["comp"][k]
+        out["gid"], out["comp"] = g["sub"][k], g["comp"][k]
         bucket = bucket_of(mix(out["tok"]), buckets)
         dense = np.flatnonzero(r["df"] >= DENSE)
         both = np.unique(np.column_stack([bucket[dense].astype(np.int64), k[dense]]), axis=0)
@@ -262,8 +272,8 @@ def cross_pairs(live: DataFrame, groups: DataFrame, buckets: int, num: int, den:
         if not len(p) or not len(g):
             return p
         ok = np.ones(len(p), np.bool_)
-        i, j = (np.minimum(np.searchsorted(g["gid"], p[:, c]), len(g) - 1) for c in (0, 1))
-        known = np.flatnonzero((g["gid"][i] == p[:, 0]) & (g["gid"][j] == p[:, 1]))
+        i, j = (np.minimum(np.searchsorted(g["sub"], p[:, c]), len(g) - 1) for c in (0, 1))
+        known = np.flatnonzero((g["sub"][i] == p[:, 0]) & (g["sub"][j] == p[:, 1]))
         for at in range(0, len(known), 50_000):
             k = known[at : at + 50_000]
             u, v = g[i[k]], g[j[k]]
@@ -274,7 +284,7 @@ def cross_pairs(live: DataFrame, groups: DataFrame, buckets: int, num: int, den:
         kind = t.column("kind").to_numpy()
         r = unpack(t.filter(pa.array(kind == 0)), _LIVE)
         g = unpack(t.filter(pa.array(kind == 1)), _INFO)
-        g = g[np.argsort(g["gid"], kind="stable")]
+        g = g[np.argsort(g["sub"], kind="stable")]
         r = r[np.lexsort((r["comp"], r["tok"]))]
         at, run = starts(r["tok"]), starts(r["tok"], r["comp"])
         end = np.repeat(np.r_[at[1:], len(r)], np.diff(np.r_[at, len(r)]))
@@ -301,7 +311,7 @@ def cross_pairs(live: DataFrame, groups: DataFrame, buckets: int, num: int, den:
         p = np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
         return pa.Table.from_batches([batch(schema, p[:, 0], p[:, 1])])
 
-    info = arrow_map(groups.select("doc", "comp", "n", "bins"), by_group, PACKED_DDL)
+    info = arrow_map(sets.select(F.coalesce("leader", "doc"), "comp", "doc", "n", "bins"), by_group, PACKED_DDL)
     labelled = arrow_groups(live.groupBy("bucket").cogroup(info.groupBy("bucket")), label, "bucket int, kind int, body binary")
     return arrow_groups(labelled.groupBy("bucket"), pairs, "a long, b long").distinct()
 
@@ -379,15 +389,16 @@ def join(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, id_col:
         first = centres(live, buckets, num, den).unionByName(members.where("leader <> doc").select(F.col("leader").alias("a"), F.col("doc").alias("b")))
         links = compact(verified(first, texts, width, num, den), "links")
         comps = components(links)
-        # candidates between components: groups' pairs expanded into members, and pairs inside a group
-        labelled = small_join(leaders, comps.withColumnsRenamed({"node": "doc", "component": "comp"}), "doc", "left", MOST).withColumn("comp", F.coalesce("comp", "doc"))
+        # candidates between components: pairs of groups' parts, each of one component, expanded into members, and pairs inside a group
+        labelled = small_join(grouped, comps.withColumnsRenamed({"node": "doc", "component": "comp"}), "doc", "left", MOST).withColumn("comp", F.coalesce("comp", "doc"))
         wide = cross_pairs(live, labelled, buckets, num, den)
-        m = members.withColumnRenamed("leader", "key")
+        mixed = small_join(members.withColumnRenamed("leader", "key"), comps.withColumnRenamed("node", "doc"), "doc", "left", MOST).select("key", "doc", F.coalesce("component", "doc").alias("c"))
+        part = compact(mixed.groupBy("key", "c").agg(F.min("doc").alias("sub")), "parts")
+        m = compact(small_join(mixed, part, ["key", "c"], "inner", MOST).select(F.col("sub").alias("key"), "doc"), "members")
         for side in ("a", "b"):
             wide = small_join(wide.withColumnRenamed(side, "key"), m, "key", "left", MOST).select(F.coalesce("doc", "key").alias(side), "b" if side == "a" else "a")
         # inside a group, only where its members are in several components, and then between these
-        mixed = small_join(m, comps.withColumnRenamed("node", "doc"), "doc", "left", MOST).select("key", "doc", F.coalesce("component", "doc").alias("c"))
-        mixed = mixed.join(mixed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key"), "key", "left_semi")
+        mixed = mixed.join(part.groupBy("key").agg(F.count("*").alias("k")).where("k > 1").select("key"), "key", "left_semi")
         other = mixed.select("key", F.col("doc").alias("other"), F.col("c").alias("d"))
         inner = mixed.join(other, (mixed["key"] == other["key"]) & (mixed["c"] < other["d"])).select(F.col("doc").alias("a"), F.col("other").alias("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         second = wide.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).unionByName(inner)

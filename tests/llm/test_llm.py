@@ -161,6 +161,17 @@ def test_jaccard_chain_and_clique(spark):
     assert sorted(map(tuple, got)) == sorted(brute.similar(rows))
 
 
+def test_jaccard_parts_of_a_group(spark):
+    """a and c have equal prefixes in a quarter of the versions and are linked through b only: c is not in the component of its group's leader a."""
+    r = random.Random(7)
+    rows = []
+    for k in range(120):
+        w = ["w%d_%d" % (k, r.randrange(10**9)) for _ in range(16)]
+        rows += [(3 * k, " ".join(w[:14])), (3 * k + 1, " ".join(w)), (3 * k + 2, " ".join(w[2:]))]
+    got = jaccard.join(docs_of(spark, rows)).collect()
+    assert sorted(map(tuple, got)) == sorted(brute.similar(rows))
+
+
 def test_components(spark):
     r = random.Random(3)
     links = [(r.randint(0, 300), r.randint(0, 300)) for _ in range(220)] + [(i, i + 1) for i in range(1000, 1100)]

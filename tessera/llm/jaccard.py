@@ -221,9 +221,13 @@ def reachable(u: np.ndarray, v: np.ndarray, na: np.ndarray, nb: np.ndarray, num:
 
 
 def parted(r: np.ndarray) -> np.ndarray:
-    """One record for each group's members in one component, a part, under the least of them (sub)."""
+    """One record for each group's members in one component, a part: the least of them (sub) and the greatest of their counts, which bound each member's overlap."""
     r = r[np.lexsort((r["sub"], r["comp"], r["gid"]))]
-    return r[starts(r["gid"], r["comp"])]
+    at = starts(r["gid"], r["comp"])
+    out = r[at]
+    if len(at) < len(r):
+        out["bins"] = np.maximum.reduceat(r["bins"], at)
+    return out
 
 
 def cross_pairs(live: DataFrame, sets: DataFrame, buckets: int, num: int, den: int) -> DataFrame:

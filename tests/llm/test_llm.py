@@ -172,6 +172,20 @@ def test_jaccard_parts_of_a_group(spark):
     assert sorted(map(tuple, got)) == sorted(brute.similar(rows))
 
 
+def test_jaccard_bound_of_a_part(spark, monkeypatch):
+    """The second is linked with the first, often in its group, and with the third, which the first's counts rule out."""
+    monkeypatch.setattr(jaccard, "DENSE", 2)
+    r = random.Random(8)
+    rows = []
+    for k in range(120):
+        w = ["w%d_%d" % (k, r.randrange(10**9)) for _ in range(14)]
+        other = [*w[:13], f"x{k}"]
+        # a fourth, so that no shingle is rarer than the others
+        rows += [(4 * k, " ".join(w)), (4 * k + 1, " ".join(other)), (4 * k + 2, " ".join(other[1:])), (4 * k + 3, " ".join(w[9:]))]
+    got = jaccard.join(docs_of(spark, rows)).collect()
+    assert sorted(map(tuple, got)) == sorted(brute.similar(rows))
+
+
 def test_components(spark):
     r = random.Random(3)
     links = [(r.randint(0, 300), r.randint(0, 300)) for _ in range(220)] + [(i, i + 1) for i in range(1000, 1100)]

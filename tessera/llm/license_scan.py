@@ -1,9 +1,11 @@
 """Licence recognition by sentence rules, in DataFrame expressions alone.
 
-A text is parted into sentences (line ends, and ends of sentences before a
-blank). Each sentence is normalised (lower case, runs of other characters than
-letters, digits and + as one blank) and looked up among known licence
-sentences, which gives the text's sequence of sentence identifiers. Ordered
+A text is normalised (lower case, runs of other characters than letters, digits
+and + as one blank), with marks for line ends and for what ends a sentence (a
+stop before a blank or line end, and an empty line, comment leaders aside).
+Known licence sentences are found from mark to mark, the longest first; line
+ends may stand inside them, ends of sentences only where the known sentence has
+a stop itself ("v. 2.0"). This gives the sequence of sentence identifiers. Ordered
 rules, longest first, are matched against the sequence; what a rule has matched
 is used up, so that a short rule inside a longer one does not count again.
 Texts without any trigger word, one of which is in every known sentence, are
@@ -69,12 +71,14 @@ RULES = {
     "Unlicense": [["unlicense"]],
     "LicenseRef-All-Rights-Reserved": [["reserved"]],
 }
+#: More wordings: whole sentences of the licences, with the identifiers that they stand for. oracle() parts at each line end and has none of these.
+WHOLE = [
+    ("mit-grant", SENTENCES["mit-grant"] + ", including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions"),
+    ("mit-as-is", SENTENCES["mit-as-is"] + ", INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT"),
+    ("apache-you,apache-not-use", SENTENCES["apache-you"] + "; " + SENTENCES["apache-not-use"]),
+    ("apache-copy", SENTENCES["apache-copy"] + " http://www.apache.org/licenses/LICENSE-2.0"),
+]
 TRIGGERS = ["licens", "copyright", "permission", "redistribut", "warrant", "public domain", "rights reserved"]
-BREAK = r"\n|[.!?]+[ \t\r]+"
-
-
-def normal(text: Column) -> Column:
-    return F.btrim(F.regexp_replace(F.lower(text), "[^a-z0-9+]+", F.lit(" ")))
 
 
 def normal_text(text: str) -> str:
@@ -92,6 +96,25 @@ def known_sentences(sentences: dict[str, str]) -> dict[str, str]:
     return out
 
 
+def pattern(sentence: str) -> str:
+    """A known sentence among marks: / is a line's end, | a sentence's."""
+    import re
+
+    out = ""
+    for gap, word in re.findall("([^a-z0-9+]*)([a-z0-9+]+)", sentence.lower()):
+        out += ("(?: [/|])* " if re.search(r"[.!?]\s", gap) else "(?: /)? " if out else "") + re.escape(word)
+    return out
+
+
+def marked(text: Column) -> Column:
+    """The normalised text with its marks. They are letters of upper case at first, of which a lower-cased text has none in ASCII."""
+    text = F.regexp_replace(F.lower(text), r"[.!?]+(?:[ \t\r]+|\r?(?=\n))", F.lit(" S "))
+    text = F.regexp_replace(F.regexp_replace(text, r"\n", F.lit(" N ")), "[^a-z0-9+NS]+", F.lit(" "))
+    text = F.regexp_replace(text, "N(?: N)+", F.lit("S"))
+    text = F.translate(text, "NS", "/|")
+    return F.concat(F.lit("| "), F.btrim(text), F.lit(" |"))
+
+
 def ordered(rules: dict[str, list[list[str]]]) -> list[tuple[str, list[str]]]:
     """Longest rules first; equally long ones in the order given."""
     return sorted(((name, r) for name, rs in rules.items() for r in rs), key=lambda x: -len(x[1]))
@@ -104,23 +127,20 @@ def scan(docs: DataFrame, sentences=SENTENCES, rules=RULES, id_col: str = "doc_i
     scanned each. Whole texts are read; no exchange; other columns are not read.
     """
     known = known_sentences(sentences)
+    texts = [*sentences.values()]
+    if sentences is SENTENCES:
+        texts += [t for _, t in WHOLE]
+        known |= {normal_text(t): names for names, t in WHOLE}
     table = F.create_map(*[F.lit(x) for kv in known.items() for x in kv])
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     low = F.lower(text)
     some = low.contains(TRIGGERS[0])
     for t in TRIGGERS[1:]:
         some = some | low.contains(t)
-    least, most = min(map(len, known)), 4 * max(map(len, known))
-
-    def trigger(s: Column) -> Column:
-        out = F.length(s).between(least, most)
-        hit = F.lit(False)
-        for t in TRIGGERS:
-            hit = hit | F.lower(s).contains(t)
-        return out & hit
-
-    parts = F.filter(F.split(text, BREAK), trigger)
-    ids = F.filter(F.transform(F.transform(parts, normal), lambda s: F.try_element_at(table, s)), lambda x: x.isNotNull())
+    every = sorted({pattern(t) for t in texts}, key=lambda x: (-len(x), x))
+    hits = F.regexp_extract_all(marked(text), F.lit("(?<=[/|] )(?:" + "|".join(every) + ")(?= [/|])"), F.lit(0))
+    ids = F.transform(hits, lambda s: F.try_element_at(table, F.regexp_replace(s, " [/|]", F.lit(""))))
+    ids = F.flatten(F.transform(ids, lambda x: F.split(x, ",")))
     found = docs.select(F.col(id_col), F.when(some, ids).alias("ids")).select(id_col, F.coalesce("ids", F.array().cast("array<string>")).alias("ids"))
     found = found.select(id_col, F.size("ids").cast("long").alias("n_known"), F.array_join("ids", ",").alias("sentence_ids"), F.concat(F.lit(",,"), F.array_join("ids", ",,"), F.lit(",,")).alias("left"))
     # Each rule's place in the sequence is replaced by a bar, which no rule contains.

@@ -1,6 +1,7 @@
 """The llm operators against plain versions, on small and on awkward inputs."""
 
 import random
+import textwrap
 import zlib
 
 import pytest
@@ -271,6 +272,47 @@ def test_license(spark):
     assert got == {1: "MIT", 2: "BSD-3-Clause", 3: "BSD-2-Clause", 4: "", 5: "", 6: "CC-BY-4.0,CC-BY-NC-4.0", 7: "", 8: "Apache-2.0"}
 
 
+MIT = """Copyright (c) 2020 A. Person
+
+Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE."""
+MPL = "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."
+GPL = """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.
+
+This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU General Public License for more details."""
+BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."""
+
+
+def test_license_real_notices(spark):
+    """Unwrapped, wrapped, and wrapped behind comment leaders; a known sentence must not go on in its line or paragraph's next sentence."""
+    want = [(MIT, "MIT"), (MPL, "MPL-2.0"), (GPL, "GPL-3.0-or-later"), (BSD, "BSD-3-Clause"), (APACHE, "Apache-2.0")]
+    rows, names = [], {}
+    for text, name in want:
+        for width in (0, 60, 76):
+            for leader in ("", " * ", "# "):
+                lines = [x for part in text.split("\n") for x in (textwrap.wrap(part, width) if width and part else [part])]
+                rows.append((len(rows), "\n".join((leader + x).rstrip() for x in lines)))
+                names[len(rows) - 1] = name
+    for text in ("Licensed under the\n\nMIT License", "Licensed under the. MIT License", "Licensed under the MIT License or not"):
+        rows.append((len(rows), text))
+        names[len(rows) - 1] = ""
+    assert {r.doc_id: r.licenses for r in license_scan.scan(docs_of(spark, rows)).collect()} == names
+
+
 def test_repeated_rows_and_nulls(spark):
     """Repeated rows, rows without an id, and null texts pass through every operator."""
     rows = [(1, "a b c d e f g h " * 30), (1, "a b c d e f g h " * 30), (2, "z y x w v u " * 40), (None, "z y x w v u " * 40), (None, None), (3, None), (3, "")]

@@ -313,6 +313,12 @@ def test_license_real_notices(spark):
     assert {r.doc_id: r.licenses for r in license_scan.scan(docs_of(spark, rows)).collect()} == names
 
 
+def test_license_long_runs(spark):
+    """Runs of other characters don't count towards a sentence's length."""
+    rows = [(1, "/" + "*" * 5000 + " Released under the MIT License " + "*" * 5000 + "/"), (2, "Licensed under" + " " * 5000 + "CC BY 4.0")]
+    assert {r.doc_id: r.licenses for r in license_scan.scan(docs_of(spark, rows)).collect()} == {1: "MIT", 2: "CC-BY-4.0"}
+
+
 def test_repeated_rows_and_nulls(spark):
     """Repeated rows, rows without an id, and null texts pass through every operator."""
     rows = [(1, "a b c d e f g h " * 30), (1, "a b c d e f g h " * 30), (2, "z y x w v u " * 40), (None, "z y x w v u " * 40), (None, None), (3, None), (3, "")]

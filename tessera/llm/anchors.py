@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import Held, PACKED_DDL, Packer, arrow_groups, arrow_map, batch, bucket_of, compact, small_join, starts, unpack
 from tessera.llm.wordcore import mix
 
-RUN = np.dtype([("m", np.uint64), ("f", np.uint64), ("doc", np.int64), ("t", np.int64), ("s", np.int32), ("n", np.int32), ("own", np.int8)])
+RUN = np.dtype([("m", np.uint64), ("f", np.uint64), ("g", np.uint64), ("doc", np.int64), ("t", np.int64), ("s", np.int32), ("n", np.int32), ("own", np.int8)])
 #: Kinds of rows of runs().
 FULL, PENDING, PARTNER = 0, 1, 2
 #: Copied texts are broadcast up to so many, else joined by an exchange.
@@ -41,11 +41,16 @@ SKETCH_BITS = 20
 _PIECE_BITS = 14
 
 
-def marked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc, t, text, rep): rep is the least doc of all rows with this text if there are several, else null."""
+def marked(docs: DataFrame, id_col: str, text_col: str, nulls: bool) -> DataFrame:
+    """(id, doc, t, text, rep): doc is the id, or a hash of the text where that is null.
+
+    rep is the least doc of all rows with this text if there are several, else
+    null. With nulls, rows without an id are such rows too; else rep is the least id.
+    """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text).alias("t"), F.xxhash64(F.lit(1), text).alias("u"), text.alias("text"))
-    copied = compact(rows.groupBy("t", "u").agg(F.min("doc").alias("rep"), F.count("*").alias("n")).where("n > 1").select("t", "u", "rep"), "copies")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("t"), F.xxhash64(F.lit(1), text).alias("u"), text.alias("text"))
+    rows = rows.withColumn("doc", F.coalesce("id", "u"))
+    copied = compact(rows.groupBy("t", "u").agg(F.min("doc" if nulls else "id").alias("rep"), F.count("*").alias("n")).where("n > 1").select("t", "u", "rep"), "copies")
     return small_join(rows, copied, ["t", "u"], "left", MOST_COPIES).drop("u")
 
 
@@ -130,11 +135,11 @@ def _ungathered(packed: DataFrame, smaller: bool, limit: int, sizes) -> DataFram
         for b in batches:
             for body in b.column("body").to_pylist():
                 r = np.frombuffer(body, RUN)
-                r = r[np.lexsort((r["s"], r["t"], r["doc"], r["n"], r["f"], r["m"]))]
-                r = r[starts(r["m"], r["f"], r["n"], r["doc"], r["t"], r["s"])]
+                r = r[np.lexsort((r["s"], r["t"], r["doc"], r["g"], r["f"], r["m"]))]
+                r = r[starts(r["m"], r["f"], r["g"], r["doc"], r["t"], r["s"])]
                 if not len(r):
                     continue
-                at = starts(r["m"], r["f"], r["n"])
+                at = starts(r["m"], r["f"], r["g"])
                 size = np.diff(np.r_[at, len(r)])
                 least = np.repeat(r["doc"][at], size)
                 # bytes: a region found twice repeats wherever it is, and its first place stands for it
@@ -162,12 +167,12 @@ def _gathered(packed: DataFrame, smaller: bool, limit: int) -> DataFrame:
         at = starts(m)
         size = np.diff(np.r_[at, len(m)])
         r = r[order[np.repeat(size > 1, size) | (r["own"][order] > 0)]]
-        order = np.lexsort((r["s"], r["t"], r["doc"], r["n"], r["f"], r["m"]))
+        order = np.lexsort((r["s"], r["t"], r["doc"], r["g"], r["f"], r["m"]))
         r = r[order]
-        r = r[starts(r["m"], r["f"], r["n"], r["doc"], r["t"], r["s"])]  # repeated rows of the input
+        r = r[starts(r["m"], r["f"], r["g"], r["doc"], r["t"], r["s"])]  # repeated rows of the input
         if not len(r):
             return pa.Table.from_batches([], schema)
-        am, ac = starts(r["m"]), starts(r["m"], r["f"], r["n"])
+        am, ac = starts(r["m"]), starts(r["m"], r["f"], r["g"])
         sm, sc = np.diff(np.r_[am, len(r)]), np.diff(np.r_[ac, len(r)])
         first = np.zeros(len(r), np.bool_)
         first[ac] = True

@@ -100,6 +100,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, with as many underscores at their ends as it takes for df to have none of them."""
+    have = {c.lower() for c in df.columns}
+    while any(n.lower() in have for n in names):
+        names = tuple(f"{n}_" for n in names)
+    return list(names)
+
+
 def parts(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

@@ -4,10 +4,13 @@ Lines become records (128-bit key hash, document, position). The records are
 partitioned by ranges of all four columns and sorted the same way, so a key's
 records lie side by side, in order of document and position, and one very
 common key may span many partitions instead of filling one. Each partition is
-decided in one pass over its sorted records: a key that lies wholly inside is settled there. Keys at the ends of
-a partition may go on elsewhere: for these, a summary of at most ``copies``
-document ids per partition is merged, and their lines are decided by it. There
-are at most two such keys a partition, which bounds the merged summary.
+decided in one pass over its sorted batches, of which only the open key's last
+document is carried on: a line goes once enough documents and a larger one are
+known to have its key. Keys at the ends of a partition may go on elsewhere: for
+these, a summary of at most ``copies`` document ids per partition is merged,
+and their undecided lines are decided by it. There are at most two such keys a
+partition, which bounds the merged summary. The number of partitions follows
+the number of lines.
 
 The operator returns a compressed keep bitmap for each document, not texts.
 """
@@ -22,12 +25,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Held, arrow_map, batch, compact, parts, prepare, starts, texts_of
-from tessera.llm.wordcore import BASE, BASE_INV, BYTE_VALUE, LOWER, SPACE, Words, chunks, column_bytes, mix, powers
+from tessera.llm.common import Held, arrow_map, batch, compact, fresh, parts, prepare, starts, texts_of
+from tessera.llm.wordcore import LOWER, SPACE, Words, chunks, column_bytes, digests
 
 _CHUNK = 1 << 18
-BASE2 = np.uint64(0xC2B2AE3D27D4EB4F)
-BASE2_INV = np.uint64(pow(int(BASE2), -1, 2**64))
+#: Lines of a range partition, about.
+PARTITION_LINES = 4_000_000
 #: \n alone parts lines.
 _LINE = np.zeros(256, np.bool_)
 _LINE[0x0A] = True
@@ -72,11 +75,7 @@ def line_records(docs: DataFrame, least: int) -> DataFrame:
                 np.cumsum((x & 0xC0) != 0x80, out=points[1:])
                 ok = points[e] - points[s] >= least
                 some, s, e = some[ok], s[ok], e[ok]
-                h = []
-                for base, inverse in ((BASE, BASE_INV), (BASE2, BASE2_INV)):
-                    total = np.zeros(len(x) + 1, np.uint64)
-                    np.cumsum(BYTE_VALUE[words.data] * powers(base, len(x)), out=total[1:])
-                    h.append(mix((total[e] - total[s]) * powers(inverse, len(x) + 1)[s] + (e - s).astype(np.uint64)).view(np.int64))
+                h = [x.view(np.int64) for x in digests(words.data, s, e)]
                 r = np.searchsorted(first, some, "right") - 1
                 if len(r):
                     yield batch(schema, *h, doc[r + i], row[r + i], (some - first[r]).astype(np.int32))
@@ -84,6 +83,43 @@ def line_records(docs: DataFrame, least: int) -> DataFrame:
     return arrow_map(docs, run, "h1 long, h2 long, doc long, row long, pos int")
 
 
+class Decider:
+    """Decides the sorted records (h1, h2, doc, row, pos) of a partition batch by batch. Records of its first key are never decided here."""
+
+    def __init__(self, copies: int):
+        self.copies = copies
+        self.first: tuple | None = None
+        self.open: tuple | None = None
+        self.held: list[np.ndarray] = [np.zeros(0, np.int64)] * 5  # what waits of the open key: all, or its largest document's
+        self.before = 0  # documents of the open key whose records were dropped
+        self.tops: dict[tuple, list[int]] = {}  # the largest documents of the first and the open key
+
+    def add(self, *columns: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """The records to drop, and those of the first key, as columns."""
+        carried = len(self.held[0]) > 0
+        columns = [np.concatenate(x) for x in zip(self.held, columns, strict=True)]
+        h1, h2, doc = columns[:3]
+        at = starts(h1, h2)
+        size = np.diff(np.r_[at, len(h1)])
+        key = np.repeat(np.arange(len(at)), size)
+        new = np.zeros(len(h1), np.bool_)
+        new[starts(h1, h2, doc)] = True
+        n_docs = np.bincount(key[new], minlength=len(at))
+        n_docs[0] += self.before if carried else 0
+        names = [(int(h1[i]), int(h2[i])) for i in (at[0], at[-1])]
+        self.first = self.first or names[0]
+        self.open = names[1]
+        for name, docs in zip(names, (doc[: size[0]], doc[at[-1] :]), strict=True):
+            self.tops[name] = sorted({*self.tops.get(name, []), *np.unique(docs)[-self.copies :].tolist()})[-self.copies :]
+        self.tops = {k: v for k, v in self.tops.items() if k in (self.first, self.open)}
+        never = key == 0 if names[0] == self.first else np.zeros(len(key), np.bool_)
+        drop = ~never & (n_docs >= self.copies)[key] & (doc != doc[at + size - 1][key])
+        wait = ~never & ~drop & (key == len(at) - 1)
+        self.before = int(n_docs[-1]) - len(np.unique(doc[wait]))
+        self.held = [c[wait] for c in columns]
+        return [c[drop] for c in columns], [c[never] for c in columns]
+
+
 def dropped_lines(lines: DataFrame, copies: int, n: int) -> DataFrame:
     """(doc, row, pos) of the lines to drop."""
     keys = ["h1", "h2", "doc", "row", "pos"]
@@ -92,31 +128,22 @@ def dropped_lines(lines: DataFrame, copies: int, n: int) -> DataFrame:
     ddl = "h1 long, h2 long, doc long, row long, pos int, docs array<long>"
 
     def run(batches):
-        """Three kinds of rows: lines to drop (no h1), lines of a key at an end of the partition, and such a key's summary (with docs)."""
-        held = [[b.column(x).to_numpy(zero_copy_only=False) for x in range(5)] for b in batches]
-        if not held:
-            return
-        h1, h2, doc, row, pos = (np.concatenate(x) for x in zip(*held, strict=True))
-        held.clear()
-        at = starts(h1, h2)
-        ends = np.r_[at[1:], len(h1)]
-        key = np.zeros(len(h1), np.int64)
-        key[at[1:]] = 1
-        key = np.cumsum(key)
-        new = np.zeros(len(h1), np.bool_)
-        new[starts(h1, h2, doc)] = True
-        n_docs = np.bincount(key[new], minlength=len(at))
-        largest = doc[ends - 1]
-        inner = (key > 0) & (key < len(at) - 1)
-        drop = inner & (n_docs[key] >= copies) & (doc != largest[key])
-        for keep, decided in ((drop, True), (~inner, False)):
-            k = np.flatnonzero(keep)
-            for x in (k[i : i + 50_000] for i in range(0, len(k), 50_000)):
-                none = pa.nulls(len(x), pa.int64())
-                yield batch(schema, none if decided else h1[x], none if decided else h2[x], doc[x], row[x], pos[x], pa.nulls(len(x), schema.field("docs").type))
-        for g in sorted({0, len(at) - 1}):
-            own = doc[at[g] : ends[g]]
-            yield batch(schema, h1[at[g] : at[g] + 1], h2[at[g] : at[g] + 1], [None], [None], [None], [np.unique(own)[::-1][:copies].tolist()])
+        """Three kinds of rows: lines to drop (no h1), undecided lines of a key at an end of the partition, and such a key's summary (with docs)."""
+
+        def rows(columns, decided):
+            h1, h2, doc, row, pos = columns
+            none = pa.nulls(len(doc), pa.int64())
+            return batch(schema, none if decided else h1, none if decided else h2, doc, row, pos.astype(np.int32), pa.nulls(len(doc), schema.field("docs").type))
+
+        decider = Decider(copies)
+        for b in batches:
+            if b.num_rows:
+                drop, open_ = decider.add(*[b.column(x).to_numpy(zero_copy_only=False) for x in range(5)])
+                yield rows(drop, True)
+                yield rows(open_, False)
+        yield rows(decider.held, False)
+        for (h1, h2), docs in decider.tops.items():
+            yield batch(schema, [h1], [h2], [None], [None], [None], [docs])
 
     found = compact(arrow_map(dealt, run, ddl), "lines", 200_000)
     sums = found.where("docs is not null").groupBy("h1", "h2").agg(F.array_distinct(F.flatten(F.collect_list("docs"))).alias("docs")).where(F.size("docs") >= copies).select("h1", "h2", F.array_max("docs").alias("keeper"))
@@ -130,13 +157,15 @@ def keep_bitmaps(docs: DataFrame, copies: int = 3, least: int = 20, id_col: str
     A line's key is the line without [\\x20\\x09-\\x0D] at its ends, A-Z lower-cased.
     Keys of at least ``least`` code points in at least ``copies`` documents keep
     only the lines in the largest document. Rows that repeat a doc_id count as
-    one document. Null and empty texts have one empty line, which stays; rows without an id are not considered.
+    one document. Null and empty texts have one empty line, which stays; rows without an id are not considered
+    and keep their lines. Texts and lines of any length are read whole. An empty table gives no rows.
     """
     prepare(docs.sparkSession)
     n = parts(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text_col).alias("row"), F.col(text_col).cast("string").alias("text")).where("doc is not null and text is not null")
     with Held() as held:
-        drops = dropped_lines(held(line_records(rows, least)), copies, n)
+        lines = held(line_records(rows, least))
+        drops = dropped_lines(lines, copies, max(n, -(-lines.count() // PARTITION_LINES)))
     drops = drops.groupBy("doc", "row").agg(F.collect_list("pos").alias("at"))
     schema = pa.schema([("doc", pa.int64()), ("row", pa.int64()), ("dropped", pa.binary())])
 
@@ -157,10 +186,12 @@ def unpack_bits(body: bytes) -> np.ndarray:
     return np.flatnonzero(np.unpackbits(np.frombuffer(zlib.decompress(body), np.uint8)))
 
 
-def _with_bitmaps(docs: DataFrame, copies: int, least: int, id_col: str, text_col: str) -> DataFrame:
-    maps = keep_bitmaps(docs, copies, least, id_col, text_col).withColumnsRenamed({"doc": "__doc", "row": "__row"})
-    marked = docs.withColumn("__hash", F.xxhash64(text_col))
-    return marked.join(maps, (marked[id_col].cast("long") == maps["__doc"]) & (marked["__hash"] == maps["__row"]), "left").drop("__doc", "__row", "__hash")
+def _with_bitmaps(docs: DataFrame, copies: int, least: int, id_col: str, text_col: str) -> tuple[DataFrame, str]:
+    """docs with each row's bitmap, and the name of its column."""
+    doc, row, own, dropped = fresh(docs, "__doc", "__row", "__hash", "dropped")
+    maps = keep_bitmaps(docs, copies, least, id_col, text_col).withColumnsRenamed({"doc": doc, "row": row, "dropped": dropped})
+    marked = docs.withColumn(own, F.xxhash64(text_col))
+    return marked.join(maps, (marked[id_col].cast("long") == maps[doc]) & (marked[own] == maps[row]), "left").drop(doc, row, own), dropped
 
 
 def kept_text(text: str, dropped: bytes | None) -> tuple[str, int, int]:
@@ -173,25 +204,25 @@ def kept_text(text: str, dropped: bytes | None) -> tuple[str, int, int]:
 
 
 def dedup(docs: DataFrame, copies: int = 3, least: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with the text that keep_bitmaps() leaves; all columns stay. Null texts stay null; a text that loses all lines is empty."""
-    rows = _with_bitmaps(docs, copies, least, id_col, text_col)
+    """docs with the text that keep_bitmaps() leaves; all columns stay, whatever their names. Null texts stay null; a text that loses all lines is empty."""
+    rows, bitmap = _with_bitmaps(docs, copies, least, id_col, text_col)
 
     @F.pandas_udf("string")
     def kept(texts, dropped):
         return texts.combine(dropped, lambda t, d: None if t is None else kept_text(t, d)[0])
 
-    lost = F.col("dropped").isNotNull()
-    return rows.withColumn(text_col, F.when(lost, kept(F.when(lost, F.col(text_col)), "dropped")).otherwise(F.col(text_col))).drop("dropped")
+    lost = F.col(bitmap).isNotNull()
+    return rows.withColumn(text_col, F.when(lost, kept(F.when(lost, F.col(text_col)), bitmap)).otherwise(F.col(text_col))).drop(bitmap)
 
 
 def digest(docs: DataFrame, copies: int = 3, least: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id_col, n_lines, n_dropped, kept_sha256."""
     schema = pa.schema([("id", pa.int64()), ("n_lines", pa.int64()), ("n_dropped", pa.int64()), ("kept_sha256", pa.string())])
-    rows = _with_bitmaps(docs.select(id_col, text_col), copies, least, id_col, text_col)
+    rows, bitmap = _with_bitmaps(docs.select(id_col, text_col), copies, least, id_col, text_col)
 
     def run(batches):
         for b in batches:
             out = [kept_text(t, d) for t, d in zip(texts_of(b.column(1)), b.column(2).to_pylist(), strict=True)]
             yield batch(schema, b.column(0), [n for _, n, _ in out], [d for _, _, d in out], [hashlib.sha256(t.encode()).hexdigest() for t, _, _ in out])
 
-    return arrow_map(rows.select(F.col(id_col).cast("long"), text_col, "dropped"), run, "id long, n_lines long, n_dropped long, kept_sha256 string").withColumnRenamed("id", id_col)
+    return arrow_map(rows.select(F.col(id_col).cast("long"), text_col, bitmap), run, "id long, n_lines long, n_dropped long, kept_sha256 string").withColumnRenamed("id", id_col)

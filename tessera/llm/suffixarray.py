@@ -25,14 +25,12 @@ from pyspark.sql import functions as F
 from tessera.llm import anchors
 from tessera.llm.anchors import RUN, merged, runs_of
 from tessera.llm.common import Packer, arrow_groups, arrow_map, batch, bucket_of, compact, parts, prepare, small_join, starts, unpack
-from tessera.llm.wordcore import BASE, BASE_INV, BYTE_VALUE, chunks, column_bytes, mix, powers, sliding_min
+from tessera.llm.wordcore import BASE, BASE_INV, BYTE_VALUE, chunks, column_bytes, digests, mix, powers, sliding_min
 
 GRAM = 32
 SHARD_BYTES = 3 << 20
 CROSS_BYTES = 6 << 20
 _CHUNK = 1 << 18
-BASE2 = np.uint64(0xC2B2AE3D27D4EB4F)
-BASE2_INV = np.uint64(pow(int(BASE2), -1, 2**64))
 _CROSS = np.dtype([("h", np.uint64), ("g", np.uint64), ("doc", np.int64), ("t", np.int64), ("s", np.int32), ("n", np.int8)])
 
 
@@ -138,7 +136,7 @@ def find_runs(width: int, gram: int):
             hit = g[place[np.arange(len(owner)) - np.repeat(np.cumsum(k) - k, k) + np.repeat(a, k)]] == value[at][owner]
             r = np.empty(len(at), RUN)
             r["m"], r["doc"], r["t"] = value[at], doc[i:j][row[at]], t[i:j][row[at]]
-            r["f"] = mix((total[e] - total[s0]) * powers(BASE_INV, n)[s0] + (e - s0).astype(np.uint64))
+            r["f"], r["g"] = digests(x, s0, e)
             r["s"], r["n"], r["own"] = s0 - o[row[at]], e - s0, np.bincount(owner[hit], minlength=len(at)) > 1
             yield r
 
@@ -208,12 +206,8 @@ def resolve(shipped: DataFrame, width: int, buckets: int) -> DataFrame:
         if t.column("cross")[0].as_py() and len(shard.at):
             c = shard.classes()
             at, region = shard.at[c], shard.region[c]
-            x = shard.x.astype(np.int64)
             rec = np.empty(len(c), _CROSS)
-            for name, base, inverse in (("h", BASE, BASE_INV), ("g", BASE2, BASE2_INV)):
-                total = np.zeros(len(x) + 1, np.uint64)
-                np.cumsum(BYTE_VALUE[np.maximum(x - 1, 0)] * powers(base, len(x)), out=total[1:])
-                rec[name] = mix((total[at + width] - total[at]) * powers(inverse, len(x))[at])
+            rec["h"], rec["g"] = digests(np.maximum(shard.x - 1, 0).astype(np.uint8), at, at + width)
             # a class that repeats here, or of a partner, only answers; the others ask too
             rec["doc"], rec["t"], rec["s"], rec["n"] = doc[region], text[region], s0[region] + (at - shard.base[region]), np.where(twice[c] | ~pending[region], 0, 1)
             pack = Packer(buckets, 1 << 62)
@@ -261,11 +255,12 @@ def remove(docs: DataFrame, width: int = 400, id_col: str = "doc_id", text_col:
     Each byte covered by a string of width bytes that also starts anywhere else
     is removed; overlaps count; strings are judged on the input. Null and empty
     texts have no bytes; texts shorter than width lose none; rows that repeat a text of width bytes or more lose
-    all. Rows without an id take part as copies only. The kept bytes need not be UTF-8.
+    all. Rows without an id take part like others. Texts of any length are read whole. An empty table
+    gives no rows; other columns are not read. The kept bytes need not be UTF-8.
     """
     prepare(docs.sparkSession)
-    rows = anchors.marked(docs, id_col, text_col)
-    spans = repeated_spans(rows.where("octet_length(text) >= %d and doc is not null and (rep is null or rep = doc)" % width), width)
+    rows = anchors.marked(docs, id_col, text_col, True)
+    spans = repeated_spans(rows.where("octet_length(text) >= %d and (rep is null or rep = doc)" % width), width)
     spans = compact(spans, "spans")
     every = small_join(rows, spans, ["doc", "t"], "left", anchors.MOST_COPIES)
     schema = pa.schema([("id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), *[("kept", pa.binary())] * keep])
@@ -287,4 +282,4 @@ def remove(docs: DataFrame, width: int = 400, id_col: str = "doc_id", text_col:
                 out.append((n, n - len(body), k, hashlib.sha256(body).hexdigest(), body)[: 4 + keep])
             yield batch(schema, b.column(0), *zip(*out, strict=True)) if out else batch(schema, *[[]] * len(schema))
 
-    return arrow_map(every.select("doc", "text", F.col("rep").isNotNull().alias("copied"), "starts", "ends"), run, "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep).withColumnRenamed("id", id_col)
+    return arrow_map(every.select("id", "text", F.col("rep").isNotNull().alias("copied"), "starts", "ends"), run, "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep).withColumnRenamed("id", id_col)

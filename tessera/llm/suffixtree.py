@@ -27,14 +27,15 @@ from pyspark.sql import functions as F
 from tessera.llm import anchors
 from tessera.llm.anchors import RUN, merged
 from tessera.llm.common import Packer, arrow_groups, arrow_map, batch, bucket_of, compact, parts, prepare, small_join, starts, unpack
-from tessera.llm.wordcore import SAME, SPACE, WORD_BASE, Words, chunks, column_bytes, inside_rows, mix, powers, sliding_min, window_hashes
+from tessera.llm.wordcore import SAME, SPACE, Words, chunks, column_bytes, digests, inside_rows, sliding_min, window_hashes
 
 GRAM = 10
 SHARD_WORDS = 400_000
 CROSS_WORDS = 800_000
 GROUP_SUFFIXES = 100_000
 _CHUNK = 1 << 18
-_INVERSE = np.uint64(pow(int(WORD_BASE), -1, 2**64))
+#: The second, independent word hash of path fingerprints.
+_SEED = 0xA5A5A5A5DEADBEEF
 _NODE = np.dtype([("h", np.uint64), ("g", np.uint64), ("doc", np.int64), ("t", np.int64), ("s", np.int32), ("n", np.int8)])
 
 
@@ -54,11 +55,9 @@ def find_runs(width: int, gram: int):
             value = m[at]
             new = starts(value, row)
             s0, e = at[new], at[np.r_[new[1:], len(at)] - 1] + width
-            total = np.zeros(len(h) + 1, np.uint64)
-            np.cumsum(h * powers(WORD_BASE, len(h)), out=total[1:])
             r = np.empty(len(new), RUN)
             r["m"], r["doc"], r["t"] = value[new], doc[i:j][row[new]], t[i:j][row[new]]
-            r["f"] = mix((total[e] - total[s0]) * powers(_INVERSE, len(h) + 1)[s0])
+            r["f"], r["g"] = digests(h, s0, e)
             r["s"], r["n"], r["own"] = s0 - words.first[row[new]], e - s0, 0
             yield r
 
@@ -153,14 +152,8 @@ class Forest:
 def path_hashes(forest: Forest, at: np.ndarray, bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Two fingerprints of the width words from each place, the same in every shard."""
     data, offsets = column_bytes(pa.array(bodies, pa.binary()))
-    h = Words(data, offsets, SAME, SPACE).hashes()
-    g = mix(h ^ np.uint64(0xA5A5A5A5DEADBEEF))
-    out = []
-    for v in (h, g):
-        total = np.zeros(len(v) + 1, np.uint64)
-        np.cumsum(v * powers(WORD_BASE, len(v)), out=total[1:])
-        out.append(mix((total[at + forest.width] - total[at]) * powers(_INVERSE, len(v) + 1)[at]))
-    return out[0], out[1]
+    words = Words(data, offsets, SAME, SPACE)
+    return window_hashes(words.hashes(), forest.width)[at], window_hashes(words.hashes(_SEED), forest.width)[at]
 
 
 def resolve(shipped: DataFrame, width: int, buckets: int) -> DataFrame:
@@ -241,11 +234,12 @@ def remove(docs: DataFrame, width: int = 50, id_col: str = "doc_id", text_col: s
     smaller id is removed, judged on the input. Kept words are joined by single
     blanks. Null and empty texts have no words; texts of fewer than width words
     lose none; of equal texts, those with larger ids lose all; rows that repeat an id and a text fare alike. Rows
-    without an id take no part and keep their words.
+    without an id take no part and keep their words. Texts of any length are read
+    whole. An empty table gives no rows; other columns are not read.
     """
     prepare(docs.sparkSession)
-    rows = anchors.marked(docs, id_col, text_col)
-    found = compact(repeated_spans(rows.where("text <> '' and doc is not null and (rep is null or rep = doc)"), width), "spans")
+    rows = anchors.marked(docs, id_col, text_col, False)
+    found = compact(repeated_spans(rows.where("text <> '' and id is not null and (rep is null or rep = doc)"), width), "spans")
     every = small_join(rows, found, ["doc", "t"], "left", anchors.MOST_COPIES)
     schema = pa.schema([("id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), *[("kept", pa.string())] * keep])
 
@@ -264,4 +258,4 @@ def remove(docs: DataFrame, width: int = 50, id_col: str = "doc_id", text_col: s
                 out.append((n, n - len(words), hashlib.sha256(body).hexdigest(), body.decode() if keep else None)[: 3 + keep])
             yield batch(schema, b.column(0), *zip(*out, strict=True)) if out else batch(schema, *[[]] * len(schema))
 
-    return arrow_map(every.select("doc", "text", F.expr("rep is not null and rep < doc").alias("copied"), "starts", "ends"), run, "id long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * keep).withColumnRenamed("id", id_col)
+    return arrow_map(every.select("id", "text", F.expr("coalesce(rep < id, false)").alias("copied"), "starts", "ends"), run, "id long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * keep).withColumnRenamed("id", id_col)

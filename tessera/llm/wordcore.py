@@ -2,12 +2,20 @@
 
 A batch of texts is taken as one byte buffer. Word bounds, word hashes and
 window hashes are computed with numpy for all texts at once; no Python loop
-runs over words. Hashes are 64 bits: where a wrong match would change a result,
-callers compare the words themselves.
+runs over words.
+
+Word hashes are 64 bits: eight bytes at a time through a bijective finaliser,
+so words of up to eight bytes never share one, and BLAKE2b for long words.
+Nothing is linear in the bytes or words, so no pattern of them (repetition,
+Thue-Morse and the like) makes two words or two windows equal; what is left is
+chance, n**2 / 2**65 for n different words. Longer stretches (lines, regions)
+have 128-bit BLAKE2b digests. Only GRAM hashes are polynomials: they say where to look, and no result depends on their being different.
 """
 
 from __future__ import annotations
 
+from hashlib import blake2b
+
 import numpy as np
 
 #: [\x20\x09-\x0D], the separators of the word contracts.
@@ -22,14 +30,17 @@ _RNG = np.random.Generator(np.random.PCG64(20240611))
 BYTE_VALUE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 BASE_INV = np.uint64(pow(int(BASE), -1, 2**64))
-WORD_BASE = np.uint64(0xD6E8FEB86659FD93)
+PAIR = np.uint64(0xD6E8FEB86659FD93)
+#: The first so many bytes of a word that eight are read of.
+_MASK = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+_LONG_WORD = 64
 
 _powers: dict[int, np.ndarray] = {}
 _KEPT_POWERS = 1 << 19
 
 
 def powers(base: np.uint64, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64. Short runs of them are kept; long ones, for a very long text, are made anew."""
+    """base**0 .. base**(n-1) modulo 2**64, for gram hashes. Short runs of them are kept; long ones, for a very long text, are made anew."""
     key = int(base)
     have = _powers.get(key)
     if have is None or len(have) < n:
@@ -103,32 +114,50 @@ class Words:
         self.first = np.searchsorted(self.start, offsets)
         self.first[-1] = len(self.start)
 
-    def hashes(self) -> np.ndarray:
-        n = len(self.data)
-        if not len(self.start):
+    def hashes(self, seed: int = 0x9E3779B97F4A7C15) -> np.ndarray:
+        """A hash of each word; other seeds give independent ones."""
+        size = self.end - self.start
+        if not len(size):
             return np.zeros(0, np.uint64)
-        total = np.zeros(n + 1, np.uint64)
-        np.cumsum(BYTE_VALUE[self.data] * powers(BASE, n), out=total[1:])
-        h = total[self.end] - total[self.start]
-        h *= powers(BASE_INV, n)[self.start]
-        return mix(h + (self.end - self.start).astype(np.uint64))
+        padded = np.zeros(len(self.data) + 8, np.uint8)
+        padded[:-8] = self.data
+        eight = np.ndarray((len(self.data) + 1,), "<u8", buffer=padded, strides=(1,))
+        h = mix((size.astype(np.uint64) * np.uint64(seed | 1)) ^ (eight[self.start] & _MASK[np.minimum(size, 8)]))
+        left = np.flatnonzero(size > 8)
+        for at in range(8, _LONG_WORD, 8):
+            if not len(left):
+                return h
+            more = eight[self.start[left] + at] & _MASK[np.minimum(size[left] - at, 8)]
+            h[left] = mix(h[left] * BASE ^ more)
+            left = left[size[left] > at + 8]
+        key = seed.to_bytes(8, "little")
+        for i in left.tolist():
+            h[i] = int.from_bytes(blake2b(self.data[self.start[i] : self.end[i]].tobytes(), digest_size=8, key=key).digest(), "little")
+        return h
 
 
 def window_hashes(words: np.ndarray, width: int) -> np.ndarray:
-    """The hash of each run of width words, at its first word; len(words) - width + 1 of them."""
+    """The hash of each run of width words, at its first word; len(words) - width + 1 of them. Runs of 2, 4, 8.. words are put together from two halves."""
     n = len(words) - width + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    if width <= 12:
-        h = np.zeros(n, np.uint64)
-        for i in range(width):
-            h *= WORD_BASE
-            h += words[i : i + n]
-        return mix(h)
-    total = np.zeros(len(words) + 1, np.uint64)
-    np.cumsum(words * powers(WORD_BASE, len(words)), out=total[1:])
-    inverse = np.uint64(pow(int(WORD_BASE), -1, 2**64))
-    return mix((total[width:] - total[:-width]) * powers(inverse, n))
+    out, used, size = None, 0, 1
+    while True:
+        if width & size:
+            own = words[used : used + n]
+            out = own if out is None else mix(out * PAIR + own)
+            used += size
+        if 2 * size > width:
+            return out
+        words = mix(words[:-size] * PAIR + words[size:])
+        size *= 2
+
+
+def digests(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The two halves of a 128-bit BLAKE2b digest of each stretch of values."""
+    body, k = memoryview(np.ascontiguousarray(values)).cast("B"), values.itemsize
+    both = np.frombuffer(b"".join([blake2b(body[a:z], digest_size=16).digest() for a, z in zip((start * k).tolist(), (end * k).tolist(), strict=True)]), "<u8").reshape(-1, 2)
+    return both[:, 0].copy(), both[:, 1].copy()
 
 
 def inside_rows(first: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:

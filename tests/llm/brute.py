@@ -28,7 +28,7 @@ def decontamination(docs, items, width=10):
             for j in range(len(w) - len(x) + 1):
                 if tuple(w[j : j + len(x)]) == x:
                     hit.update(range(j, j + len(x)))
-                    found |= own
+                    found |= own - {None}
         out.append((d, len(w), len(hit), len(found), sha(",".join(sorted(map(str, found)))), bool(hit)))
     return out
 

@@ -12,6 +12,7 @@ import brute
 from tessera.llm import anchors, decontam, jaccard, license_scan, linededup, pieces, suffixarray, suffixtree, topk, toxicity, urlfilter
 from tessera.llm.components import components
 from tessera.llm.queries import default_model
+from tessera.llm.wordcore import LOWER, SAME, SPACE, Words, column_bytes, window_hashes
 
 DDL = "doc_id long, text string, lang string, h1 string, bucket string, t string"
 
@@ -60,6 +61,113 @@ def test_decontamination(spark, rows, block):
     assert sorted(map(tuple, got)) == sorted(brute.decontamination(rows, items))
 
 
+def test_decontamination_many_short_items(spark):
+    """Equal windows of many items, items without an id, and one common word: candidates are made in slices."""
+    items = [(i, "the") for i in range(10_000)] + [(None, "red green"), (None, "the"), (20_000, "the red"), (20_000, "the red")]
+    rows = [(1, "the red green " * 300), (2, "green red"), (3, "red green"), (4, None)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for block in (decontam.BLOCK_BYTES, 2000):
+        got = decontam.digest(decontam.matches(docs_of(spark, rows), bench, block_bytes=block)).collect()
+        assert sorted(map(tuple, got)) == sorted(brute.decontamination(rows, items))
+
+
+def test_decontamination_slices(rows, monkeypatch):
+    monkeypatch.setattr(decontam, "_CANDIDATES", 7)
+    import pyarrow as pa
+
+    data, offsets = column_bytes(pa.array([t for _, t in rows], pa.string()))
+    words = Words(data, offsets, LOWER, decontam.SEPARATORS)
+    windows = decontam.Windows([(i, t) for i, t in rows[8:30:4]] + ITEMS, 10)
+    few = decontam.Shard(words, windows.vocabulary).match(windows)
+    monkeypatch.undo()
+    assert sorted(zip(*map(list, few), strict=True)) == sorted(zip(*map(list, decontam.Shard(words, windows.vocabulary).match(windows)), strict=True))
+
+
+def twins(bits=12):
+    """Two different strings of 2**bits letters, each the other's complement, which agree in every polynomial hash modulo 2**64."""
+    x = [bin(i).count("1") % 2 for i in range(1 << bits)]
+    return "".join("ab"[k] for k in x), "".join("ba"[k] for k in x)
+
+
+def test_patterned_words_are_told_apart(spark):
+    """op1, op3, op8, op10, op2 on strings that collide in polynomial hashes, as words, as lines and as sequences of words."""
+    a, b = twins()
+    filler = " ".join(f"f{i}" for i in range(60))
+    bench = spark.createDataFrame([(1, a)], "item_id long, text string")
+    rows = [(1, a), (2, b), (3, f"x {a} y"), (4, f"x {b} y")]
+    got = decontam.digest(decontam.matches(docs_of(spark, rows), bench)).collect()
+    assert sorted(map(tuple, got)) == sorted(brute.decontamination(rows, [(1, a)]))
+    rows = [(i, [a, b][i % 2] + f"\nown {i}") for i in range(5)]
+    assert sorted(map(tuple, linededup.digest(docs_of(spark, rows)).collect())) == sorted(brute.line_dedup(rows))
+    p, q = filler.split(), filler.split()
+    p[30], q[30] = a, b
+    words = [" ".join({"a": "alpha", "b": "beta"}[c] for c in t) for t in (a, b)]
+    rows = [(1, " ".join(p)), (2, " ".join(q)), (3, words[0]), (4, words[1])]
+    assert sorted(tuple(r)[:4] for r in suffixtree.remove(docs_of(spark, rows)).collect()) == sorted(brute.passages(rows, 50))
+    rows = [(1, f"u v {a} w"), (2, f"u v {b} w"), (3, a), (4, b), (5, words[0]), (6, words[1])]
+    assert sorted(map(tuple, jaccard.join(docs_of(spark, rows)).collect())) == sorted(brute.similar(rows))
+    rows = [(1, a), (2, b), (3, filler * 3 + a[:512]), (4, filler[::-1] + b[:512])]
+    assert sorted(tuple(r)[:5] for r in suffixarray.remove(docs_of(spark, rows)).collect()) == sorted(brute.substrings(rows, 400))
+
+
+def test_word_hashes():
+    """Equal just for equal words: lengths around eight bytes, zero bytes, patterns, and windows of any width."""
+    import numpy as np
+    import pyarrow as pa
+
+    r = random.Random(11)
+    words = {"".join(r.choice("ab") for _ in range(r.randint(1, 80))) for _ in range(5000)} | {"a" * n for n in range(1, 200)} | {"\x00" * n for n in range(1, 20)} | {"a" + "\x00" * n for n in range(20)} | set(twins())
+    words = sorted(words)
+    data, offsets = column_bytes(pa.array([" ".join(words + words)]))
+    h = Words(data, offsets, SAME, SPACE).hashes()
+    n = len(words)
+    assert (h[:n] == h[n:]).all() and len(np.unique(h)) == n and not (Words(data, offsets, SAME, SPACE).hashes(5) == h).any()
+    for width in (1, 2, 3, 5, 7, 10, 50):
+        seq = h[np.array([r.randrange(2) for _ in range(3000)])]
+        w = window_hashes(seq, width)
+        assert len(w) == len(seq) - width + 1
+        seen = {}
+        for i in range(len(w)):
+            assert seen.setdefault(tuple(seq[i : i + width]), w[i]) == w[i]
+        assert len(set(seen.values())) == len(seen)
+
+
+def test_suffix_array_rows_without_id(spark):
+    """Rows without an id repeat what others hold, and lose it themselves."""
+    r = random.Random(12)
+    shared = "".join(r.choice("abcdefghij") for _ in range(900))
+    rows = [(None, "copy " * 200), (None, "copy " * 200), (5, "five " + shared + " tail"), (None, "none " + shared[4:895] + " end"), (None, None), (None, "short")]
+    got = [tuple(r)[:5] for r in suffixarray.remove(docs_of(spark, rows)).collect()]
+    assert sorted(map(repr, got)) == sorted(map(repr, brute.substrings(rows, 400)))
+    assert {r[2] for r in got if r[0] == 5} == {891}
+
+
+@pytest.mark.parametrize("copies", [2, 3, 5])
+def test_line_decider(copies):
+    """Batches of any size, keys that begin or end a partition, and a key of all records."""
+    import numpy as np
+
+    r = random.Random(copies)
+    for _ in range(150):
+        rows = sorted((r.choice([1, 1, 1, 2, 3]), 0, r.randrange(8), r.randrange(2), r.randrange(6)) for _ in range(r.randint(1, 60)))
+        decider, at, dropped, undecided = linededup.Decider(copies), 0, [], []
+        while at < len(rows):
+            k = r.randint(1, 9)
+            drop, first = decider.add(*[np.array(c, np.int64) for c in zip(*rows[at : at + k], strict=True)])
+            dropped += zip(*[c.tolist() for c in drop], strict=True)
+            undecided += zip(*[c.tolist() for c in first], strict=True)
+            at += k
+        undecided += zip(*[c.tolist() for c in decider.held], strict=True)
+        docs = {}
+        for x in rows:
+            docs.setdefault(x[0], set()).add(x[2])
+        ends = {rows[0][0], rows[-1][0]}
+        assert {k: sorted(v)[-copies:] for k, v in docs.items() if k in ends} == {k[0]: v for k, v in decider.tops.items()}
+        late = [x for x in undecided if len(docs[x[0]]) >= copies and x[2] != max(docs[x[0]])]
+        assert sorted(dropped + late) == [x for x in rows if len(docs[x[0]]) >= copies and x[2] != max(docs[x[0]])]
+        assert {x[0] for x in undecided} <= ends
+
+
 def test_decontamination_proximity(spark):
     bench = spark.createDataFrame([(1, "red green blue")], "item_id long, text string")
     docs = docs_of(spark, [(1, "red green blue"), (2, "red so green blue"), (3, "blue x x x green red"), (4, "red green x x x x blue")])

@@ -22,7 +22,8 @@ def scaled(side: Column, factor: Column) -> Column:
 
 
 def data_url(data: Column, kind: str = "image/jpeg") -> Column:
-    return F.concat(F.lit(f"data:{kind};base64,"), F.base64(data))
+    """One line: Spark's base64 may break its lines."""
+    return F.concat(F.lit(f"data:{kind};base64,"), F.translate(F.base64(data), "\r\n", ""))
 
 
 def usable(width: Column, height: Column, least: int = SHORT, ratio: float = 8.0) -> Column:

@@ -1,7 +1,7 @@
 """Token-level distillation losses and metrics in long form.
 
-Student logits have a row for each position and token; log-softmax is one
-aggregate over a position and a join back, so only top tokens are carried on.
+Student logits have a row for each position and token; log-softmax is a window
+over a position, so only top tokens are carried on.
 """
 
 from __future__ import annotations
@@ -9,8 +9,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tessera.session import fresh
+
 #: Least log-prob, largest loss.
 LOG_FLOOR, LOSS_LIMIT = -10.0, 10.0
 LOSSES: dict[str, Callable[[Column, Column], Column]] = {}
@@ -71,11 +74,11 @@ def k3(student: Column, teacher: Column) -> Column:
 
 
 def log_softmax(logits: DataFrame, keys: list[str], value: str = "logit") -> DataFrame:
-    """logits with logprob: value - (max + ln(sum(exp(value - max))))."""
-    top = logits.groupBy(*keys).agg(F.max(value).alias("__max"))
-    shifted = logits.join(top, keys)
-    norm = shifted.groupBy(*keys).agg((F.max("__max") + F.ln(F.sum(F.exp(F.col(value) - F.col("__max"))))).alias("__norm"))
-    return logits.join(norm, keys).withColumn("logprob", F.col(value) - F.col("__norm")).drop("__norm")
+    """logits with logprob: value - (max + ln(sum(exp(value - max)))). One exchange by keys, which what follows by the same keys shares; a position has no more rows than the vocabulary."""
+    w = W.partitionBy(*keys)
+    top, norm = fresh(logits, "__max", "__norm")
+    shifted = logits.withColumn(top, F.max(value).over(w))
+    return shifted.withColumn(norm, F.col(top) + F.ln(F.sum(F.exp(F.col(value) - F.col(top))).over(w))).withColumn("logprob", F.col(value) - F.col(norm)).drop(top, norm)
 
 
 def topk_losses(student: DataFrame, teacher: DataFrame, student_top: DataFrame, keys: list[str], loss: str) -> DataFrame:

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tessera.session import cut
+from tessera.session import fresh
 
 _LOW = (1 << 33) - 1
 
@@ -14,19 +15,21 @@ def global_index(df: DataFrame, *keys: str, name: str = "index") -> DataFrame:
     """df with the ordinal of each row in the order of keys, from 0, in place of an existing column of that name.
 
     Rows are range-partitioned and sorted; a row's ordinal is its place in its
-    partition plus the rows of the partitions before. Only a count for each
-    partition reaches the driver. The sorted rows are checkpointed, so that both passes see the same partitions.
+    partition plus the rows of the partitions before. The sorted rows are
+    written in the shared folder with their places, so that both passes see the
+    same partitions and nothing is computed again; the counts, a row for each
+    partition, are summed up by a window over them alone and joined by broadcast.
     """
-    ordered = cut(df.repartitionByRange(*[F.col(k).asc_nulls_first() for k in keys]).sortWithinPartitions(*[F.col(k).asc_nulls_first() for k in keys]))
-    placed = ordered.withColumn("__at", F.monotonically_increasing_id())
-    counts = placed.groupBy(F.shiftright("__at", 33).alias("p")).count().collect()
-    offsets, total = {}, 0
-    for r in sorted(counts):
-        offsets[r.p] = total
-        total += r["count"]
-    before = F.element_at(F.create_map(*[F.lit(x) for kv in offsets.items() for x in kv]), F.shiftright("__at", 33)) if offsets else F.lit(0)
-    index = (before + F.col("__at").bitwiseAND(F.lit(_LOW))).cast("long")
-    return placed.withColumn(name, index).drop("__at")
+    from tessera.session import written
+
+    order = [F.col(k).asc_nulls_first() for k in keys]
+    at, part, before = fresh(df, "__at", "__part", "__before")
+    ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = written(ordered.withColumn(at, F.monotonically_increasing_id()), "ordered").withColumn(part, F.shiftright(at, 33))
+    counts = placed.groupBy(part).agg(F.count("*").alias("__n"))
+    offsets = counts.select(part, (F.sum("__n").over(W.orderBy(part)) - F.col("__n")).alias(before))
+    index = (F.col(before) + F.col(at).bitwiseAND(F.lit(_LOW))).cast("long")
+    return placed.join(F.broadcast(offsets), part).withColumn(name, index).drop(at, part, before)
 
 
 def split_counts(total: int, n: int) -> list[int]:

@@ -156,9 +156,9 @@ def option_label(spark, d):
     return questions(spark, d).select("doc_id", T.option_label(F.col("question"), F.col("lang")).alias("answer"))
 
 
-@query("SELECT doc_id, lower(regexp_replace(regexp_replace(regexp_replace(left(text, 60), '^\\s+|\\s+$', '', 'g'), '\\s+', ' ', 'g'), '[\\s.,;:!]+$', '')) AS canonical FROM documents WHERE regexp_full_match(text, '[\\x00-\\x7F]*')")
+@query("SELECT doc_id, lower(regexp_replace(regexp_replace(regexp_replace(text, '^\\s+|\\s+$', '', 'g'), '\\s+', ' ', 'g'), '[\\s.,;:!]+$', '')) AS canonical FROM documents")
 def canonical_answer(spark, d):
-    return table(spark, d, "documents").where(F.col("text").rlike(r"\A[\x00-\x7F]*\z")).select("doc_id", T.canonical_answer(F.substring("text", 1, 60)).alias("canonical"))
+    return table(spark, d, "documents").select("doc_id", T.canonical_answer(F.col("text")).alias("canonical"))
 
 
 CONTRACT = ['{"answerable": true, "reason": "r"}', 'thinking\n{"reason": "r", "answerable": false}', '{"answerable": true}', '{"answerable": true, "reason": "r", "more": 1}', '```json\n{"answerable": true, "reason": "r"}\n```', '{"answerable": true, "reason": "r"} end']
@@ -192,9 +192,9 @@ def image_scale(spark, d):
     return rows.select("doc_id", "w", "h", F.round(s, 6).alias("scale"), vision.scaled(F.col("w"), s).alias("new_w"), vision.scaled(F.col("h"), s).alias("new_h"), vision.usable(F.col("w"), F.col("h")).alias("usable"))
 
 
-@query("SELECT doc_id, 'data:image/jpeg;base64,' || base64(encode(left(text, 30))) AS url FROM documents")
+@query("SELECT doc_id, 'data:image/jpeg;base64,' || base64(encode(text)) AS url FROM documents")
 def data_url(spark, d):
-    return table(spark, d, "documents").select("doc_id", vision.data_url(F.encode(F.substring("text", 1, 30), "UTF-8")).alias("url"))
+    return table(spark, d, "documents").select("doc_id", vision.data_url(F.encode("text", "UTF-8")).alias("url"))
 
 
 # Splits ---------------------------------------------------------------------------------------------------------
@@ -556,17 +556,12 @@ def zip_logprobs(spark, d):
 # Streaming and sources ------------------------------------------------------------------------------------------
 
 
-@query()
+@query("SELECT CAST(doc_id AS VARCHAR) AS id, true AS valid FROM documents WHERE length(text) > 0")
 def stream_resume(spark, d):
     """Documents processed in two runs over a folder; the second run offers some again. Rows: id, valid."""
-    import uuid
-
-    from tessera.session import cut
     from tessera.streaming import resume
 
-    docs = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("id"), "text")
-    cut(docs.limit(0))  # sets the shared folder
-    base = f"{spark.sparkContext.getCheckpointDir()}/stream-{uuid.uuid4().hex}"
+    base = X.folder(spark, "stream")
     work = lambda b: b.select("id", (F.length("text") > 0).alias("valid"))
     for part in ("doc_id % 2 = 0", "doc_id % 2 = 1 or doc_id % 10 = 0"):
         table(spark, d, "documents").where(part).select(F.col("doc_id").cast("string").alias("id"), "text").write.mode("append").parquet(f"{base}/in")
@@ -574,17 +569,124 @@ def stream_resume(spark, d):
     return resume.stored(spark, f"{base}/out").select("id", "valid")
 
 
+@query("SELECT count(DISTINCT doc_id) AS done, count(DISTINCT doc_id) >= 10 AS enough, false AS all_done FROM labels WHERE quality = 1")
+def distinct_done(spark, d):
+    """Distinct valid keys of a log with repeated lines, and whether they are as many as expected."""
+    from tessera.streaming import resume
+
+    log = table(spark, d, "labels").where("quality = 1").select(F.col("doc_id").alias("id"))
+    log = log.unionByName(log)
+    n = log.distinct().count()
+    return log.agg(F.count_distinct("id").alias("done")).select("done", F.lit(resume.finished(log, 10)).alias("enough"), F.lit(resume.finished(log, n + 1) or resume.finished(log, n, failures=1)).alias("all_done"))
+
+
+@query("SELECT CAST(doc_id AS VARCHAR) AS id, n_chars AS n FROM documents")
+def jsonl_strict(spark, d):
+    """A log that is written as JSON lines and read strictly."""
+    from tessera.sources import records
+
+    path = X.folder(spark, "log")
+    records.append_jsonl(table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("id"), F.col("n_chars").alias("n")), path)
+    return records.jsonl(spark, path, "id string, n long", strict=True)[0]
+
+
+@query("SELECT doc_id AS id, lang, 2 AS n FROM documents")
+def append_log(spark, d):
+    """Appending twice leaves each line twice."""
+    from tessera.sources import records
+
+    path = X.folder(spark, "log")
+    for _ in range(2):
+        records.append_jsonl(table(spark, d, "documents").select(F.col("doc_id").alias("id"), "lang", "text"), path)
+    return records.jsonl(spark, path, "id long, lang string, text string")[0].groupBy("id", "lang").agg(F.count("*").alias("n"))
+
+
+@query("SELECT doc_id, lang, CASE WHEN lang = 'de' THEN -n_chars ELSE n_chars END AS n_chars, true AS zstd FROM documents")
+def atomic_parquet(spark, d):
+    """A table of zstd files by language, of which one partition is replaced."""
+    from tessera.sources import records
+
+    path = X.folder(spark, "table")
+    docs = table(spark, d, "documents").select("doc_id", "lang", "n_chars")
+    records.write_parquet(docs, path, "lang")
+    records.write_parquet(docs.where("lang = 'de'").withColumn("n_chars", -F.col("n_chars")), path, "lang")
+    return records.parquet(spark, path).select("doc_id", "lang", "n_chars", F.col("_metadata.file_name").contains(".zstd.").alias("zstd"))
+
+
+@query("SELECT doc_id AS id, doc_id % 3 <> 0 AS ok, CASE WHEN doc_id % 3 <> 0 THEN 'good' ELSE 'bad' END AS log FROM documents UNION ALL SELECT doc_id, false, 'both' FROM documents WHERE doc_id % 3 = 0 UNION ALL SELECT doc_id, true, 'both' FROM documents WHERE doc_id % 3 <> 0")
+def dual_sink(spark, d):
+    """Valid rows to one log, others to another; and the same with all rows in the first."""
+    from tessera.sources import records
+
+    path, out = X.folder(spark, "logs"), None
+    rows = table(spark, d, "documents").select(F.col("doc_id").alias("id"), (F.col("doc_id") % 3 != 0).alias("ok"))
+    records.write_both(rows, "ok", f"{path}/good", f"{path}/bad")
+    records.write_both(rows, "ok", f"{path}/both", f"{path}/rest", both=True)
+    for log in ("good", "bad", "both"):
+        one = records.jsonl(spark, f"{path}/{log}", "id long, ok boolean", strict=True)[0].withColumn("log", F.lit(log))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query("SELECT CAST(ntile(7) OVER (ORDER BY doc_id) - 1 AS INTEGER) AS split, row_number() OVER (ORDER BY doc_id) - 1 AS index, doc_id FROM documents")
+def adopted_splits(spark, d):
+    """Split files written one by one and adopted again by their names."""
+    from tessera.sources import records
+
+    path = X.folder(spark, "splits")
+    records.write_splits(partition.with_splits(table(spark, d, "documents").select("doc_id"), 7, "doc_id"), path)
+    return records.adopted_splits(spark, path, 7).select("split", "index", "doc_id")
+
+
+@query("SELECT doc_id, lang, l.quality FROM documents JOIN (SELECT doc_id, quality FROM labels) l USING (doc_id)")
+def strict_join(spark, d):
+    labels = table(spark, d, "labels").select("doc_id", "quality")
+    rows = table(spark, d, "documents").select("doc_id", "lang").join(labels.select("doc_id"), "doc_id", "left_semi")
+    return selection.joined_strictly(rows, labels, ["doc_id"])
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN ' <think>' || text WHEN text IS NULL THEN NULL ELSE '<think>' || text END AS response, text AS plain FROM documents")
+def think_start(spark, d):
+    c = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit(" <think>"), "text")).otherwise(F.col("text"))
+    return table(spark, d, "documents").select("doc_id", T.with_think_start(c).alias("response"), T.with_think_start(F.col("text"), thinking=False).alias("plain"))
+
+
+@query("SELECT doc_id AS index, CASE WHEN doc_id % 4 = 0 THEN CAST(doc_id AS VARCHAR) ELSE 's' || doc_id END AS id, text AS question, source, lang AS domain, CASE WHEN doc_id % 4 = 0 THEN CAST(doc_id AS VARCHAR) ELSE 's' || doc_id END AS key FROM documents")
+def sample_metadata(spark, d):
+    rows = table(spark, d, "documents").select(F.col("doc_id").alias("index"), F.when(F.col("doc_id") % 4 != 0, F.concat(F.lit("s"), F.col("doc_id").cast("string"))).alias("id"), F.col("text").alias("question"), "source", F.col("lang").alias("domain"), "n_chars")
+    return rows.select(*rollouts.metadata(rows), rollouts.key(rows).alias("key"))
+
+
+@query("SELECT doc_id, [0.0, 16256.25, 33.25, NULL][doc_id % 4 + 1] AS spread, [0.0, 260100.0, 0.0, NULL][doc_id % 4 + 1] AS edges, [0, 0, -1, NULL][doc_id % 4 + 1] AS dhash FROM documents")
+def image_quality(spark, d):
+    """Blankness, blur and difference hash of made images, of which a quarter can't be read."""
+    rows = vision.difference_hash(vision.sharpness(X.images(spark, d)))
+    return rows.select("doc_id", "spread", "edges", "dhash")
+
+
+@query("SELECT doc_id, CAST(r AS INTEGER) AS rollout_id, CAST(length(text) % 7 AS VARCHAR) AS final_answer, 'stop' AS finish_reason, CAST(NULL AS VARCHAR) AS error FROM documents, range(2) t(r)")
+def generate_retry(spark, d):
+    """Calls of which a third fail at first: each is tried again by itself, eight at a time in a task."""
+    prompts = table(spark, d, "documents").select("doc_id", F.col("text").alias("prompt"))
+    rows = generation.generate(prompts, X.flaky_client(), 2, retries=3, wait=0, in_flight=8, keys=("doc_id",))
+    return generation.gathered(rows, ("doc_id",)).select("doc_id", F.explode("rollouts").alias("r")).select("doc_id", "r.rollout_id", "r.final_answer", "r.finish_reason", "r.error")
+
+
+@query("SELECT n AS name, vec_id, round(CASE n WHEN 'abs' THEN abs(s - t) WHEN 'kl' THEN s - t WHEN 'k1' THEN s - t WHEN 'mse' THEN 0.5 * (s - t) * (s - t) WHEN 'k2' THEN 0.5 * (s - t) * (s - t) WHEN 'low_var_kl' THEN exp(t - s) - (t - s) - 1 ELSE exp(t - s) - (t - s) - 1 END, 6) AS loss FROM (SELECT vec_id, -abs(CAST(embedding[1] AS DOUBLE)) AS s, -abs(CAST(embedding[2] AS DOUBLE)) AS t FROM embeddings), (VALUES ('abs'), ('kl'), ('k1'), ('mse'), ('k2'), ('low_var_kl'), ('k3')) v(n)")
+def loss_registry(spark, d):
+    """Every registered loss of one token, by its name."""
+    names = [n for n in distillation.LOSSES if "topk" not in n]
+    one = F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.round(distillation.loss_of(n)(F.col("s"), F.col("t")), 6).alias("loss")) for n in names]))
+    return paired(spark, d).select("vec_id", one.alias("x")).select("x.name", "vec_id", "x.loss")
+
+
 @query("SELECT CAST(doc_id AS VARCHAR) AS id, n_chars AS n, CAST(NULL AS VARCHAR) AS line FROM documents WHERE doc_id % 4 <> 1 UNION ALL SELECT NULL, NULL, '{\"id\": ' FROM documents WHERE doc_id % 4 = 1")
 def jsonl_tolerant(spark, d):
     """A log with unreadable and blank lines, written and read again."""
-    import uuid
-
-    from tessera.session import cut
     from tessera.sources import records
 
     docs = table(spark, d, "documents")
-    cut(docs.limit(0).select("doc_id"))
-    path = f"{spark.sparkContext.getCheckpointDir()}/log-{uuid.uuid4().hex}"
+    path = X.folder(spark, "log")
     good = F.to_json(F.struct(F.col("doc_id").cast("string").alias("id"), F.col("n_chars").alias("n")))
     docs.select(F.when(F.col("doc_id") % 4 == 1, '{"id": ').when(F.col("doc_id") % 4 == 2, F.concat(good, F.lit("\n"))).otherwise(good).alias("value")).write.text(path)
     rows, bad = records.jsonl(spark, path, "id string, n long")

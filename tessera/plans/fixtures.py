@@ -65,6 +65,40 @@ labelled AS (SELECT *, format_error = '' AS format_valid, CASE WHEN verdict = 'c
 )
 
 
+def flaky_client():
+    """Fails the first time that it is asked for a prompt whose length is a multiple of 3."""
+    from tessera.operators.generation import EchoClient
+
+    class Flaky(EchoClient):
+        def open(self):
+            self.asked = set()
+            return self
+
+        def complete(self, prompt, image=None, sampling=None):
+            if len(prompt) % 3 == 0 and prompt not in self.asked:
+                self.asked.add(prompt)
+                raise RuntimeError("not yet")
+            return super().complete(prompt, image, sampling)
+
+    return Flaky()
+
+
+def images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id and an image of 20 x 20 grey pixels: even, stripes, a falling ramp, or unreadable."""
+    kinds = [(20, "5A" * 400), (20, "00FF" * 200), (20, "".join(f"{255 - i:02X}" for i in range(20)) * 20), (-1, "")]
+    image = F.array(*[F.struct(F.lit("x").alias("origin"), F.lit(n).alias("height"), F.lit(n).alias("width"), F.lit(1).alias("nChannels"), F.lit(0).alias("mode"), F.unhex(F.lit(x)).alias("data")) for n, x in kinds])
+    return table(spark, sf_dir, "documents").select("doc_id", F.element_at(image, (F.col("doc_id") % 4 + 1).cast("int")).alias("image"))
+
+
+def folder(spark: SparkSession, name: str) -> str:
+    """A new folder's name in the shared one."""
+    import uuid
+
+    from tessera.session import shared_dir
+
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def rollout_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.operators.generation import gathered
 

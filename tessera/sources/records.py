@@ -62,6 +62,23 @@ def files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path)
 
 
+def write_splits(df: DataFrame, path: str, order: str = "index") -> None:
+    """df, with split, as one file a split, 0.parquet and so on, each in the given order; a file appears whole, by a rename, and replaces an older one."""
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path
+    fs = place(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    work = f"{path}/_writing"
+    df.repartition("split").sortWithinPartitions("split", order).write.mode("overwrite").option("compression", "zstd").option("parquet.enable.dictionary", "false").partitionBy("split").parquet(work)
+    for folder in fs.listStatus(place(work)):
+        if folder.isDirectory():
+            (file,) = [f.getPath() for f in fs.listStatus(folder.getPath()) if f.getPath().getName().startswith("part-")]
+            to = place(f"{path}/{folder.getPath().getName().removeprefix('split=')}.parquet")
+            fs.delete(to, False)
+            fs.rename(file, to)
+    fs.delete(place(work), True)
+
+
 def adopted_splits(spark: SparkSession, path: str, n: int) -> DataFrame:
     """An existing folder of split files as a table with split and no copying; another number of splits than n raises."""
     from tessera.operators.partition import file_split

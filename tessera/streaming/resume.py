@@ -3,8 +3,8 @@
 The checkpoint remembers which files were read; results already written are
 anti-joined inside each batch, so a key is done once even if its input comes
 again, and no state grows in memory. Invalid results are logged apart and tried
-again when their input is offered anew. All that is there is processed, then
-the stream ends.
+again when their input is offered anew. A batch that failed between its writes
+replaces what it wrote. All that is there is processed, then the stream ends.
 """
 
 from __future__ import annotations
@@ -22,12 +22,12 @@ def run(spark: SparkSession, source: str, schema: str, target: str, failed: str,
 
     def each(batch: DataFrame, number: int) -> None:
         new = batch.where(F.col(key).isNotNull()).dropDuplicates([key])
-        done = stored(spark, target)
+        # what this batch itself left in an earlier attempt is done again and replaced, whole
+        done = stored(spark, target, f"`{key}` {dict(batch.dtypes)[key]}, batch long")
         if done is not None:
-            new = new.join(done.select(key), key, "left_anti")
+            new = new.join(done.where(F.col("batch") != number).select(key), key, "left_anti")
         results = cut(work(new))
         ok = F.coalesce(F.col(valid), F.lit(False))
-        # by batch number, so that a batch that is tried again replaces itself
         results.where(ok).write.mode("overwrite").parquet(f"{target}/batch={number}")
         results.where(~ok).write.mode("overwrite").parquet(f"{failed}/batch={number}")
 
@@ -35,11 +35,13 @@ def run(spark: SparkSession, source: str, schema: str, target: str, failed: str,
     rows.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
-def stored(spark: SparkSession, path: str) -> DataFrame | None:
-    """The results so far, or None before the first batch."""
+def stored(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
+    """The results so far, or None before the first batch. With a schema, a folder whose first write failed is empty."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return spark.read.parquet(path) if fs.exists(p) else None
+    if not fs.exists(p):
+        return None
+    return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
 
 def finished(results: DataFrame | None, expected: int, key: str = "id", failures: int = 0) -> bool:

@@ -38,9 +38,3 @@ def test_query(spark, duck, name):
     assert sorted(rel.columns) == cols
     want = sorted((tuple(map(plain, r)) for r in duck.sql("select " + ", ".join(f'"{c}"' for c in cols) + f" from ({catalog.oracle_sql()[name]})").fetchall()), key=repr)
     assert got == want
-
-
-def test_stream_resume(spark):
-    rows = catalog.queries()["stream_resume"](spark, SF).collect()
-    ids = spark.read.parquet(f"{SF}/documents.parquet").count()
-    assert len(rows) == len({r.id for r in rows}) == ids

@@ -86,14 +86,121 @@ def test_hamming_copies_are_one_class(spark):
 
 def test_generation_failures_are_rows(spark):
     class Broken(generation.EchoClient):
-        def complete(self, prompts):
+        def complete(self, prompt, image=None, sampling=None):
             raise RuntimeError("down")
 
     prompts = spark.createDataFrame([("a", "x"), ("b", "yy")], "id string, prompt string")
     rows = generation.generate(prompts, Broken(), 2, retries=2, wait=0).collect()
-    assert len(rows) == 4 and all(r.response is None and "down" in r.error for r in rows)
+    assert len(rows) == 4 and all(r.response is None and r.finish_reason is None and "down" in r.error for r in rows)
     good = generation.gathered(generation.generate(prompts, generation.EchoClient(), 3)).collect()
-    assert all([x.rollout_id for x in r.rollouts] == [0, 1, 2] for r in good)
+    assert all([x.rollout_id for x in r.rollouts] == [0, 1, 2] and r.rollouts[0].finish_reason == "stop" for r in good)
+
+
+def shaky():
+    """A client of a class that travels to workers by value."""
+
+    class Shaky(generation.EchoClient):
+        """Fails the first time that it is asked for a prompt, and counts calls under way."""
+
+        def __init__(self):
+            self.asked, self.now, self.most = {}, 0, 0
+
+        def _once(self, what):
+            import time
+
+            self.now += 1
+            self.most = max(self.most, self.now)
+            time.sleep(0.002)
+            self.now -= 1
+            self.asked[what] = self.asked.get(what, 0) + 1
+            if self.asked[what] == 1 and "x" in what:
+                raise RuntimeError("once")
+
+        def complete(self, prompt, image=None, sampling=None):
+            self._once(prompt)
+            return f"{prompt} {image} {sampling['top_p']} asked {self.asked[prompt]} most {self.most}", "length"
+
+        def logprobs(self, prompt, image, response):
+            self._once(prompt + response)
+            return super().logprobs(prompt, image, response)
+
+    return Shaky()
+
+
+def test_generation_retries_each_prompt(spark):
+    """A prompt that fails once succeeds; those beside it are asked once; calls overlap, within their bound; order and fields are kept."""
+    prompts = spark.createDataFrame([(str(i), ("x" if i % 3 == 0 else "y") + str(i), f"data:{i}") for i in range(40)], "id string, prompt string, image string").coalesce(1)
+    rows = {r.id: r for r in generation.generate(prompts, shaky(), 1, retries=2, wait=0, in_flight=4, sampling={"top_p": 0.9}, thinking=True).collect()}
+    assert len(rows) == 40 and all(r.error is None and r.finish_reason == "length" for r in rows.values())
+    assert all(r.response.startswith(f"<think>{'x' if i % 3 == 0 else 'y'}{i} data:{i} 0.9 asked {2 if i % 3 == 0 else 1} ") for i, r in ((int(k), r) for k, r in rows.items()))
+    assert 1 < max(int(r.response.split()[-1]) for r in rows.values()) <= 4
+    failed = generation.generate(prompts, shaky(), 1, retries=1, wait=0, in_flight=4, sampling={"top_p": 0.9}).where("error is not null")
+    assert failed.count() == 14
+
+
+def test_scoring_retries(spark):
+    rows = spark.createDataFrame([("a", 0, "x ", "t <answer>abc</answer>")], "id string, rollout_id int, prompt string, response string")
+    got = [generation.score_candidates(rows, shaky(), retries=n, wait=0).first() for n in (1, 3)]
+    assert got[0].score_error == "RuntimeError: once" and got[1].score_error is None and got[1]["count"] == 3
+
+
+def test_rows_in_flight_are_bounded():
+    drawn = []
+    out = generation.in_order((drawn.append(i) or i for i in range(1000)), lambda i: i * i, 4)
+    assert [next(out) for _ in range(3)] == [(0, 0), (1, 1), (2, 4)] and len(drawn) <= 11
+    assert [x for x, _ in out] == list(range(3, 1000))
+
+
+def test_chat_client(spark):
+    """Against a server on this machine: the message's parts, sampling parameters, errors with their status."""
+    import json
+    import threading
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+
+    class Server(BaseHTTPRequestHandler):
+        def do_POST(self):
+            body = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+            text, bad = body["messages"][0]["content"][0]["text"], False
+            if "prompt_logprobs" in body:
+                said = body["messages"][1]["content"]
+                reply = {"prompt_token_ids": [ord(c) for c in said], "prompt_logprobs": [None, *({str(ord(c)): {"logprob": -0.5}} for c in said[1:])]}
+            else:
+                bad = text == "bad"
+                reply = {"choices": [{"message": {"content": f"{body['model']} {len(body['messages'][0]['content'])} {body.get('top_k')}"}, "finish_reason": "stop"}]}
+            data = b"no" if bad else json.dumps(reply).encode()
+            self.send_response(500 if bad else 200)
+            self.send_header("Content-Length", str(len(data)))
+            self.end_headers()
+            self.wfile.write(data)
+
+        def log_message(self, *args):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Server)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        client = generation.ChatClient(f"http://127.0.0.1:{server.server_port}", "m", 10)
+        rows = spark.createDataFrame([("a", "hi", "data:x"), ("b", "bad", None)], "id string, prompt string, image string")
+        got = {r.id: r for r in generation.generate(rows, client, 1, retries=1, sampling={"top_k": 5}).collect()}
+        assert (got["a"].response, got["a"].finish_reason) == ("m 2 5", "stop") and got["b"].error == "RuntimeError: HTTP 500: no"
+        scored = generation.score_candidates(spark.createDataFrame([("a", 0, "q", "t <answer>abc</answer>")], "id string, rollout_id int, prompt string, response string"), client).first()
+        assert scored["count"] == 3 and scored.sum == -1.5
+    finally:
+        server.shutdown()
+
+
+def test_resume_after_a_failed_write(spark, tmp_path):
+    """The batch's first write is done, its second fails: the next run makes the batch again, and no row is lost."""
+    d = {k: str(tmp_path / k) for k in ("in", "out", "failed", "check")}
+    work = lambda b: b.withColumn("valid", F.col("id") < 8)
+    spark.range(10).coalesce(1).write.parquet(d["in"])
+    (tmp_path / "failed").write_text("in the way of the second write")
+    with pytest.raises(Exception):  # noqa: B017  the stream's own exception
+        resume.run(spark, d["in"], "id long", d["out"], d["failed"], d["check"], work)
+    assert resume.stored(spark, d["out"]).count() == 8
+    (tmp_path / "failed").unlink()
+    resume.run(spark, d["in"], "id long", d["out"], d["failed"], d["check"], work)
+    assert resume.stored(spark, d["out"]).count() == 8 and spark.read.parquet(d["failed"]).count() == 2
 
 
 def test_resume_twice_is_once(spark, tmp_path):
@@ -158,10 +265,48 @@ def test_images(spark):
     assert vision.difference_hash(turned).first().dhash == -1
 
 
-def test_cosine_pairs_by_planes(spark):
-    df = spark.createDataFrame([(1, [1.0, 0.0, 0.1]), (2, [1.0, 0.0, 0.1]), (3, [-1.0, 0.2, 0.0]), (4, [2.0, 0.0, 0.2])], "id int, v array<double>")
-    got = {(r.a, r.b) for r in curation.cosine_pairs(df, "id", "v", 0.99, planes=4).collect()}
-    assert got == {(1, 2), (1, 4), (2, 4)}
+@pytest.mark.parametrize("tile", [2000, 7])
+def test_cosine_pairs(spark, tile, monkeypatch):
+    """Against all pairs: hot blocks in tiles, copies paired with the least of them alone, null vectors and those of length 0."""
+    import numpy as np
+
+    monkeypatch.setattr(curation, "TILE", tile)
+    rng = np.random.default_rng(3)
+    v = rng.normal(size=(60, 5))
+    rows = [(i, i % 2, v[i].tolist()) for i in range(60)] + [(100 + i, 1, [1.0, 2.0, 0.0, 0.0, 0.5]) for i in range(20)] + [(200, 1, None), (201, 1, [0.0] * 5), (202, 0, [2.0, 4.0, 0.0, 0.0, 1.0])]
+    got = {(r.a, r.b): r.cosine for r in curation.cosine_pairs(spark.createDataFrame(rows, "id int, block int, v array<double>"), "id", "v", 0.4).collect()}
+    cos = lambda x, y: float(np.dot(x, y) / np.linalg.norm(x) / np.linalg.norm(y))
+    some = [r for r in rows if r[2] and any(r[2]) and not 100 < r[0] < 200]
+    want = {(a[0], b[0]): c for i, a in enumerate(some) for b in some[i + 1 :] if a[1] == b[1] and (c := cos(a[2], b[2])) >= 0.4}
+    want |= {(100, i): 1.0 for i in range(101, 120)}
+    assert {(min(k), max(k)): pytest.approx(c) for k, c in want.items()} == got
+    free = curation.cosine_pairs(spark.createDataFrame([(1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, [0.0, 1.0])], "id int, v array<double>"), "id", "v", 0.99)
+    assert [(r.a, r.b) for r in free.collect()] == [(1, 2)]
+
+
+def test_hamming_pairs_in_tiles(spark, monkeypatch):
+    import random
+
+    monkeypatch.setattr(curation, "TILE", 9)
+    r = random.Random(1)
+    base = [r.getrandbits(64) for _ in range(6)]
+    rows = [(i, x - (1 << 64) if (x := base[i % 6] ^ (1 << r.randrange(64)) ^ (1 << r.randrange(64))) >> 63 else x) for i in range(120)]
+    least = {}
+    for k, x in rows:
+        least[x] = min(least.get(x, k), k)
+    own = sorted((k, x) for x, k in least.items())
+    want = {(a, b, bin((x ^ y) & (2**64 - 1)).count("1")) for i, (a, x) in enumerate(own) for b, y in own[i + 1 :]}
+    got = {tuple(p) for p in curation.hamming_pairs(spark.createDataFrame(rows, "k long, h long"), "k", "h", 3).collect()}
+    assert got == {p for p in want if p[2] <= 3}
+
+
+def test_plans_at_scale(spark, tmp_path):
+    """One exchange for log-softmax and top tokens; global_index joins its offsets by broadcast and has no window over rows."""
+    logits = spark.range(100).selectExpr("id % 10 AS pos", "id AS token_id", "cast(id AS double) AS logit")
+    plan = selection.top_tokens(distillation.log_softmax(logits, ["pos"]), ["pos"], 3)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+    plan = partition.global_index(spark.range(100).withColumnRenamed("id", "k"), "k")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "RDD" not in plan
 
 
 def test_sinks(spark, tmp_path):
@@ -188,7 +333,7 @@ def test_metadata_and_keys(spark):
 
 def test_score_candidates(spark):
     class Down(generation.EchoClient):
-        def logprobs(self, texts):
+        def logprobs(self, prompt, image, response):
             raise RuntimeError("down")
 
     rows = spark.createDataFrame([("a", 0, "Q ", "x <answer>abc</answer>"), ("a", 1, "Q ", "no answer"), ("b", 0, "Q ", None)], "id string, rollout_id int, prompt string, response string")
@@ -196,4 +341,4 @@ def test_score_candidates(spark):
     want = [-(ord(c) % 7) / 10 for c in "abc"]
     assert got["a", 0]["count"] == 3 and got["a", 0].sum == pytest.approx(sum(want)) and got["a", 0].score_error is None
     assert got["a", 1].score_error == got["b", 0].score_error == "no answer at the end"
-    assert {r.score_error for r in generation.score_candidates(rows, Down()).collect()} == {"RuntimeError: down", "no answer at the end"}
+    assert {r.score_error for r in generation.score_candidates(rows, Down(), wait=0).collect()} == {"RuntimeError: down", "no answer at the end"}

@@ -25,16 +25,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Held, PACKED_DDL, Packer, arrow_groups, arrow_map, batch, bucket_of, compact, small_join, starts, unpack
+from tessera.llm.common import BROADCAST_BYTES, Held, PACKED_DDL, Packer, arrow_groups, arrow_map, batch, bucket_of, compact, small_join, starts, unpack
 from tessera.llm.wordcore import mix
 
 RUN = np.dtype([("m", np.uint64), ("f", np.uint64), ("g", np.uint64), ("doc", np.int64), ("t", np.int64), ("s", np.int32), ("n", np.int32), ("own", np.int8)])
 #: Kinds of rows of runs().
 FULL, PENDING, PARTNER = 0, 1, 2
-#: Copied texts are broadcast up to so many, else joined by an exchange.
-MOST_COPIES = 150_000
-#: The runs to ship are sent to the texts by broadcast up to so many, else joined by an exchange.
-MOST_SENT = 600_000
+#: Copied texts, and the spans found, are broadcast up to so many bytes, else joined by an exchange.
+MOST_COPIES = BROADCAST_BYTES
+#: The runs to ship are sent to the texts by broadcast up to so many bytes, else joined by an exchange.
+MOST_SENT = 32 << 20
+_SENT_BYTES = 64
 #: Runs of one anchor (of one class of the sketch) that are gathered in a task at most.
 MOST_RUNS = 250_000
 SKETCH_BITS = 20
@@ -201,7 +202,7 @@ def _gathered(packed: DataFrame, smaller: bool, limit: int) -> DataFrame:
 def regions(texts: DataFrame, live: DataFrame, sent: int, shards: int, cut) -> DataFrame:
     """(shard, cross, doc, t, s, pending, body): the units of the runs to ship. cut(column, row, s, n) gives their bodies."""
     plan = live.where(F.col("kind") != FULL).groupBy("doc", "t").agg(F.collect_list(F.struct("s", "n", "m", "blocks", "kind")).alias("runs"))
-    joined = small_join(texts.select("doc", "t", "text"), plan, ["doc", "t"], "inner", MOST_SENT, sent)
+    joined = small_join(texts.select("doc", "t", "text"), plan, ["doc", "t"], "inner", MOST_SENT, sent * _SENT_BYTES)
     schema = pa.schema([("shard", pa.int64()), ("cross", pa.bool_()), ("doc", pa.int64()), ("t", pa.int64()), ("s", pa.int32()), ("pending", pa.bool_()), ("body", pa.binary())])
 
     def run(batches):

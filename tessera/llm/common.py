@@ -2,22 +2,22 @@
 
 from __future__ import annotations
 
-import atexit
 import ctypes
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.pandas.group_ops import PandasCogroupedOps
 
-from tessera.session import find_package
+from tessera.session import clean, find_package, fresh, table, written  # noqa: F401  for the operators
 
-_written: list[tuple[SparkSession, str]] = []
+#: What is broadcast at most, by bytes_of().
+BROADCAST_BYTES = 16 << 20
 
 
 def prepare(spark: SparkSession) -> None:
@@ -31,27 +31,6 @@ def prepare(spark: SparkSession) -> None:
             raise
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; where it is unset (tests), a temporary folder of this machine is set."""
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
-    if not d:
-        d = tempfile.mkdtemp(prefix="tessera-")
-        spark.sparkContext.setCheckpointDir(d)
-        d = spark.sparkContext.getCheckpointDir()
-    return d.rstrip("/")
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table in the shared folder, read again: the lineage ends there and lost executors lose nothing."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tessera-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
-
-
 class Held:
     """Keeps what is used several times, is as large as the input and made from it in one pass on the executors' disks, until the block ends. Lost parts are made again."""
 
@@ -83,31 +62,6 @@ def compact(df: DataFrame, name: str, per_file: int = 50_000) -> DataFrame:
         first.unpersist()
 
 
-@atexit.register
-def clean() -> None:
-    """Delete the tables that written() has left; call it when no result that reads them is in use."""
-    while _written:
-        spark, path = _written.pop()
-        try:
-            jvm = spark.sparkContext._jvm
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-        except Exception:  # noqa: BLE001  the session has ended
-            return
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def fresh(df: DataFrame, *names: str) -> list[str]:
-    """The names, with as many underscores at their ends as it takes for df to have none of them."""
-    have = {c.lower() for c in df.columns}
-    while any(n.lower() in have for n in names):
-        names = tuple(f"{n}_" for n in names)
-    return list(names)
-
-
 def parts(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
@@ -151,15 +105,24 @@ def arrow_groups(groups, fn: Callable[..., pa.Table], schema: str) -> DataFrame:
     return groups.applyInArrow(two if isinstance(groups, PandasCogroupedOps) else one, schema)
 
 
-def small_semi(df: DataFrame, ids: DataFrame, key: str, most: int = 200_000, count: int | None = None) -> DataFrame:
-    """The rows of df whose key is in ids (distinct keys): ids are broadcast if they are counted to be at most ``most``, else shuffled."""
-    n = ids.count() if count is None else count
-    return df.join(F.broadcast(ids) if n <= most else ids, key, "left_semi")
+def bytes_of(df: DataFrame) -> int:
+    """About what df takes in memory: 64 bytes a row, 8 a value, and the lengths of lists, texts and binaries as they are."""
+    each = 64
+    total = F.lit(0).cast("long")
+    for f in df.schema:
+        each += 8
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, T.ArrayType):
+            inner = f.dataType.elementType
+            total = total + F.coalesce(F.sum(F.size(c).cast("long")) * 8 * (len(inner) if isinstance(inner, T.StructType) else 1), F.lit(0))
+        elif isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            total = total + F.coalesce(F.sum(F.octet_length(c).cast("long")), F.lit(0))
+    return df.agg((F.count("*") * each + total).alias("n")).first().n
 
 
-def small_join(df: DataFrame, other: DataFrame, key: str, how: str = "inner", most: int = 0, rows: int | None = None) -> DataFrame:
-    n = other.count() if rows is None else rows
-    return df.join(F.broadcast(other) if n <= most else other, key, how)
+def small_join(df: DataFrame, other: DataFrame, key, how: str = "inner", most: int = BROADCAST_BYTES, size: int | None = None) -> DataFrame:
+    """df joined with other, which is broadcast if it is measured (or known) to take at most so many bytes, else joined by an exchange."""
+    return df.join(F.broadcast(other) if (bytes_of(other) if size is None else size) <= most else other, key, how)
 
 
 def batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
@@ -170,8 +133,27 @@ PACKED = pa.schema([("bucket", pa.int32()), ("body", pa.binary())])
 PACKED_DDL = "bucket int, body binary"
 
 
+@cache
+def spread(buckets: int) -> np.ndarray:
+    """An int for each of so many buckets, two for each partition of half as many: Spark's hash (Murmur3 of an int, seed 42) deals them out evenly."""
+    n = max(1, buckets // 2)
+    x = np.arange(64 * n + 1024, dtype=np.uint32)
+    turn = lambda v, r: v << np.uint32(r) | v >> np.uint32(32 - r)
+    h = turn(x * np.uint32(0xCC9E2D51), 15) * np.uint32(0x1B873593) ^ np.uint32(42)
+    h = (turn(h, 13) * np.uint32(5) + np.uint32(0xE6546B64)) ^ np.uint32(4)
+    for shift, by in ((16, 0x85EBCA6B), (13, 0xC2B2AE35), (16, 1)):
+        h = (h ^ h >> np.uint32(shift)) * np.uint32(by)
+    part = h.view(np.int32).astype(np.int64) % n
+    order = np.argsort(part, kind="stable")
+    first = np.searchsorted(part[order], np.arange(n + 1))
+    if (np.diff(first) < 2).any():  # too few were tried
+        return np.arange(buckets, dtype=np.int32)
+    ids = np.concatenate([order[first[:-1]], order[first[:-1] + 1]]).astype(np.int32)
+    return np.r_[ids, np.full(max(0, buckets - len(ids)), 1 << 30, np.int32) + np.arange(max(0, buckets - len(ids)), dtype=np.int32)]
+
+
 class Packer:
-    """Collects numpy records by bucket and yields them as (bucket, body) rows: an exchange moves few rows with many records each."""
+    """Collects numpy records by bucket and yields them as (bucket, body) rows: an exchange moves few rows with many records each. Buckets are named by spread()."""
 
     def __init__(self, buckets: int, most: int = 8 << 20):
         self.buckets, self.most, self.held, self.size = buckets, most, [], 0
@@ -193,7 +175,7 @@ class Packer:
         bucket, records = bucket[order], records[order]
         at = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
         ends = np.r_[at[1:], len(bucket)]
-        yield pa.RecordBatch.from_arrays([pa.array(bucket[at], pa.int32()), pa.array([records[a:b].tobytes() for a, b in zip(at, ends, strict=True)], pa.binary())], schema=PACKED)
+        yield pa.RecordBatch.from_arrays([pa.array(spread(self.buckets)[bucket[at]], pa.int32()), pa.array([records[a:b].tobytes() for a, b in zip(at, ends, strict=True)], pa.binary())], schema=PACKED)
 
 
 def bucket_of(h: np.ndarray, buckets: int) -> np.ndarray:

@@ -4,12 +4,15 @@ Candidates are read in shards, where they stand; each shard gets a ball tree:
 nodes with a centre and a radius, so that q.centre + |q| * radius bounds every
 inner product inside. Nodes are searched in order of that bound, and a subtree
 whose bound is under a query's current kth score is left out. The kth scores
-start from a bounded sample of candidates, searched first and sent with the
-queries, and are shared by all shards that a task reads.
-
-Queries are sent in blocks of a bounded size; more queries mean more passes,
-not larger messages. Components become floor(scale * x); products and sums of
-integers are exact (float64 below 2**53, else int64).
+start from a bounded sample of candidates, searched when the queries are
+blocked, and are shared by all shards that a task holds.
+
+Queries are written to the shared folder in blocks of a bounded size. A task
+holds the trees of a bounded number of its candidates and takes the blocks'
+files one after another, so that candidates are read once, a task's memory is
+that of some trees and a block, and no queries pass through the driver.
+Components become floor(scale * x); products and sums of integers are exact
+(float64 below 2**53, else int64).
 """
 
 from __future__ import annotations
@@ -19,13 +22,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import PACKED_DDL, Packer, arrow_groups, arrow_map, batch, parts, prepare, unpack
+from tessera.llm.common import PACKED_DDL, Packer, arrow_groups, arrow_map, batch, bucket_of, parts, prepare, unpack, written
+from tessera.llm.wordcore import mix
 
 LEAF = 64
 SHARD = 8192
+#: Bytes of candidates (as 64-bit numbers) whose trees a task holds.
+HELD_BYTES = 48 << 20
 QUERY_BLOCK = 16_384
 SEED_ROWS = 4096
 _HIT = np.dtype([("q", np.int32), ("id", np.int64), ("score", np.int64)])
+#: A hit on its way to its query: block and place in it name the query.
+_SENT = np.dtype([("block", np.int32), *_HIT.descr, ("query", np.int64)])
 
 
 class BallTree:
@@ -136,9 +144,7 @@ def quantised(df: DataFrame, scale: float, id_col: str, vec_col: str) -> DataFra
 
 
 def matrix(column: pa.Array, width: int) -> np.ndarray:
-    flat = column.flatten().to_numpy(zero_copy_only=False)
-    m = flat.reshape(-1, width)
-    return m if len(m) and np.abs(m).max() >= 2**22 else m.astype(np.float64)
+    return whole(column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width))
 
 
 def same(*arrays: np.ndarray) -> list[np.ndarray]:
@@ -146,80 +152,120 @@ def same(*arrays: np.ndarray) -> list[np.ndarray]:
     return list(arrays) if all(a.dtype == np.float64 for a in arrays) else [a.astype(np.int64) for a in arrays]
 
 
+def whole(m: np.ndarray) -> np.ndarray:
+    """Integers as float64 where their products and sums are exact in it."""
+    return m if len(m) and np.abs(m).max() >= 2**22 else m.astype(np.float64)
+
+
+def blocked(q: DataFrame, seeds: dict[int, tuple[np.ndarray, np.ndarray]], k: int, blocks: dict[int, tuple[int, int]]) -> DataFrame:
+    """(width, block, ids, vectors, floor): queries (id, v) in blocks, with the kth scores that they have in their width's seeds. blocks: for each width its first block's number and the number of its blocks."""
+    schema = pa.schema([("width", pa.int32()), ("block", pa.int32()), ("ids", pa.binary()), ("vectors", pa.binary()), ("floor", pa.binary())])
+    first, count = (F.create_map(*[F.lit(x) for w, b in blocks.items() for x in (w, b[i])]) for i in (0, 1))
+    width = F.size("v")
+    numbered = q.withColumn("block", (F.element_at(first, width) + F.pmod(F.xxhash64("id", "v"), F.element_at(count, width))).cast("int"))
+
+    def pack(t: pa.Table) -> pa.Table:
+        ids = t.column("id").to_numpy()
+        v = np.stack(t.column("v").to_pandas().to_numpy()).astype(np.int64)
+        floor = np.full(len(ids), np.iinfo(np.int64).min)
+        if v.shape[1] in seeds:  # the kth score of a part is a lower bound of the whole's
+            s_ids, s = seeds[v.shape[1]]
+            a, z = same(whole(v), whole(s))
+            top = Best(len(ids), k, floor)
+            search(BallTree(s.astype(np.float64)), z, s_ids, a, ids, np.sqrt((v.astype(np.float64) ** 2).sum(1)), top)
+            floor = top.floor
+        return pa.Table.from_batches([batch(schema, [v.shape[1]], [t.column("block")[0].as_py()], [ids.tobytes()], [v.tobytes()], [floor.tobytes()])])
+
+    return arrow_groups(numbered.groupBy("block"), pack, "width int, block int, ids binary, vectors binary, floor binary")
+
+
+def read_blocks(files: list[str]):
+    """The blocks of the files in the shared folder, one at a time: (width, block, ids, vectors, floor)."""
+    import pyarrow.parquet as pq
+    from pyarrow.fs import FileSystem
+
+    for name in files:
+        system, path = FileSystem.from_uri(name)
+        with system.open_input_file(path) as f:
+            for b in pq.ParquetFile(f).iter_batches(batch_size=1):
+                for r in b.to_pylist():
+                    yield r["width"], r["block"], np.frombuffer(r["ids"], np.int64), whole(np.frombuffer(r["vectors"], np.int64).reshape(-1, r["width"])), np.frombuffer(r["floor"], np.int64)
+
+
 def top_k(candidates: DataFrame, queries: DataFrame, k: int = 20, scale: float = 64.0, id_col: str = "vec_id", vec_col: str = "embedding", block: int = QUERY_BLOCK) -> DataFrame:
     """query_id, rank (from 1), id_col, score: the k highest inner products of each row of queries over all candidates but those of its own id.
 
     Fewer candidates than k give all of them; ties go to the smaller id.
     Repeated queries are answered once, repeated candidates count each. Vectors
-    of another length than a query's aren't its candidates. Components should
+    of another length than a query's aren't its candidates. Null ids, and
+    vectors that are null, empty or hold null or non-finite components, take no
+    part. Empty tables give no rows; other columns are not read. Components should
     stay below 2**28 after scaling, for scores to fit in 64 bits.
     """
     spark = candidates.sparkSession
     prepare(spark)
     q = quantised(queries, scale, id_col, vec_col).distinct()
     c = quantised(candidates, scale, id_col, vec_col)
-    sizes = q.groupBy(F.size("v").alias("width")).count().collect()
-    out = None
-    for width, count in sorted((r.width, r["count"]) for r in sizes):
-        mine, theirs = q.where(F.size("v") == width), c.where(F.size("v") == width)
-        n = max(1, -(-count // block))
-        step = max(1, theirs.count() // SEED_ROWS)
-        seed = theirs.where(F.pmod(F.xxhash64("id"), F.lit(step)) == 0).limit(2 * SEED_ROWS).collect()
-        for b in range(n):
-            rows = (mine if n == 1 else mine.where(F.pmod(F.xxhash64("id", "v"), F.lit(n)) == b)).collect()
-            if rows:
-                found = _block(theirs, rows, seed, width, k, parts(spark))
-                out = found if out is None else out.unionByName(found)
-    if out is None:
-        out = spark.createDataFrame([], "query_id long, rank int, id long, score long")
-    return out.withColumnRenamed("id", id_col)
-
-
-def _block(c: DataFrame, rows, seed, width: int, k: int, buckets: int) -> DataFrame:
-    sc = c.sparkSession.sparkContext
-    ids = np.array([r.id for r in rows], np.int64)
-    q = np.array([r.v for r in rows], np.int64)
-    q = q if np.abs(q).max() >= 2**22 else q.astype(np.float64)
-    floor = np.full(len(ids), np.iinfo(np.int64).min)
-    if seed:  # the kth score of a part is a lower bound of the whole's
-        s_ids = np.array([r.id for r in seed], np.int64)
-        s = np.array([r.v for r in seed], np.int64)
-        s = s if np.abs(s).max() >= 2**22 else s.astype(np.float64)
-        top = Best(len(ids), k, floor)
-        a, z = same(q, s)
-        search(BallTree(s.astype(np.float64)), z, s_ids, a, ids, np.sqrt((q.astype(np.float64) ** 2).sum(1)), top)
-        floor = top.floor
-    sent = sc.broadcast((ids, q, floor))
+    width = F.size("v").alias("width")
+    sizes = {r.width: r["count"] for r in q.groupBy(width).count().collect()}
+    if not sizes:
+        return spark.createDataFrame([], f"query_id long, rank int, `{id_col}` long, score long")
+    rows = {r.width: r["count"] for r in c.where(F.size("v").isin(list(sizes))).groupBy(width).count().collect()}
+    blocks, seeds, at = {}, {}, 0
+    for w, n in sorted(sizes.items()):
+        blocks[w] = (at, -(-n // block))
+        at += -(-n // block)
+        step = max(1, rows.get(w, 0) // SEED_ROWS)
+        got = c.where((F.size("v") == w) & (F.pmod(F.xxhash64("id"), F.lit(step)) == 0)).limit(2 * SEED_ROWS).toArrow()
+        if got.num_rows:
+            seeds[w] = got.column("id").to_numpy(), np.stack(got.column("v").to_pandas().to_numpy()).astype(np.int64)
+    files = written(blocked(q, seeds, k, blocks), "queries").inputFiles()
+    buckets = 2 * parts(spark)
 
     def run(batches):
-        q_ids, q, floor = sent.value
-        norms = np.sqrt((q.astype(np.float64) ** 2).sum(1))
-        top = Best(len(q), k, floor)
-
-        def shard(held):
-            own, v = np.concatenate([x for x, _ in held]), same(*[m for _, m in held])
-            v = np.concatenate(v)
-            a, z = same(q, v)
-            search(BallTree(v.astype(np.float64)), z, own, a, q_ids, norms, top)
-
-        held, size = [], 0
+        held: dict[int, list] = {}
+        size = 0
         for b in batches:
             if b.num_rows:
-                held.append((b.column(0).to_numpy(zero_copy_only=False), matrix(b.column(1), width)))
-                size += b.num_rows
-            if size >= SHARD:
-                shard(held)
-                held, size = [], 0
+                widths = b.column(1).value_lengths().to_numpy()
+                for w in np.unique(widths).tolist():
+                    own = b.filter(pa.array(widths == w))
+                    held.setdefault(w, []).append((own.column(0).to_numpy(zero_copy_only=False), matrix(own.column(1), w)))
+                    size += own.num_rows * w * 8
+            if size >= HELD_BYTES:
+                yield from answered(held)
+                held, size = {}, 0
         if held:
-            shard(held)
+            yield from answered(held)
+
+    def answered(held):
+        trees = {}
+        for w, own in held.items():
+            ids, v = np.concatenate([x for x, _ in own]), np.concatenate(same(*[m for _, m in own]))
+            trees[w] = [(ids[i : i + SHARD], v[i : i + SHARD], BallTree(v[i : i + SHARD].astype(np.float64))) for i in range(0, len(ids), SHARD)]
+        held.clear()
         pack = Packer(buckets)
-        yield from pack.add((top.hits["q"] % buckets).astype(np.int32), top.hits)
+        for w, number, q_ids, q, floor in read_blocks(files):
+            top = Best(len(q_ids), k, floor)
+            norms = np.sqrt((q.astype(np.float64) ** 2).sum(1))
+            for ids, v, tree in trees.get(w, ()):
+                a, z = same(q, v)
+                search(tree, z, ids, a, q_ids, norms, top)
+            out = np.empty(len(top.hits), _SENT)
+            out["block"], out["query"] = number, q_ids[top.hits["q"]]
+            for name in _HIT.names:
+                out[name] = top.hits[name]
+            yield from pack.add(bucket_of(mix(out["block"].astype(np.uint64) << np.uint64(32) | out["q"].astype(np.uint64)), buckets), out)
         yield from pack.flush()
 
     schema = pa.schema([("query_id", pa.int64()), ("rank", pa.int32()), ("id", pa.int64()), ("score", pa.int64())])
 
     def merge(t: pa.Table) -> pa.Table:
-        h = best(unpack(t, _HIT), k)
-        return pa.Table.from_batches([batch(schema, sent.value[0][h["q"]], (ranks(h["q"]) + 1).astype(np.int32), h["id"], h["score"])])
-
-    return arrow_groups(arrow_map(c, run, PACKED_DDL).groupBy("bucket"), merge, "query_id long, rank int, id long, score long")
+        h = unpack(t, _SENT)
+        h = h[np.lexsort((h["id"], -h["score"], h["q"], h["block"]))]
+        rank = ranks(h["block"].astype(np.int64) << 32 | h["q"])
+        h, rank = h[rank < k], rank[rank < k]
+        return pa.Table.from_batches([batch(schema, h["query"], (rank + 1).astype(np.int32), h["id"], h["score"])])
+
+    c = c.where(F.size("v").isin(list(sizes)))
+    return arrow_groups(arrow_map(c, run, PACKED_DDL).groupBy("bucket"), merge, "query_id long, rank int, id long, score long").withColumnRenamed("id", id_col)

@@ -7,24 +7,28 @@ take back the hits that they cover. The summed weight, as such and by the
 text's length, goes through a logistic function.
 
 The lexicon has a fixed part and a learnt part. Learning uses labelled rows
-only, a bounded sample of them (``most`` rows, chosen by a hash of the id):
+only, a bounded sample of them (about ``most`` rows, chosen by a hash of the id):
 candidate terms are those in enough positive texts that chance can't explain
 it, near copies counting once; negatives are then searched for the candidates.
+Texts stay on the executors: what reaches the driver are the candidate terms,
+their counts, and the counts of equal features.
 """
 
 from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter, defaultdict
+from collections import Counter
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tessera.llm.common import arrow_map, batch, prepare, texts_of
+from tessera.llm.common import arrow_map, batch, compact, parts, prepare, texts_of
+from tessera.llm.components import components
 
 #: Terms that count without any labels (weight in natural log odds), and phrases in which they don't count.
 TERMS = {"idiot": 6.0, "idiots": 6.0, "moron": 6.0, "morons": 6.0, "imbecile": 6.0, "stupid": 5.0, "scum": 5.0, "loser": 5.0, "losers": 5.0, "worthless": 4.0, "pathetic": 4.0, "disgusting": 4.0, "trash": 3.0, "clown": 3.0, "dumbass": 6.0, "scumbag": 6.0}
@@ -35,7 +39,7 @@ SUBSTITUTES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@":
 FOLD = {i: " " for i in range(0x80) if not chr(i).isalnum()} | {ord(a): b for a, b in (HOMOGLYPHS | SUBSTITUTES).items()} | {0xFF21 + i: chr(97 + i) for i in range(26)} | {0xFF41 + i: chr(97 + i) for i in range(26)} | {0x00A0: " ", 0x2019: " ", 0x200B: "", 0x200C: "", 0x200D: "", 0x00AD: "", 0xFEFF: ""}
 MOST_ROWS = 30_000
 _PREFIXES = range(4, 8)
-_MOST_TERMS = 5_000
+_MINIMA = 8
 
 
 def fold(text: str) -> str:
@@ -89,27 +93,29 @@ class Lexicon:
         return 1 / (1 + math.exp(-(self.curve[0] + self.curve[1] * a + self.curve[2] * b)))
 
 
-def copies(texts: list[str]) -> list[int]:
-    """A class for each folded text: texts that share one of eight minima of hashed word triples are in one class."""
-    parent = list(range(len(texts)))
+def minima(text: str) -> list[int]:
+    """Eight minima of hashed word triples of a folded text. Texts that share one count as near copies."""
+    h = np.array([zlib.crc32(w.encode()) for w in text.split()] or [0], np.uint64)
+    if len(h) > 2:
+        h = h[:-2] * np.uint64(0xD6E8FEB86659FD93) + h[1:-1] * np.uint64(0xA0761D6478BD642F) + h[2:] * np.uint64(0xE7037ED1A0B428DB)
+    return [int(((h * np.uint64(2 * k + 0x9E3779B97F4A7C15)) >> np.uint64(7)).min()) for k in range(_MINIMA)]
 
-    def root(i):
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
 
-    seen: dict[tuple, int] = {}
-    for i, text in enumerate(texts):
-        h = np.array([zlib.crc32(w.encode()) for w in text.split()] or [0], np.uint64)
-        if len(h) > 2:
-            h = h[:-2] * np.uint64(0xD6E8FEB86659FD93) + h[1:-1] * np.uint64(0xA0761D6478BD642F) + h[2:] * np.uint64(0xE7037ED1A0B428DB)
-        for k in range(8):
-            m = int(((h * np.uint64(2 * k + 0x9E3779B97F4A7C15)) >> np.uint64(7)).min())
-            j = seen.setdefault((k, m), i)
-            a, b = root(i), root(j)
-            parent[max(a, b)] = min(a, b)
-    return [root(i) for i in range(len(texts))]
+def classed(positives: DataFrame) -> DataFrame:
+    """(class, text) of the different texts: near copies, linked through shared minima, are one class."""
+    schema = pa.schema([("t", pa.int64()), ("k", pa.int32()), ("m", pa.int64())])
+
+    def run(batches):
+        for b in batches:
+            t, n = b.column(0), b.num_rows
+            m = [x for text in texts_of(b.column(1)) for x in minima(fold(text))]
+            yield batch(schema, np.repeat(t.to_numpy(), _MINIMA), np.tile(np.arange(_MINIMA, dtype=np.int32), n), m)
+
+    texts = positives.select(F.xxhash64("text").alias("t"), "text").dropDuplicates(["t"])
+    shared = arrow_map(texts, run, "t long, k int, m long")
+    links = shared.withColumn("a", F.min("t").over(W.partitionBy("k", "m"))).where("a <> t").select("a", F.col("t").alias("b"))
+    own = components(links).withColumnRenamed("node", "t")
+    return texts.join(own, "t", "left").select(F.coalesce("component", "t").alias("class"), "text")
 
 
 def features_of(texts) -> set[str]:
@@ -123,46 +129,53 @@ def features_of(texts) -> set[str]:
     return out
 
 
-def candidates(positives: list[str], negatives: int) -> dict[str, int]:
-    """Terms with the number of classes of positive texts that have them, where chance explains less than one term in a hundred.
+def candidates(positives: DataFrame, negatives: int) -> dict[str, int]:
+    """Terms with the number of classes of positive texts that have them, where chance explains less than one term in a hundred. A class is in one task, and counts a term once."""
+    schema = pa.schema([("term", pa.string()), ("n", pa.int64())])
 
-    Counted twice: first by hash, in an array of a fixed size, so that only terms of three classes at least are kept by name.
-    """
-    folded = [fold(t) for t in positives]
-    members: dict[int, list[str]] = defaultdict(list)
-    for text, k in zip(folded, copies(folded), strict=True):
-        members[k].append(text)
-    hashed = np.zeros(1 << 22, np.uint32)
-    for own in members.values():
-        hashed[np.fromiter({hash(f) & 0x3FFFFF for f in features_of(own)}, np.int64)] += 1
-    where: Counter = Counter()
-    for own in members.values():
-        where.update([f for f in features_of(own) if hashed[hash(f) & 0x3FFFFF] >= 3])
-    n = len(members)
-    tested = sum(c >= 3 for c in where.values())
-    least = max(3, math.log(100 * max(1, tested)) / math.log((n + negatives + 1) / (n + 0.5)))
-    return {t: c for t, c in where.items() if c >= least}
+    def run(batches):
+        where: Counter = Counter()
+        now, own = None, set()
+        for b in batches:
+            for k, text in zip(b.column(0).to_pylist(), texts_of(b.column(1)), strict=True):
+                if k != now:
+                    where.update(own)
+                    now, own = k, set()
+                own |= features_of([fold(text)])
+        where.update(own)
+        names = list(where)
+        for i in range(0, len(names), 50_000):
+            yield batch(schema, names[i : i + 50_000], [where[t] for t in names[i : i + 50_000]])
+
+    classes = compact(classed(positives), "positives", 2_000)
+    n = classes.select("class").distinct().count()
+    dealt = classes.repartition(parts(classes.sparkSession), "class").sortWithinPartitions("class")
+    counts = compact(arrow_map(dealt, run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n")).where("n >= 3"), "terms", 500_000)
+    least = max(3, math.log(100 * max(1, counts.count())) / math.log((n + negatives + 1) / (n + 0.5)))
+    return {r.term: r.n for r in counts.where(F.col("n") >= least).collect()}
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", most: int = MOST_ROWS) -> Lexicon:
-    """A lexicon fitted to the labelled rows (label 0 or 1; an id with both labels and null labels don't count)."""
+    """A lexicon fitted to the labelled rows (label 0 or 1; an id with both labels and null labels don't count).
+
+    Fewer than five rows of a label, or empty tables, leave the fixed lexicon. Repeated rows of docs count as one text.
+    """
     prepare(docs.sparkSession)
     rows = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("label")).where("id is not null and label in (0, 1)").groupBy("id").agg(F.min("label").alias("label"), F.max("label").alias("other")).where("label = other").drop("other")
     n = rows.count()
     step = max(1, -(-n // most))
-    if n:
-        rows = rows.where(F.pmod(F.xxhash64("id"), F.lit(step)) == 0).limit(2 * most)
-    sample = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("text <> ''").join(F.broadcast(rows), "id")
     base = {f" {t} ": w for t, w in TERMS.items()}
-    # a toxic row is one of a bounded sample, and its words are needed together
-    positives = [t for (t,) in sample.where("label = 1").select("text").toLocalIterator()] if n else []
-    n_neg = max(0, rows.where("label = 0").count()) if n else 0
-    if len(positives) < 5 or n_neg < 5:
+    if not n:
+        return Lexicon(base)
+    rows = rows.where(F.pmod(F.xxhash64("id"), F.lit(step)) == 0).limit(2 * most)
+    # the sample's texts are read from the corpus once
+    sample = compact(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("text <> ''").join(F.broadcast(rows), "id"), "sample", 2_000)
+    n_pos, n_neg = sample.where("label = 1").count(), sample.where("label = 0").count()
+    if n_pos < 5 or n_neg < 5:
         return Lexicon(base)
-    support = candidates(positives, n_neg)
+    support = candidates(sample.where("label = 1").select("text"), n_neg)
     probe = Lexicon({t: 1.0 for t in support}, [])
     counts = negative_counts(sample.where("label = 0").select("text"), probe)
-    n_pos = len(positives)
     terms: dict[str, float] = {}
     letters = sorted({c for t in support for c in t} - {" "})
     for t in sorted(support, key=lambda t: (len(t.rstrip(" ")), t)):
@@ -172,8 +185,6 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             while longer := next((x for x in (t + " ", *(t + c for c in letters)) if support.get(x) == support[t]), None):
                 t = longer
             terms[t] = min(8.0, weight)
-        if len(terms) >= _MOST_TERMS:
-            break
     own = Lexicon(terms | {t: max(w, terms.get(t, 0)) for t, w in base.items()})
     return Lexicon(own.terms, own.exceptions, curve_of(sample.select("text", "label"), own))
 
@@ -221,7 +232,7 @@ def curve_of(sample: DataFrame, lexicon: Lexicon) -> tuple[float, ...]:
 
 
 def score(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id_col and score (0 to 1) of each row. Null and empty texts have no hits and score as such; whole texts are read; repeated rows score each."""
+    """id_col and score (0 to 1) of each row. Null and empty texts have no hits and score as such; whole texts of any length are read; repeated rows score each; an empty table gives no rows; other columns are not read."""
     prepare(docs.sparkSession)
     schema = pa.schema([("id", pa.int64()), ("score", pa.float64())])
 

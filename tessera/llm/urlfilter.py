@@ -19,10 +19,9 @@ from tessera.llm.common import compact, small_join
 
 #: Fixed values: (verdict, host, path).
 RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
-#: Suffixes of two labels that count as one (a sample of public ones; a parameter).
+#: Suffixes of two labels that count as one: a sample of public ones. public_suffixes() reads a whole list.
 SUFFIXES = ["co.uk", "org.uk", "ac.uk", "com.au", "co.jp", "com.br", "co.in"]
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_MOST_HOSTS = 100_000
 URL = "://([^/?#]*)([^?#]*)"
 
 
@@ -43,11 +42,27 @@ def rule_of(host: Column, path: Column, rules) -> tuple[Column, Column]:
     return rule, verdict
 
 
+def public_suffixes(path: str) -> list[str]:
+    """The entries of a file in the format of the public suffix list: one a line, // comments, *.x for all labels under x, !y.x for an exception."""
+    with open(path, encoding="utf-8") as f:
+        words = (line.split()[0] for line in f if line.strip() and not line.lstrip().startswith("//"))
+        return [w.lower() if w.isascii() else (w[:1] + w[1:].encode("idna").decode() if w[0] == "!" else "*." + w[2:].encode("idna").decode() if w.startswith("*.") else w.encode("idna").decode()) for w in words]
+
+
 def levels(df: DataFrame, suffixes) -> DataFrame:
-    """df with suffix and domain of its host."""
-    two, last = F.substring_index("host", ".", -2), F.substring_index("host", ".", -1)
-    df = df.withColumn("suffix", F.when(two.isin(suffixes), two).otherwise(last))
-    return df.withColumn("domain", F.when(F.col("suffix") == two, F.substring_index("host", ".", -3)).otherwise(two))
+    """df with suffix and domain of its host: the longest suffix that fits, else the last label; the domain has one label more."""
+    wild, but = [x[2:] for x in suffixes if x.startswith("*.")], [x[1:] for x in suffixes if x.startswith("!")]
+    plain = [x for x in suffixes if not x.startswith(("*.", "!"))]
+    end = lambda n: F.substring_index("host", ".", -n) if n else F.lit("")
+    suffix = end(1)
+    most = max([x.count(".") + 1 for x in plain] + [x.count(".") + 2 for x in wild], default=1)
+    for n in range(2, most + 1):
+        fits = end(n).isin(plain) | (end(n - 1).isin(wild) & (end(n) != end(n - 1)))
+        suffix = F.when(fits, end(n)).otherwise(suffix)
+    for n in sorted({x.count(".") + 1 for x in but}):
+        suffix = F.when(end(n).isin([x for x in but if x.count(".") + 1 == n]), end(n - 1)).otherwise(suffix)
+    df = df.withColumn("suffix", suffix)
+    return df.withColumn("domain", F.call_function("substring_index", F.col("host"), F.lit("."), -(F.size(F.split("suffix", r"\.")) + 1)))
 
 
 def weight(groups: DataFrame) -> float:
@@ -87,12 +102,14 @@ def judge(pages: DataFrame, outcomes: DataFrame, rules=RULES, threshold: float =
 
     pages: page_id, url. Null urls and urls without :// have an empty host and path, fit no rule, and
     take the overall rate. Pages without an outcome are judged like others;
-    repeated rows are judged each. The hosts' table is broadcast up to 100,000 hosts, else joined by an exchange whose skew Spark splits.
+    repeated rows are judged each; ports belong to the host. Urls of any length are read whole; other columns of
+    pages are not read; empty tables give no rows, or rows at the overall rate. The hosts' table is broadcast if it
+    is measured to be small, else joined by an exchange whose skew Spark splits.
     """
     judged = levels(pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path")), suffixes)
     h, d, s, overall = reputation(judged.select("page_id", "host"), outcomes, suffixes)
     for part, key in ((h, "host"), (d, "domain"), (s, "suffix")):
-        judged = small_join(judged, part.withColumnsRenamed({"a": f"{key}_a", "b": f"{key}_b"}), key, "left", _MOST_HOSTS)
+        judged = small_join(judged, part.withColumnsRenamed({"a": f"{key}_a", "b": f"{key}_b"}), key, "left")
     a = F.coalesce("host_a", "domain_a", "suffix_a", F.lit(overall * 2))
     b = F.coalesce("host_b", "domain_b", "suffix_b", F.lit((1 - overall) * 2))
     rate = a / (a + b)

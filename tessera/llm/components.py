@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import compact
+from tessera.llm.common import arrow_map, batch, compact
+
+#: Links that one task settles (16 bytes each); more go in rounds.
+MOST_EDGES = 1_000_000
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -20,9 +25,32 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.where("a <> b").distinct()
 
 
-def components(links: DataFrame) -> DataFrame:
-    """(node, component) of the nodes of links (a, b), where component is the smallest node reachable."""
+def _together(edges: DataFrame) -> DataFrame:
+    """Components of few edges, by a task: each round hooks every root to the least root next to it and shortens all ways."""
+    schema = pa.schema([("node", pa.int64()), ("component", pa.int64())])
+
+    def run(batches):
+        t = pa.Table.from_batches(list(batches), pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+        nodes, at = np.unique(np.concatenate([t.column(0).to_numpy(), t.column(1).to_numpy()]), return_inverse=True)
+        a, b = at[: t.num_rows], at[t.num_rows :]
+        root = np.arange(len(nodes))
+        while len(a):
+            low, high = np.minimum(root[a], root[b]), np.maximum(root[a], root[b])
+            apart = low != high
+            a, b = a[apart], b[apart]
+            np.minimum.at(root, high[apart], low[apart])
+            while (root[root] != root).any():
+                root = root[root]
+        yield batch(schema, nodes, nodes[root])
+
+    return arrow_map(edges.coalesce(1), run, "node long, component long")
+
+
+def components(links: DataFrame, most: int = MOST_EDGES) -> DataFrame:
+    """(node, component) of the nodes of links (a, b), where component is the smallest node reachable. At most ``most`` links, as counted, are settled by a task; more by rounds of stars."""
     edges = compact(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges")
+    if edges.count() <= most:
+        return _together(edges)
     before = None
     while True:
         r = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()

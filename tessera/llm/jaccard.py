@@ -23,28 +23,31 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import PACKED_DDL, Held, Packer, arrow_groups, arrow_map, batch, bucket_of, compact, parts, prepare, small_join, starts, unpack
+from tessera.llm.common import BROADCAST_BYTES, PACKED_DDL, Held, Packer, arrow_groups, arrow_map, batch, bucket_of, bytes_of, compact, parts, prepare, small_join, starts, unpack
 from tessera.llm.components import components
 from tessera.llm.wordcore import LOWER, SPACE, Words, chunks, column_bytes, inside_rows, mix, window_hashes
 
-SKETCH_BITS = 20
+SKETCH_BITS = 22
 _PIECE_BITS = 14
 BINS = 256
 MEMBERS = 256
-MOST = 150_000
-MOST_PAIRS = 200_000
+#: Broadcast up to so many bytes.
+MOST = MOST_PAIRS = BROADCAST_BYTES
 _CHUNK = 1 << 18
 _POST = np.dtype([("tok", np.uint64), ("gid", np.int64), ("n", np.int32), ("pos", np.int32)])
 #: Groups that share a shingle with so many others bring their counts along, so that their pairs are bounded where they are formed.
 DENSE = 16
 _EDGE = np.dtype([("b", np.int64), ("a", np.int64), ("k", np.int32)])
-_LIVE = np.dtype([("tok", np.uint64), ("gid", np.int64), ("n", np.int32), ("pos", np.int32), ("comp", np.int64)])
+#: A shingle of more groups is dealt into tiles of about so many, which meet in pairs in different tasks.
+SPLIT = 2_048
+#: side: 1 and 2 of a pair of tiles, whose entries meet those of the other side only; else 0.
+_LIVE = np.dtype([("tok", np.uint64), ("gid", np.int64), ("n", np.int32), ("pos", np.int32), ("comp", np.int64), ("side", np.int8)])
 _INFO = np.dtype([("gid", np.int64), ("comp", np.int64), ("sub", np.int64), ("n", np.int64), ("bins", np.uint8, BINS)])
 _SHARED = np.dtype([*_POST.descr, ("df", np.int32)])
 
 
-def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row, hash) of the distinct shingles of each text, by row and hash. A text of fewer words, but not none, has its whole sequence as one."""
+def shingles(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, hash) of the shingles of each text. A text of fewer words, but not none, has its whole sequence as one."""
     words = Words(data, offsets, LOWER, SPACE)
     h = words.hashes()
     row, at = inside_rows(words.first, width)
@@ -58,33 +61,56 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.
             if len(own):
                 extra[own] = mix(window_hashes(h, k)[words.first[short[own]]] + np.uint64(k))
         row, value = np.concatenate([row, short]), np.concatenate([value, extra])
-    order = np.lexsort((value, row))
+    return row, value
+
+
+def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, hash) of the distinct shingles of each text, by row and hash."""
+    row, value = shingles(data, offsets, width)
+    order = np.argsort(value)
+    order = order[by_row(row[order], len(offsets) - 1)]
     row, value = row[order], value[order]
     new = starts(row, value)
     return row[new], value[new]
 
 
+def by_row(row: np.ndarray, rows: int) -> np.ndarray:
+    """The stable order by row. Few rows fit in 16 bits, which numpy sorts in linear time."""
+    return np.argsort(row.astype(np.uint16) if rows < 1 << 16 else row, kind="stable")
+
+
 def sketch(texts: DataFrame, width: int) -> np.ndarray:
-    """The order class of each of 2**SKETCH_BITS hash classes: the bits of its count over all texts. A megabyte, at any size of input."""
+    """The order class of each of 2**SKETCH_BITS hash classes: the bits of the number of its shingles in all texts. Four megabytes, at any size of input."""
     pieces = 1 << (SKETCH_BITS - _PIECE_BITS)
 
     def run(batches):
-        total = np.zeros(1 << SKETCH_BITS, np.int64)
+        total = np.zeros(1 << SKETCH_BITS, np.uint32)
+        held, size = [], 0
+
+        def count():
+            seen, n = np.unique(np.concatenate(held), return_counts=True)
+            total[seen] += n.astype(np.uint32)
+
         for b in batches:
             data, offsets = column_bytes(b.column(0))
             for i, j in chunks(offsets, _CHUNK):
                 o = offsets[i : j + 1]
-                _, value = shingle_sets(data[o[0] : o[-1]], o - o[0], width)
-                total += np.bincount((value >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(total))
+                _, value = shingles(data[o[0] : o[-1]], o - o[0], width)
+                held.append((value >> np.uint64(64 - SKETCH_BITS)).astype(np.uint32))
+                size += len(value)
+                if size > 1 << 20:
+                    count()
+                    held, size = [], 0
+        if held:
+            count()
         for k, x in enumerate(total.reshape(pieces, -1)):
             if x.any():
-                kind = np.uint8 if x.max() < 256 else np.uint32 if x.max() < 2**32 else np.int64
-                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([x.astype(kind).tobytes()], pa.binary())], names=["bucket", "body"])
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([x.astype(np.uint8 if x.max() < 256 else np.uint32).tobytes()], pa.binary())], names=["bucket", "body"])
 
     def add(t: pa.Table) -> pa.Table:
         total = np.zeros(1 << _PIECE_BITS, np.int64)
         for body in t.column("body").to_pylist():
-            total += np.frombuffer(body, {1: np.uint8, 4: np.uint32, 8: np.int64}[len(body) >> _PIECE_BITS])
+            total += np.frombuffer(body, {1: np.uint8, 4: np.uint32}[len(body) >> _PIECE_BITS])
         bits = np.ceil(np.log2(total + 1)).astype(np.uint8)
         return pa.table({"bucket": t.column("bucket")[:1], "body": pa.array([bits.tobytes()], pa.binary())})
 
@@ -117,8 +143,8 @@ def described(texts: DataFrame, width: int, num: int, den: int) -> DataFrame:
                     f[some] = np.add.reduceat(mix(value), first[some])
                     g[some] = np.add.reduceat(mix(value ^ np.uint64(0x5851F42D4C957F2D)), first[some])
                     bins = np.bincount(row * BINS + (value >> np.uint64(8)).astype(np.int64) % BINS, minlength=m * BINS).reshape(m, BINS)
-                    order = np.lexsort((value, rarity[(value >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)], row))
-                    value = value[order]
+                    order = np.argsort(rarity[(value >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)], kind="stable")
+                    value = value[order[by_row(row[order], m)]]
                     length = n - -(-n * num // den) + 1
                     pos = np.arange(len(value)) - np.repeat(first, n)
                     h = np.where(pos < np.repeat(length, n), mix(value + pos.astype(np.uint64)), np.uint64(0))
@@ -230,6 +256,24 @@ def parted(r: np.ndarray) -> np.ndarray:
     return out
 
 
+def tiled(live: np.ndarray, df: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(live, place of each in the input): the entries of very common shingles, once for each pair of tiles that theirs is in, under a shingle of the pair's own."""
+    tiles = -(-df // SPLIT)
+    some = np.flatnonzero(tiles > 1)
+    if not len(some):
+        return live, np.arange(len(live))
+    own = (mix(live["gid"][some].view(np.uint64)) % tiles[some].astype(np.uint64)).astype(np.int64)
+    at = np.repeat(some, tiles[some])
+    other = np.arange(len(at)) - np.repeat(np.cumsum(tiles[some]) - tiles[some], tiles[some])
+    own = np.repeat(own, tiles[some])
+    out = live[at]
+    low, high = np.minimum(own, other), np.maximum(own, other)
+    out["tok"] = mix(out["tok"] ^ mix((low << 32 | high).astype(np.uint64)))
+    out["side"] = np.where(low == high, 0, np.where(own == low, 1, 2))
+    few = np.flatnonzero(tiles <= 1)
+    return np.concatenate([live[few], out]), np.concatenate([few, at])
+
+
 def cross_pairs(live: DataFrame, sets: DataFrame, buckets: int, num: int, den: int) -> DataFrame:
     """(a, b), a < b: the candidate pairs of parts of groups in different components, by their least members. sets: doc, leader, comp, n, bins."""
 
@@ -263,9 +307,11 @@ def cross_pairs(live: DataFrame, sets: DataFrame, buckets: int, num: int, den: i
         out = np.empty(len(r), _LIVE)
         for name in _POST.names:
             out[name] = r[name]
-        out["gid"], out["comp"] = g["sub"][k], g["comp"][k]
+        out["gid"], out["comp"], out["side"] = g["sub"][k], g["comp"][k], 0
+        out, at = tiled(out, r["df"])
+        k = k[at]
         bucket = bucket_of(mix(out["tok"]), buckets)
-        dense = np.flatnonzero(r["df"] >= DENSE)
+        dense = np.flatnonzero(r["df"][at] >= DENSE)
         both = np.unique(np.column_stack([bucket[dense].astype(np.int64), k[dense]]), axis=0)
         return pa.Table.from_batches([*packed(0, bucket, out), *packed(1, both[:, 0].astype(np.int32), g[both[:, 1]])], kinds)
 
@@ -289,11 +335,13 @@ def cross_pairs(live: DataFrame, sets: DataFrame, buckets: int, num: int, den: i
         r = unpack(t.filter(pa.array(kind == 0)), _LIVE)
         g = unpack(t.filter(pa.array(kind == 1)), _INFO)
         g = g[np.argsort(g["sub"], kind="stable")]
-        r = r[np.lexsort((r["comp"], r["tok"]))]
-        at, run = starts(r["tok"]), starts(r["tok"], r["comp"])
+        own = np.where(r["side"] == 0, r["comp"], r["side"])
+        order = np.lexsort((own, r["tok"]))
+        r, own = r[order], own[order]
+        at, run = starts(r["tok"]), starts(r["tok"], own)
         end = np.repeat(np.r_[at[1:], len(r)], np.diff(np.r_[at, len(r)]))
         skip = np.repeat(np.r_[run[1:], len(r)], np.diff(np.r_[run, len(r)]))
-        k = end - skip  # each entry meets the entries of later components only
+        k = end - skip  # each entry meets the entries of later components, or of the other tile, only
         out, found = [], 0
         who = np.flatnonzero(k)
         total = np.cumsum(k[who])
@@ -303,7 +351,7 @@ def cross_pairs(live: DataFrame, sets: DataFrame, buckets: int, num: int, den: i
             own = who[lo:hi]
             i = np.repeat(own, k[own])
             j = np.arange(len(i)) - np.repeat(np.cumsum(k[own]) - k[own], k[own]) + np.repeat(skip[own], k[own])
-            ok = (r["gid"][i] != r["gid"][j]) & fits(r["n"][i].astype(np.int64), r["pos"][i], r["n"][j].astype(np.int64), r["pos"][j], num, den)
+            ok = (r["gid"][i] != r["gid"][j]) & (r["comp"][i] != r["comp"][j]) & fits(r["n"][i].astype(np.int64), r["pos"][i], r["n"][j].astype(np.int64), r["pos"][j], num, den)
             x, y = r["gid"][i[ok]], r["gid"][j[ok]]
             if len(x):
                 out.append(bounded(np.unique(np.column_stack([np.minimum(x, y), np.maximum(x, y)]), axis=0), g))
@@ -320,6 +368,28 @@ def cross_pairs(live: DataFrame, sets: DataFrame, buckets: int, num: int, den: i
     return arrow_groups(labelled.groupBy("bucket"), pairs, "a long, b long").distinct()
 
 
+def inner_pairs(members: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b), a < b, of members (key, doc, c, tiles, n, bins) of one group in different components whose counts let them be similar. Tiles of a group meet in pairs."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    own = F.pmod(F.xxhash64("doc"), "tiles").cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
+    dealt = members.withColumn("own", own).withColumn("other", other).select("key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "doc", "c", "n", "bins")
+
+    def meet(t: pa.Table) -> pa.Table:
+        low, high, own, doc, c, n = (t.column(x).to_numpy() for x in ("low", "high", "own", "doc", "c", "n"))
+        bins = np.frombuffer(column_bytes(t.column("bins"))[0].tobytes(), np.uint8).reshape(-1, BINS)
+        left, right = np.flatnonzero(own == low[0]), np.flatnonzero(own == high[0])
+        out = []
+        for i in left.tolist():
+            j = right[(c[right] != c[i]) & (doc[right] > doc[i] if low[0] == high[0] else doc[right] != doc[i])]
+            j = j[reachable(bins[j], bins[i][None, :], n[j], n[i], num, den)]
+            out.append(np.column_stack([np.minimum(doc[j], doc[i]), np.maximum(doc[j], doc[i])]))
+        p = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
+        return pa.Table.from_batches([batch(schema, p[:, 0], p[:, 1])])
+
+    return arrow_groups(dealt.groupBy("key", "low", "high"), meet, "a long, b long")
+
+
 def possible(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs whose overlap can reach the need, by their counts."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -339,11 +409,10 @@ def possible(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
 def verified(pairs: DataFrame, texts: DataFrame, width: int, num: int, den: int) -> DataFrame:
     """The pairs (a, b) that are similar: each a is compared with blocks of at most about MEMBERS of its b."""
     pairs = compact(pairs, "pairs")
-    count = pairs.count()
     blocks = pairs.groupBy("a").agg((F.floor(F.count("*") / MEMBERS) + 1).alias("blocks"))
     dealt = small_join(pairs, blocks, "a", "inner", MOST).withColumn("block", F.pmod(F.xxhash64("b"), "blocks"))
     sent = dealt.select("a", "block", F.col("b").alias("doc"), F.lit(False).alias("centre")).unionByName(dealt.select("a", "block", F.col("a").alias("doc"), F.lit(True).alias("centre")).distinct())
-    rows = texts.join(F.broadcast(sent) if 2 * count <= MOST_PAIRS else sent, "doc").select("a", "block", "doc", "centre", "text")
+    rows = small_join(texts, sent, "doc", "inner", MOST_PAIRS, 2 * bytes_of(pairs)).select("a", "block", "doc", "centre", "text")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def compare(t: pa.Table) -> pa.Table:
@@ -392,19 +461,18 @@ def join(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, id_col:
 
         first = centres(live, buckets, num, den).unionByName(members.where("leader <> doc").select(F.col("leader").alias("a"), F.col("doc").alias("b")))
         links = compact(verified(first, texts, width, num, den), "links")
-        comps = components(links)
+        comps = compact(components(links), "components")
         # candidates between components: pairs of groups' parts, each of one component, expanded into members, and pairs inside a group
         labelled = small_join(grouped, comps.withColumnsRenamed({"node": "doc", "component": "comp"}), "doc", "left", MOST).withColumn("comp", F.coalesce("comp", "doc"))
         wide = cross_pairs(live, labelled, buckets, num, den)
         mixed = small_join(members.withColumnRenamed("leader", "key"), comps.withColumnRenamed("node", "doc"), "doc", "left", MOST).select("key", "doc", F.coalesce("component", "doc").alias("c"))
-        part = compact(mixed.groupBy("key", "c").agg(F.min("doc").alias("sub")), "parts")
-        m = compact(small_join(mixed, part, ["key", "c"], "inner", MOST).select(F.col("sub").alias("key"), "doc"), "members")
+        part = compact(mixed.groupBy("key", "c").agg(F.min("doc").alias("sub"), F.count("*").alias("size")), "parts")
+        m = compact(small_join(mixed, part.drop("size"), ["key", "c"], "inner", MOST).select(F.col("sub").alias("key"), "doc"), "members")
         for side in ("a", "b"):
             wide = small_join(wide.withColumnRenamed(side, "key"), m, "key", "left", MOST).select(F.coalesce("doc", "key").alias(side), "b" if side == "a" else "a")
         # inside a group, only where its members are in several components, and then between these
-        mixed = mixed.join(part.groupBy("key").agg(F.count("*").alias("k")).where("k > 1").select("key"), "key", "left_semi")
-        other = mixed.select("key", F.col("doc").alias("other"), F.col("c").alias("d"))
-        inner = mixed.join(other, (mixed["key"] == other["key"]) & (mixed["c"] < other["d"])).select(F.col("doc").alias("a"), F.col("other").alias("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        split = part.groupBy("key").agg(F.count("*").alias("k"), F.sum("size").alias("size")).where("k > 1").select("key", F.ceil(F.col("size") / SPLIT).cast("int").alias("tiles"))
+        inner = inner_pairs(mixed.join(split, "key").join(sets.select("doc", "n", "bins"), "doc"), num, den)
         second = wide.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).unionByName(inner)
         for side in ("a", "b"):
             second = small_join(second, comps.select(F.col("node").alias(side), F.col("component").alias(f"c{side}")), side, "left", MOST)

@@ -71,14 +71,15 @@ RULES = {
     "Unlicense": [["unlicense"]],
     "LicenseRef-All-Rights-Reserved": [["reserved"]],
 }
-#: More wordings: whole sentences of the licences, with the identifiers that they stand for. oracle() parts at each line end and has none of these.
+#: More wordings: whole sentences of the licences, with the identifiers that they stand for.
 WHOLE = [
     ("mit-grant", SENTENCES["mit-grant"] + ", including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions"),
     ("mit-as-is", SENTENCES["mit-as-is"] + ", INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT"),
     ("apache-you,apache-not-use", SENTENCES["apache-you"] + "; " + SENTENCES["apache-not-use"]),
     ("apache-copy", SENTENCES["apache-copy"] + " http://www.apache.org/licenses/LICENSE-2.0"),
 ]
-TRIGGERS = ["licens", "copyright", "permission", "redistribut", "warrant", "public domain", "rights reserved"]
+#: Single words, which no line end can part.
+TRIGGERS = ["licens", "copyright", "permission", "redistribut", "warrant", "unencumbered", "reserved"]
 
 
 def normal_text(text: str) -> str:
@@ -96,16 +97,26 @@ def known_sentences(sentences: dict[str, str]) -> dict[str, str]:
     return out
 
 
-def pattern(sentence: str) -> str:
+def wordings(sentences: dict[str, str]) -> tuple[dict[str, str], list[str]]:
+    """(identifiers of each normalised wording, all wordings)."""
+    more = WHOLE if sentences is SENTENCES else []
+    return known_sentences(sentences) | {normal_text(t): names for names, t in more}, [*sentences.values(), *(t for _, t in more)]
+
+
+def pattern(sentence: str, mark: str = " [/|]", line: str = " /") -> str:
     """A known sentence among marks: / is a line's end, | a sentence's."""
     import re
 
     out = ""
     for gap, word in re.findall("([^a-z0-9+]*)([a-z0-9+]+)", sentence.lower()):
-        out += ("(?: [/|])* " if re.search(r"[.!?]\s", gap) else "(?: /)? " if out else "") + re.escape(word)
+        out += (f"(?:{mark})* " if re.search(r"[.!?]\s", gap) else f"(?:{line})? " if out else "") + re.escape(word)
     return out
 
 
+def longest_first(texts: list[str], pattern_of) -> list[str]:
+    return [pattern_of(t) for t in sorted({normal_text(t): t for t in texts}.values(), key=lambda t: (-len(normal_text(t)), normal_text(t)))]
+
+
 def marked(text: Column) -> Column:
     """The normalised text with its marks. They are letters of upper case at first, of which a lower-cased text has none in ASCII."""
     text = F.regexp_replace(F.lower(text), r"[.!?]+(?:[ \t\r]+|\r?(?=\n))", F.lit(" S "))
@@ -124,20 +135,17 @@ def scan(docs: DataFrame, sentences=SENTENCES, rules=RULES, id_col: str = "doc_i
     """id_col, n_known (known sentences), sentence_ids (in order, comma-joined) and licenses (sorted, comma-joined) of each row.
 
     Null and empty texts have none: 0 and empty strings. Repeated rows are
-    scanned each. Whole texts are read; no exchange; other columns are not read.
+    scanned each. Whole texts of any length are read, with no bound on a sentence's; no exchange; an
+    empty table gives no rows; other columns are not read.
     """
-    known = known_sentences(sentences)
-    texts = [*sentences.values()]
-    if sentences is SENTENCES:
-        texts += [t for _, t in WHOLE]
-        known |= {normal_text(t): names for names, t in WHOLE}
+    known, texts = wordings(sentences)
     table = F.create_map(*[F.lit(x) for kv in known.items() for x in kv])
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     low = F.lower(text)
     some = low.contains(TRIGGERS[0])
     for t in TRIGGERS[1:]:
         some = some | low.contains(t)
-    every = sorted({pattern(t) for t in texts}, key=lambda x: (-len(x), x))
+    every = longest_first(texts, pattern)
     hits = F.regexp_extract_all(marked(text), F.lit("(?<=[/|] )(?:" + "|".join(every) + ")(?= [/|])"), F.lit(0))
     ids = F.transform(hits, lambda s: F.try_element_at(table, F.regexp_replace(s, " [/|]", F.lit(""))))
     ids = F.flatten(F.transform(ids, lambda x: F.split(x, ",")))
@@ -164,15 +172,18 @@ def _step(state: Column, pattern: Column, name: str) -> Column:
 
 
 def oracle() -> str:
-    """The same in DuckDB's SQL."""
-    known = known_sentences(SENTENCES)
+    """The same in DuckDB's SQL, whose patterns can't look around: marks are doubled, so that a sentence takes one at each side and leaves one to its neighbour."""
+    known, texts = wordings(SENTENCES)
     q = lambda s: "'" + s.replace("'", "''") + "'"
     pairs = ", ".join(f"({q(s)}, {q(n)})" for s, n in known.items())
+    every = "|".join(longest_first(texts, lambda t: pattern(t, " [/|] [/|]", " / /")))
     steps = ordered(RULES)
-    sql = f"""WITH known(s, name) AS (VALUES {pairs}),
-cut AS (SELECT rn, doc_id, unnest(regexp_split_to_array(coalesce(text, ''), '\\n|[.!?]+[ \\t\\r]+')) AS part, generate_subscripts(regexp_split_to_array(coalesce(text, ''), '\\n|[.!?]+[ \\t\\r]+'), 1) AS pos FROM (SELECT row_number() OVER () AS rn, * FROM documents)),
-ids AS (SELECT rn, list(name ORDER BY pos) AS ids FROM cut JOIN known ON trim(regexp_replace(lower(part), '[^a-z0-9+]+', ' ', 'g')) = s GROUP BY rn),
-s0 AS (SELECT d.doc_id, coalesce(len(ids), 0) AS n_known, coalesce(array_to_string(ids, ','), '') AS sentence_ids, CASE WHEN ids IS NULL THEN '' ELSE ',,' || array_to_string(ids, ',,') || ',,' END AS rest, '' AS names FROM (SELECT row_number() OVER () AS rn, doc_id FROM documents) d LEFT JOIN ids USING (rn))"""
+    sql = f"""WITH known(s, names) AS (VALUES {pairs}),
+low AS (SELECT row_number() OVER () AS rn, doc_id, regexp_replace(regexp_replace(lower(coalesce(text, '')), '[.!?]+[ \\t\\r]+', ' S ', 'g'), '[.!?]+\\n', ' S ' || chr(10), 'g') AS t FROM documents),
+marks AS (SELECT rn, doc_id, '| | ' || trim(replace(replace(regexp_replace(regexp_replace(replace(t, chr(10), ' N '), '[^a-z0-9+NS]+', ' ', 'g'), 'N(?: N)+', 'S', 'g'), 'N', '/ /'), 'S', '| |'), ' ') || ' | |' AS t FROM low),
+hits AS (SELECT rn, unnest(hits) AS hit, generate_subscripts(hits, 1) AS pos FROM (SELECT rn, regexp_extract_all(t, {q("[/|] (" + every + ") [/|]")}, 1) AS hits FROM marks)),
+ids AS (SELECT rn, string_split(string_agg(names, ',' ORDER BY pos), ',') AS ids FROM hits JOIN known ON regexp_replace(hit, ' [/|]', '', 'g') = s GROUP BY rn),
+s0 AS (SELECT doc_id, coalesce(len(ids), 0) AS n_known, coalesce(array_to_string(ids, ','), '') AS sentence_ids, CASE WHEN ids IS NULL THEN '' ELSE ',,' || array_to_string(ids, ',,') || ',,' END AS rest, '' AS names FROM low LEFT JOIN ids USING (rn))"""
     for i, (name, rule) in enumerate(steps):
         p = q("," + ",,".join(rule) + ",")
         sql += f",\ns{i + 1} AS (SELECT doc_id, n_known, sentence_ids, replace(rest, {p}, '|') AS rest, CASE WHEN contains(rest, {p}) THEN names || {q(name + ',')} ELSE names END AS names FROM s{i})"

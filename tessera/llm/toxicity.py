@@ -24,10 +24,9 @@ import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tessera.llm.common import arrow_map, batch, compact, parts, prepare, texts_of
+from tessera.llm.common import arrow_map, batch, compact, parts, prepare, small_join, texts_of
 from tessera.llm.components import components
 
 #: Terms that count without any labels (weight in natural log odds), and phrases in which they don't count.
@@ -40,6 +39,8 @@ FOLD = {i: " " for i in range(0x80) if not chr(i).isalnum()} | {ord(a): b for a,
 MOST_ROWS = 30_000
 _PREFIXES = range(4, 8)
 _MINIMA = 8
+#: Texts of a class of near copies that one task takes.
+CLASS_ROWS = 200
 
 
 def fold(text: str) -> str:
@@ -113,7 +114,8 @@ def classed(positives: DataFrame) -> DataFrame:
 
     texts = positives.select(F.xxhash64("text").alias("t"), "text").dropDuplicates(["t"])
     shared = arrow_map(texts, run, "t long, k int, m long")
-    links = shared.withColumn("a", F.min("t").over(W.partitionBy("k", "m"))).where("a <> t").select("a", F.col("t").alias("b"))
+    least = shared.groupBy("k", "m").agg(F.min("t").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n")
+    links = shared.join(least, ["k", "m"]).where("a <> t").select("a", F.col("t").alias("b"))
     own = components(links).withColumnRenamed("node", "t")
     return texts.join(own, "t", "left").select(F.coalesce("component", "t").alias("class"), "text")
 
@@ -130,27 +132,41 @@ def features_of(texts) -> set[str]:
 
 
 def candidates(positives: DataFrame, negatives: int) -> dict[str, int]:
-    """Terms with the number of classes of positive texts that have them, where chance explains less than one term in a hundred. A class is in one task, and counts a term once."""
-    schema = pa.schema([("term", pa.string()), ("n", pa.int64())])
+    """Terms with the number of classes of positive texts that have them, where chance explains less than one term in a hundred.
+
+    A class counts a term once. A task takes whole classes; a class of more
+    than CLASS_ROWS texts is dealt over several, whose terms meet again.
+    """
+    schema = pa.schema([("class", pa.int64()), ("term", pa.string()), ("n", pa.int64())])
 
     def run(batches):
         where: Counter = Counter()
-        now, own = None, set()
+        now, dealt, own = None, False, set()
+
+        def closed() -> list[pa.RecordBatch]:
+            if not dealt:
+                where.update(own)
+                return []
+            return [batch(schema, [now] * len(own), list(own), [1] * len(own))]
+
         for b in batches:
-            for k, text in zip(b.column(0).to_pylist(), texts_of(b.column(1)), strict=True):
+            for k, text, deals in zip(b.column(0).to_pylist(), texts_of(b.column(1)), b.column(2).to_pylist(), strict=True):
                 if k != now:
-                    where.update(own)
-                    now, own = k, set()
+                    yield from closed()
+                    now, dealt, own = k, deals > 1, set()
                 own |= features_of([fold(text)])
-        where.update(own)
+        yield from closed()
         names = list(where)
-        for i in range(0, len(names), 50_000):
-            yield batch(schema, names[i : i + 50_000], [where[t] for t in names[i : i + 50_000]])
+        for x in (names[i : i + 50_000] for i in range(0, len(names), 50_000)):
+            yield batch(schema, [None] * len(x), x, [where[t] for t in x])
 
     classes = compact(classed(positives), "positives", 2_000)
-    n = classes.select("class").distinct().count()
-    dealt = classes.repartition(parts(classes.sparkSession), "class").sortWithinPartitions("class")
-    counts = compact(arrow_map(dealt, run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n")).where("n >= 3"), "terms", 500_000)
+    sizes = compact(classes.groupBy("class").agg(F.ceil(F.count("*") / CLASS_ROWS).cast("int").alias("deals")), "sizes", 500_000)
+    n = sizes.count()
+    rows = small_join(classes, sizes, "class").select("class", "text", "deals")
+    dealt = rows.repartition(parts(rows.sparkSession), "class", F.pmod(F.xxhash64("text"), "deals")).sortWithinPartitions("class")
+    counts = arrow_map(dealt, run, "class long, term string, n long").groupBy("class", "term").agg(F.sum("n").alias("n"))
+    counts = compact(counts.groupBy("term").agg(F.sum(F.when(F.col("class").isNull(), F.col("n")).otherwise(1)).alias("n")).where("n >= 3"), "terms", 500_000)
     least = max(3, math.log(100 * max(1, counts.count())) / math.log((n + negatives + 1) / (n + 0.5)))
     return {r.term: r.n for r in counts.where(F.col("n") >= least).collect()}
 

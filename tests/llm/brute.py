@@ -113,3 +113,42 @@ def similar(docs, width=5, num=80, den=100):
                 x, y = find(a), find(b)
                 root[max(x, y)] = min(x, y)
     return [(d, len(sets[d]), find(d)) for d in sets]
+
+
+def lexicon(rows, labels, toxicity):
+    """{term: weight} that toxicity.learn() must find, one text, class and term after another. Folding and minima are the operator's."""
+    own = defaultdict(set)
+    for i, label in labels:
+        if i is not None and label is not None:
+            own[i].add(label)
+    label = {i: min(x) for i, x in own.items() if len(x) == 1}
+    sample = [(t, label[i]) for i, t in rows if t and i in label]
+    texts = sorted({t for t, x in sample if x == 1})
+    group = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if any(a == b for a, b in zip(toxicity.minima(toxicity.fold(texts[i])), toxicity.minima(toxicity.fold(texts[j])), strict=True)):
+                group = [group[j] if g == group[i] else g for g in group]
+    where = defaultdict(set)
+    for t, g in zip(texts, group, strict=True):
+        for w in toxicity.fold(t).split():
+            if len(w) >= 3:
+                for term in [f" {w} ", *(f" {w[:n]}" for n in range(4, 8) if len(w) > n)]:
+                    where[term].add(g)
+    n_pos, negatives, n = sum(x for _, x in sample), [toxicity.fold(t) for t, x in sample if x == 0], len(set(group))
+    tested = sum(len(x) >= 3 for x in where.values())
+    least = max(3, math.log(100 * max(1, tested)) / math.log((n + len(negatives) + 1) / (n + 0.5)))
+    support = {t: len(x) for t, x in where.items() if len(x) >= least}
+    out = {}
+    for t in sorted(support, key=lambda t: (len(t.rstrip(" ")), t)):
+        against = sum(t in x for x in negatives)
+        weight = math.log((support[t] + 0.5) / (n_pos + 1)) - math.log((against + 0.5) / (len(negatives) + 1))
+        if weight >= math.log(30) and against <= 0.02 * support[t] and not any(t.startswith(x) for x in out if len(x) >= 5):
+            more = True
+            while more:
+                more = [x for x in support if len(x) == len(t) + 1 and x.startswith(t) and support[x] == support[t]]
+                if more:
+                    t = min(more)
+            out[t] = min(8.0, weight)
+    base = {f" {t} ": w for t, w in toxicity.TERMS.items()}
+    return out | {t: max(w, out.get(t, 0)) for t, w in base.items()}

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 import brute
 from tessera.llm import anchors, decontam, jaccard, license_scan, linededup, pieces, suffixarray, suffixtree, topk, toxicity, urlfilter
+from tessera.llm.common import spread
 from tessera.llm.components import components
 from tessera.llm.queries import default_model
 from tessera.llm.wordcore import LOWER, SAME, SPACE, Words, column_bytes, window_hashes
@@ -110,6 +111,13 @@ def test_patterned_words_are_told_apart(spark):
     assert sorted(tuple(r)[:5] for r in suffixarray.remove(docs_of(spark, rows)).collect()) == sorted(brute.substrings(rows, 400))
 
 
+def test_buckets_fill_partitions_evenly(spark):
+    """Two buckets for each partition of Spark's own hash."""
+    for n in (1, 4, 51, 211):
+        ids = spark.createDataFrame([(int(i),) for i in spread(2 * n)], "i int")
+        assert {r.n for r in ids.groupBy(F.pmod(F.hash("i"), F.lit(n)).alias("p")).agg(F.count("*").alias("n")).collect()} == {2} and len(set(spread(2 * n).tolist())) == 2 * n
+
+
 def test_word_hashes():
     """Equal just for equal words: lengths around eight bytes, zero bytes, patterns, and windows of any width."""
     import numpy as np
@@ -249,11 +257,26 @@ def _members(forest):
     return by.values()
 
 
+def test_jaccard_templates(spark, monkeypatch):
+    """Many texts of one template, in one group of equal prefix or under the same shingles, of which only some are similar: tiles meet in pairs."""
+    monkeypatch.setattr(jaccard, "SPLIT", 4)
+    monkeypatch.setattr(jaccard, "DENSE", 2)
+    r = random.Random(21)
+    head = [f"h{i}" for i in range(24)]
+    rows = []
+    for i in range(60):
+        tail = [f"t{r.randrange(4)}_{k}" for k in range(10)] if i % 2 else [f"u{r.randrange(3)}_{k // 5}" for k in range(10)]
+        rows.append((i, " ".join(head + tail)))
+    got = jaccard.join(docs_of(spark, rows)).collect()
+    assert sorted(map(tuple, got)) == sorted(brute.similar(rows))
+
+
 @pytest.mark.parametrize("members", [256, 2])
 def test_jaccard(spark, rows, members, monkeypatch):
     monkeypatch.setattr(jaccard, "MEMBERS", members)
     if members == 2:
         monkeypatch.setattr(jaccard, "DENSE", 2)
+        monkeypatch.setattr(jaccard, "SPLIT", 3)
         monkeypatch.setattr(jaccard, "MOST_PAIRS", 0)
         monkeypatch.setattr(jaccard, "MOST", 0)
     got = jaccard.join(docs_of(spark, rows)).collect()
@@ -295,7 +318,8 @@ def test_jaccard_bound_of_a_part(spark, monkeypatch):
     assert sorted(map(tuple, got)) == sorted(brute.similar(rows))
 
 
-def test_components(spark):
+@pytest.mark.parametrize("most", [0, 1_000_000])
+def test_components(spark, most):
     r = random.Random(3)
     links = [(r.randint(0, 300), r.randint(0, 300)) for _ in range(220)] + [(i, i + 1) for i in range(1000, 1100)]
     root = {}
@@ -303,7 +327,7 @@ def test_components(spark):
     for a, b in links:
         x, y = find(a), find(b)
         root[max(x, y)] = min(x, y)
-    got = {c.node: c.component for c in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    got = {c.node: c.component for c in components(spark.createDataFrame(links, "a long, b long"), most).collect()}
     assert got == {n: find(n) for a, b in links for n in (a, b) if a != b}
 
 
@@ -330,7 +354,9 @@ def test_decode_any_ids():
         assert model.decode(ids) == sp.decode(ids)
 
 
-def test_top_k(spark):
+@pytest.mark.parametrize("held", [1 << 30, 100])
+def test_top_k(spark, held, monkeypatch):
+    monkeypatch.setattr(topk, "HELD_BYTES", held)
     r = random.Random(6)
     vectors = [(i, [r.gauss(i % 3, 1) for _ in range(8)]) for i in range(400)] + [(400 + i, [float(i % 2)] * 8) for i in range(60)]
     vectors += [(1000, None), (1020, []), (1040, [float("nan")] * 8), (1060, [None] * 8), (1080, [1.0] * 3), (1001, [2.0] * 3), (1100, [1e7] * 8), (None, [1.0] * 8)]
@@ -364,6 +390,16 @@ def test_url_rules(spark):
     assert all(r.verdict in ("allow", "block") for r in got.values())
 
 
+def test_public_suffixes(spark, tmp_path):
+    path = tmp_path / "suffixes"
+    path.write_text("// a list\ncom\nco.uk\n\n*.ck\n!www.ck\nkawasaki.jp\n*.kawasaki.jp\nуа.орг more\n", encoding="utf-8")
+    hosts = {"a.b.com": ("com", "b.com"), "x.y.co.uk": ("co.uk", "y.co.uk"), "a.b.z.ck": ("z.ck", "b.z.ck"), "a.www.ck": ("ck", "www.ck"), "ck": ("ck", "ck"), "a.b.c.kawasaki.jp": ("c.kawasaki.jp", "b.c.kawasaki.jp"), "other.tld": ("tld", "other.tld"), "com": ("com", "com"), "": ("", "")}
+    df = spark.createDataFrame([(h,) for h in hosts], "host string")
+    suffixes = urlfilter.public_suffixes(str(path))
+    assert suffixes[-1].isascii() and "xn--" in suffixes[-1]
+    assert {r.host: (r.suffix, r.domain) for r in urlfilter.levels(df, suffixes).collect()} == hosts
+
+
 def test_url_reputation_shrinks(spark):
     pages = spark.createDataFrame([(i, f"http://bad.one.org/{i}") for i in range(60)] + [(100 + i, f"http://good{i}.two.org/") for i in range(60)] + [(500, "http://new.one.org/"), (501, "http://new.two.org/")], "page_id long, url string")
     outcomes = spark.createDataFrame([(i, 0) for i in range(60)] + [(100 + i, 1) for i in range(60)], "page_id long, good long")
@@ -427,6 +463,113 @@ def test_license_long_runs(spark):
     assert {r.doc_id: r.licenses for r in license_scan.scan(docs_of(spark, rows)).collect()} == {1: "MIT", 2: "CC-BY-4.0"}
 
 
+CLASH = ["dropped", "__hash", "__doc", "__row", "score", "__score", "id", "doc", "t", "u", "rep", "starts", "ends", "items", "text_", "n", "bins", "tok", "bucket", "body", "k", "good", "rate", "suffix", "domain", "a", "b", "v", "q", "query_id", "rank", "label", "class", "term", "m", "key"]
+
+
+def with_clashes(df, number=False):
+    have = {c.lower() for c in df.columns}
+    return df.select("*", *[(F.lit(7).cast("long") if number else F.lit("clash")).alias(c) for c in CLASH if c not in have])
+
+
+def test_clashing_columns(spark, rows):
+    """Extra columns, named like those inside the operators, change no result, in any of the tables; dedup() keeps them."""
+    plain = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    wide = with_clashes(plain)
+    bench = spark.createDataFrame(ITEMS, "item_id long, text string")
+    same = lambda f: sorted(map(repr, map(tuple, f(plain, lambda x: x).collect()))) == sorted(map(repr, map(tuple, f(wide, with_clashes).collect())))
+    assert same(lambda d, w: decontam.digest(decontam.matches(d, w(bench))))
+    assert same(lambda d, w: suffixarray.remove(d, keep=False)) and same(lambda d, w: suffixtree.remove(d, keep=False))
+    assert same(lambda d, w: linededup.digest(d)) and same(lambda d, w: jaccard.join(d)) and same(lambda d, w: license_scan.scan(d))
+    assert same(lambda d, w: pieces.encode(d, default_model(), keep_ids=False, keep_text=False))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    assert same(lambda d, w: toxicity.score(d, toxicity.learn(d, w(labels))))
+    got = linededup.dedup(wide)
+    assert got.columns == wide.columns and sorted(got.select("doc_id", "text").collect(), key=repr) == sorted(linededup.dedup(plain).collect(), key=repr)
+    assert got.where("__hash <> 'clash' or dropped <> 'clash'").count() == 0
+    pages = spark.createDataFrame([(i, f"http://h{i % 4}.org/{i}") for i in range(20)], "page_id long, url string")
+    outcomes = spark.createDataFrame([(i, i % 2) for i in range(10)], "page_id long, good long")
+    assert sorted(urlfilter.judge(with_clashes(pages), with_clashes(outcomes)).collect()) == sorted(urlfilter.judge(pages, outcomes).collect())
+    vectors = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(50)], "vec_id long, embedding array<double>")
+    more = with_clashes(vectors, True)
+    assert sorted(topk.top_k(more, more.where("vec_id % 20 = 0")).collect()) == sorted(topk.top_k(vectors, vectors.where("vec_id % 20 = 0")).collect())
+
+
+def test_repeated_rows_of_other_operators(spark):
+    """Repeated rows: URL filter, licences, toxicity and search give each row its result, and a repeated query one."""
+    pages = spark.createDataFrame([(1, "http://a.org/x")] * 3 + [(2, None)] * 2, "page_id long, url string")
+    assert urlfilter.judge(pages, spark.createDataFrame([(1, 1)], "page_id long, good long")).count() == 5
+    docs = docs_of(spark, [(1, "Released under the MIT License")] * 3 + [(2, None)] * 2 + [(None, "x")] * 2)
+    got = [(r.doc_id, r.licenses) for r in license_scan.scan(docs).collect()]
+    assert sorted(map(repr, got)) == sorted(map(repr, [(1, "MIT")] * 3 + [(2, "")] * 2 + [(None, "")] * 2))
+    assert toxicity.score(docs, toxicity.Lexicon({})).count() == 7
+    vectors = [(20, [1.0, 2.0]), (20, [1.0, 2.0]), (1, [3.0, 1.0]), (1, [3.0, 1.0]), (2, [0.0, 1.0]), (40, [1.0, 2.0])]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    got = [tuple(r) for r in topk.top_k(df, df.where("vec_id % 20 = 0"), k=3).collect()]
+    assert sorted(got) == sorted([(20, 1, 1, 20480), (20, 2, 1, 20480), (20, 3, 40, 20480), (40, 1, 1, 20480), (40, 2, 1, 20480), (40, 3, 20, 20480)])
+
+
+def test_very_long_texts(spark):
+    """A text of megabytes, with a word, a line and a sentence as long, passes whole through the operators on texts."""
+    r = random.Random(31)
+    body = " ".join("w%d" % r.randrange(10**6) for _ in range(300_000))
+    rows = [(1, body), (2, "x" * 1_500_000 + " " + body[-3000:]), (3, body[:1_000_000] + "\nend of it"), (4, "short")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    item = " ".join(body.split()[299_980:299_995])
+    got = {r.doc_id: (r.n_words, r.n_hit) for r in decontam.digest(decontam.matches(docs, spark.createDataFrame([(1, item)], "item_id long, text string"))).collect()}
+    assert got[1] == (300_000, 15) and got[2][1] == 15 and got[3][1] == 0
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans) for r in suffixarray.remove(docs, keep=False).collect()}
+    assert got[1] == (len(body), 1_003_000, 2) and got[3] == (1_000_010, 1_000_000, 1) and got[2][:2] == (1_503_001, 1_503_000)
+    got = {r.doc_id: (r.n_words, r.n_removed) for r in suffixtree.remove(docs, keep=False).collect()}
+    n, last = len(body[:1_000_000].split()), len(body[-3000:].split())
+    assert got[1] == (300_000, 0) and n - 1 <= got[3][1] <= n and last - 1 <= got[2][1] <= last
+    assert {r.doc_id: (r.n_lines, r.n_dropped) for r in linededup.digest(docs).collect()} == {1: (1, 0), 2: (1, 0), 3: (2, 0), 4: (1, 0)}
+    assert {r.doc_id: r.component_id for r in jaccard.join(docs).collect()} == {1: 1, 2: 2, 3: 3, 4: 4}
+    assert {r.licenses for r in license_scan.scan(docs_of(spark, [(1, body + ". Released under the MIT License"), (2, "Released under " + " " * 2_000_000 + "the MIT License")])).collect()} == {"MIT"}
+    assert toxicity.score(docs_of(spark, [(1, body + " idiot moron")]), toxicity.Lexicon({" idiot ": 6.0, " moron ": 6.0})).first().score > 0.5
+
+
+def test_license_sql(spark):
+    """The operator and its SQL agree on real notices in any layout, on runs of marks and on broken sentences."""
+    duckdb = pytest.importorskip("duckdb")
+    rows = []
+    for text in (MIT, MPL, GPL, BSD, APACHE):
+        for width in (0, 40, 61, 76):
+            for leader in ("", " * ", "# "):
+                lines = [x for part in text.split("\n") for x in (textwrap.wrap(part, width) if width and part else [part])]
+                rows.append((len(rows), "\n".join((leader + x).rstrip() for x in lines)))
+    r = random.Random(13)
+    parts = [*license_scan.SENTENCES.values(), ". ", ".\n", "\n", "\r\n", "\n\n", " ", "!", "...", "\n * ", "x", "v. 2.0", "\t", "é", "S", "N", "/", "|"]
+    rows += [(1000 + i, "".join(r.choice(parts) for _ in range(r.randint(1, 12)))) for i in range(600)] + [(5000, None), (5001, "")]
+    con = duckdb.connect()
+    con.execute("create table documents (doc_id bigint, text varchar)")
+    con.executemany("insert into documents values (?, ?)", rows)
+    want = sorted(con.sql(f"select doc_id, n_known, sentence_ids, licenses from ({license_scan.oracle()})").fetchall())
+    assert sorted(map(tuple, license_scan.scan(docs_of(spark, rows)).select("doc_id", "n_known", "sentence_ids", "licenses").collect())) == want
+    assert sum(bool(w[3]) for w in want) > 100
+
+
+def test_toxicity_learning(spark):
+    """The learnt terms and weights against a plain version, with hot classes of near copies dealt over tasks."""
+    r = random.Random(17)
+    words = ["".join(r.choice("abcdefghij") for _ in range(r.randint(3, 8))) for _ in range(300)]
+    bad = ["zorgblat", "zorgblats", "quxify", "m0ronic"]
+    rows = []
+    for i in range(700):
+        t = " ".join(r.choice(words) for _ in range(25))
+        rows.append((i, t + (" %s %s!" % (r.choice(bad), r.choice(bad)) if i % 5 == 0 else "")))
+    rows += [(1000 + i, rows[0][1] + f" copy{i % 3}") for i in range(40)] + [(2000, None), (2001, ""), (5, rows[5][1])]
+    labels = [(i, int(i % 5 == 0 or i >= 1000)) for i, _ in rows[:-1]] + [(3, 1), (None, 1), (10, None)]
+    want = brute.lexicon(rows, labels, toxicity)
+    for most in (200, 5):
+        toxicity.CLASS_ROWS, before = most, toxicity.CLASS_ROWS
+        try:
+            got = toxicity.learn(docs_of(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int"))
+        finally:
+            toxicity.CLASS_ROWS = before
+        assert got.terms.keys() == want.keys() and all(abs(got.terms[t] - w) < 1e-9 for t, w in want.items())
+        assert any("zorg" in t for t in got.terms) and any("quxi" in t for t in got.terms)
+
+
 def test_repeated_rows_and_nulls(spark):
     """Repeated rows, rows without an id, and null texts pass through every operator."""
     rows = [(1, "a b c d e f g h " * 30), (1, "a b c d e f g h " * 30), (2, "z y x w v u " * 40), (None, "z y x w v u " * 40), (None, None), (3, None), (3, "")]

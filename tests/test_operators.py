@@ -265,6 +265,55 @@ def test_images(spark):
     assert vision.difference_hash(turned).first().dhash == -1
 
 
+def exif(turn, order="<"):
+    import struct
+
+    entry = struct.pack(f"{order}HHIHH", 0x0112, 3, 1, turn, 0)
+    return b"\xff\xd8\xff\xe1\x00\x22Exif\0\0" + (b"II" if order == "<" else b"MM") + struct.pack(f"{order}HI", 42, 8) + struct.pack(f"{order}H", 1) + entry
+
+
+def test_orientation():
+    """The eight orientations: where the first row and column of the stored pixels belong in the upright image."""
+    import numpy as np
+
+    from tessera.functions import vision
+
+    x = np.arange(6).reshape(2, 3, 1)
+    want = {1: [[0, 1, 2], [3, 4, 5]], 2: [[2, 1, 0], [5, 4, 3]], 3: [[5, 4, 3], [2, 1, 0]], 4: [[3, 4, 5], [0, 1, 2]], 5: [[0, 3], [1, 4], [2, 5]], 6: [[3, 0], [4, 1], [5, 2]], 7: [[5, 2], [4, 1], [3, 0]], 8: [[2, 5], [1, 4], [0, 3]]}
+    assert {t: vision.upright(x, t)[..., 0].tolist() for t in want} == want
+    assert [vision.exif_turn(exif(t, o)) for t in want for o in "<>"] == [t for t in want for _ in "<>"]
+    assert [vision.exif_turn(b) for b in (None, b"", b"Exif\0\0", b"Exif\0\0II", exif(6)[:20], exif(9))] == [1] * 6
+
+
+def test_model_url(spark, tmp_path):
+    """Decoded again: turned, in RGB, small sides grown and large ones shrunk; flat stays flat."""
+    import base64
+    import struct
+    import zlib
+
+    import numpy as np
+
+    from tessera.functions import vision
+
+    def read(url):
+        body = base64.b64decode(url.removeprefix("data:image/png;base64,"))
+        w, h = struct.unpack(">II", body[16:24])
+        (n,) = struct.unpack(">I", body[33:37])
+        return np.frombuffer(zlib.decompress(body[41 : 41 + n]), np.uint8).reshape(h, 1 + 3 * w)[:, 1:].reshape(h, w, 3)
+
+    x = np.random.default_rng(1).integers(0, 256, (40, 50, 3), dtype=np.uint8)
+    rows = [(("plain", 40, 50, 3, 16, x.tobytes()), None), (("turned", 40, 50, 3, 16, x.tobytes()), 6), (("grey", 20, 40, 1, 0, bytes([7]) * 800), 1), (("wide", 40, 4096, 4, 24, bytes([1, 2, 3, 255]) * 40 * 4096), 1), (("bad", -1, -1, -1, -1, b""), 1)]
+    got = {r.image.origin: r.url for r in vision.model_url(spark.createDataFrame(rows, f"{IMAGE}, orientation int")).collect()}
+    assert got.pop("bad") is None
+    got = {k: read(u) for k, u in got.items()}
+    assert (got["plain"] == x[..., ::-1]).all() and (got["turned"] == x[..., ::-1].transpose(1, 0, 2)[:, ::-1]).all()
+    assert got["grey"].shape == (32, 64, 3) and (got["grey"] == 7).all() and got["wide"].shape == (20, 2048, 3) and (got["wide"] == [3, 2, 1]).all()
+    (tmp_path / "a.jpg").write_bytes(exif(8))
+    assert vision.orientations(spark.read.format("binaryFile").load(str(tmp_path))).first().orientation == 8
+    ramp = np.tile(np.arange(64.0)[:, None, None], (1, 2, 1))
+    assert np.abs(vision.resized(ramp, 32)[4:-4, 0, 0] - (np.arange(32) * 2 + 0.5)[4:-4]).max() < 1e-6
+
+
 @pytest.mark.parametrize("tile", [2000, 7])
 def test_cosine_pairs(spark, tile, monkeypatch):
     """Against all pairs: hot blocks in tiles, copies paired with the least of them alone, null vectors and those of length 0."""

@@ -45,6 +45,13 @@ def s6(*names: str) -> str:
     return ", ".join(f"round({n}, 6) AS {n}" for n in names)
 
 
+#: Fixed values of the record format, in DuckDB's syntax: an answer block, one at the end, and the final sentence at the end.
+ANSWER_SQL = r"(?is)<answer>.*?</answer>"
+BODY_SQL = r"(?is)<answer>(.*?)</answer>"
+ENDED_ANSWER_SQL = r"(?is)<answer>.*?</answer>\.?\s*$"
+ENDED_BODY_SQL = r"(?is)<answer>(.*?)</answer>\.?\s*$"
+ENDED_SENTENCE_SQL = r"(?is)(?:^|\n)\s*(therefore,\s*the\s*final\s*answer\s*is\s*<answer>.*?</answer>\.?)\s*$"
+
 # Verification ---------------------------------------------------------------------------------------------------
 
 COUNTS = "counts AS (SELECT index, domain, count(*) AS num_rollouts, count(*) FILTER (label = 'A') AS correct_count, count(*) FILTER (label = 'B') AS wrong_count, count(*) FILTER (label = 'C') AS invalid_count, count(*) FILTER (NOT parsed) AS parse_failed_count, count(*) = 4 AND count(*) FILTER (NOT parsed) < 4 AS verify_valid FROM labelled GROUP BY index, domain)"
@@ -94,7 +101,7 @@ def truncate_text(spark, d):
     return table(spark, d, "documents").select("doc_id", T.truncate(F.col("text"), 1000).alias("text"))
 
 
-@query(f"WITH {X.rollouts_sql()}, c AS (SELECT *, substr(response, 1, 40) || chr(10) || '[TRUNCATED]' AS cut, regexp_extract_all(response, '(?is)<answer>.*?</answer>')[-1] AS last FROM rollouts) SELECT index, rollout_id, CASE WHEN response IS NULL THEN '' WHEN length(response) <= 40 THEN response WHEN last IS NOT NULL AND ends_with(response, last) AND NOT contains(cut, last) THEN cut || chr(10) || last ELSE cut END AS text FROM c")
+@query(f"WITH {X.rollouts_sql()}, c AS (SELECT *, substr(response, 1, 40) || chr(10) || '[TRUNCATED]' AS cut, regexp_extract_all(response, '{ANSWER_SQL}')[-1] AS last FROM rollouts) SELECT index, rollout_id, CASE WHEN response IS NULL THEN '' WHEN length(response) <= 40 THEN response WHEN last IS NOT NULL AND ends_with(response, last) AND NOT contains(cut, last) THEN cut || chr(10) || last ELSE cut END AS text FROM c")
 def truncate_keep_answer(spark, d):
     return X.rollouts(spark, d).select("index", "rollout_id", T.truncate_keeping_answer(F.col("response"), 40).alias("text"))
 
@@ -109,20 +116,20 @@ def render_once(spark, d):
     return table(spark, d, "documents").select("doc_id", T.render_once("Judge {{{question}}} as {answer}", {"question": F.col("text"), "answer": F.col("lang")}).alias("prompt"))
 
 
-@query(f"WITH {X.rollouts_sql()} SELECT index, rollout_id, coalesce(regexp_replace(regexp_extract_all(response, '(?is)<answer>(.*?)</answer>', 1)[-1], '^\\s+|\\s+$', '', 'g'), '') AS final_answer, coalesce(regexp_matches(response, '(?is)<answer>.*?</answer>'), false) AS has_answer_tag, CAST(length(response) AS INTEGER) AS response_chars FROM rollouts")
+@query(f"WITH {X.rollouts_sql()} SELECT index, rollout_id, coalesce(regexp_replace(regexp_extract_all(response, '{BODY_SQL}', 1)[-1], '^\\s+|\\s+$', '', 'g'), '') AS final_answer, coalesce(regexp_matches(response, '{ANSWER_SQL}'), false) AS has_answer_tag, CAST(length(response) AS INTEGER) AS response_chars FROM rollouts")
 def extract_answer(spark, d):
     c = F.col("response")
     return X.rollouts(spark, d).select("index", "rollout_id", T.last_answer(c).alias("final_answer"), T.has_answer(c).alias("has_answer_tag"), F.length(c).alias("response_chars"))
 
 
 @query(f"""WITH {X.rollouts_sql()}, s AS (SELECT index, rollout_id, response, {X.STRIP.format("response")} AS t FROM rollouts),
-m AS (SELECT *, regexp_extract(t, '(?is)(?:^|\\n)\\s*(therefore,\\s*the\\s*final\\s*answer\\s*is\\s*<answer>.*?</answer>\\.?)\\s*$') AS sentence, regexp_extract(t, '(?is)<answer>.*?</answer>\\.?\\s*$') AS tail FROM s)
+m AS (SELECT *, regexp_extract(t, '{ENDED_SENTENCE_SQL}') AS sentence, regexp_extract(t, '{ENDED_ANSWER_SQL}') AS tail FROM s)
 SELECT index, rollout_id, CASE WHEN response IS NULL OR t = '' OR contains(lower(response), '<think>') THEN response WHEN sentence <> '' THEN '<think>' || chr(10) || {X.STRIP.format("left(t, length(t) - length(sentence))")} || chr(10) || '</think>' || chr(10) || {X.STRIP.format("sentence")} WHEN tail <> '' THEN '<think>' || chr(10) || {X.STRIP.format("left(t, length(t) - length(tail))")} || chr(10) || '</think>' || chr(10) || 'Therefore, the final answer is ' || {X.STRIP.format("tail")} ELSE '<think>' || chr(10) || t || chr(10) || '</think>' END AS response FROM m""")
 def normalize_tags(spark, d):
     return X.rollouts(spark, d).select("index", "rollout_id", T.normalize_tags(F.col("response")).alias("response"))
 
 
-@query(f"""WITH {X.rollouts_sql()}, m AS (SELECT index, rollout_id, response, regexp_extract(response, '(?is)<answer>(.*?)</answer>\\.?\\s*$') AS tail, regexp_extract(response, '(?is)<answer>(.*?)</answer>\\.?\\s*$', 1) AS body FROM rollouts)
+@query(f"""WITH {X.rollouts_sql()}, m AS (SELECT index, rollout_id, response, regexp_extract(response, '{ENDED_BODY_SQL}') AS tail, regexp_extract(response, '{ENDED_BODY_SQL}', 1) AS body FROM rollouts)
 SELECT index, rollout_id, CASE WHEN trim(body) <> '' THEN left(response, length(response) - length(tail) + 8 + length(body) - length(ltrim(body))) END AS prefix, CASE WHEN trim(body) <> '' THEN trim(body) END AS target FROM m""")
 def split_for_score(spark, d):
     return X.rollouts(spark, d).select("index", "rollout_id", T.score_target(F.col("response")).alias("s")).select("index", "rollout_id", "s.prefix", "s.target")
@@ -234,7 +241,7 @@ def id_projection(spark, d):
 
 # Rollout records ------------------------------------------------------------------------------------------------
 
-GROUPED = "g AS (SELECT index, count(*) AS n, count(error) AS failed, array_to_string(list(rollout_id ORDER BY rollout_id) FILTER (error IS NOT NULL), ',') AS failed_ids, min(rollout_id) FILTER (error IS NOT NULL) AS first_failed, bool_and(error IS NULL AND regexp_matches(response, '(?is)<answer>.*?</answer>')) AS complete FROM rollouts GROUP BY index)"
+GROUPED = f"g AS (SELECT index, count(*) AS n, count(error) AS failed, array_to_string(list(rollout_id ORDER BY rollout_id) FILTER (error IS NOT NULL), ',') AS failed_ids, min(rollout_id) FILTER (error IS NOT NULL) AS first_failed, bool_and(error IS NULL AND regexp_matches(response, '{ANSWER_SQL}')) AS complete FROM rollouts GROUP BY index)"
 
 
 @query(f"WITH {X.rollouts_sql()}, {GROUPED} SELECT index, CAST(n AS INTEGER) AS num_rollouts, CAST(failed AS INTEGER) AS num_failed_rollouts, coalesce(failed_ids, '') AS failed_rollout_ids, failed < n AS rollout_valid FROM g")
@@ -262,7 +269,7 @@ def generate_rollouts(spark, d):
     return generation.gathered(rows, ("doc_id",)).select("doc_id", F.explode("rollouts").alias("r")).select("doc_id", "r.rollout_id", "r.final_answer", "r.has_answer_tag")
 
 
-SCORED = f"WITH {X.rollouts_sql()}, m AS (SELECT index, rollout_id, trim(regexp_extract(response, '(?is)<answer>(.*?)</answer>\\.?\\s*$', 1)) AS target FROM rollouts WHERE response IS NOT NULL), s AS (SELECT *, list_transform(string_split(target, ''), lambda c: -(ord(c) % 7) / 10.0::DOUBLE) AS lp FROM m)"
+SCORED = f"WITH {X.rollouts_sql()}, m AS (SELECT index, rollout_id, trim(regexp_extract(response, '{ENDED_BODY_SQL}', 1)) AS target FROM rollouts WHERE response IS NOT NULL), s AS (SELECT *, list_transform(string_split(target, ''), lambda c: -(ord(c) % 7) / 10.0::DOUBLE) AS lp FROM m)"
 
 
 @query(f"{SCORED} SELECT index, rollout_id, CASE WHEN target = '' THEN 'no answer at the end' END AS score_error, CASE WHEN target <> '' THEN round(list_sum(lp) / len(lp), 6) END AS mean, CASE WHEN target <> '' THEN round(list_sum(lp), 6) END AS sum, CASE WHEN target <> '' THEN CAST(len(lp) AS BIGINT) ELSE 0 END AS count FROM s")
@@ -457,10 +464,13 @@ def semantic_dedup(spark, d):
     return curation.cosine_pairs(rows, "vec_id", "embedding", 0.35).withColumn("cosine", F.round("cosine", 6))
 
 
-@query("SELECT n AS name, v AS value FROM (VALUES ('MODEL_NAME', 'm'), ('MODEL_THINKING', 'true'), ('MODEL_SAMPLING_TOP_P', '0.95'), ('NUM_SPLITS', '100')) t(n, v)")
-def config_flatten(spark, d):
-    flat = config.flatten({"model": {"name": "m", "thinking": True, "sampling": {"top_p": 0.95}, "gpus": [1, 2]}, "num_splits": 100})
-    return spark.createDataFrame(sorted(flat.items()), "name string, value string")
+@query("SELECT CAST(ntile(7) OVER (ORDER BY doc_id) - 1 AS INTEGER) AS split, doc_id, lang, CASE lang WHEN 'de' THEN 'm-de' WHEN 'fr' THEN 'm-fr' ELSE 'm' END AS model, 'true' AS thinking FROM documents")
+def config_splits(spark, d):
+    """Documents split and routed as a nested configuration says, by its flat names."""
+    flat = config.flatten({"num_splits": 7, "model": {"name": "m", "thinking": True, "by_lang": {"de": "m-de", "fr": "m-fr"}, "gpus": [1, 2]}})
+    rows = partition.with_splits(table(spark, d, "documents").select("doc_id", "lang"), int(flat["NUM_SPLITS"]), "doc_id")
+    own = F.try_element_at(F.create_map(*[F.lit(x) for k, v in flat.items() for x in (k, v)]), F.concat(F.lit("MODEL_BY_LANG_"), F.upper("lang")))
+    return rows.select("split", "doc_id", "lang", F.coalesce(own, F.lit(flat["MODEL_NAME"])).alias("model"), F.lit(flat["MODEL_THINKING"]).alias("thinking"))
 
 
 # Distillation ---------------------------------------------------------------------------------------------------

@@ -31,6 +31,7 @@ from tessera.llm.common import arrow_map, batch, prepare, texts_of
 MARK = "▁"
 #: Parts kept by a worker, in two generations of so many each.
 _CACHED_PARTS = 250_000
+_CACHED_PAIRS = 100_000
 _CACHED_CHARS = 40
 
 
@@ -62,7 +63,8 @@ class Pieces:
         self.unk_surface = model.trainer_spec.unk_surface if model.trainer_spec.HasField("unk_surface") else " ⁇ "
         self.auto = ahocorasick.Automaton()
         for p in self.id:
-            self.auto.add_word(p, len(p))
+            if len(p) > 1:  # single characters stand for themselves
+                self.auto.add_word(p, 1 - len(p))
         self.auto.make_automaton()
         #: No piece has a mark after another character: parts can end before a run of marks.
         self.cut_marks = not any(re.search(f"[^{MARK}]{MARK}", p) for p in self.id)
@@ -71,6 +73,9 @@ class Pieces:
         #: Two characters that stand together in no piece part a text.
         self.inside = {p[i : i + 2] for p in self.id for i in range(len(p) - 1)}
         self.pairs: dict[tuple[str, str], bool] = {}
+        self.older_pairs: dict[tuple[str, str], bool] = {}
+        self.wholes: dict[str, bool] = {}
+        self.id_text = {p: f"{i}," for p, i in self.id.items()}
         self.known_ids: dict[str, str] = _Parts(self._ids_text)
         #: Parts whose ids decode to another text than the part itself (with blanks for marks).
         self.altered = 0
@@ -90,12 +95,24 @@ class Pieces:
         return parts
 
     def compatible(self, a: str, b: str) -> bool:
+        """Whether merging the joined text gives exactly these two. Kept in two generations."""
         key = (a, b)
         ok = self.pairs.get(key)
         if ok is None:
-            if len(self.pairs) >= _CACHED_PARTS:
-                self.pairs.clear()
-            ok = self.pairs[key] = self.merged(a + b) == [a, b]
+            ok = self.older_pairs.get(key)
+            if ok is None:
+                ok = self.merged(a + b) == [a, b]
+            if len(self.pairs) >= _CACHED_PAIRS:
+                self.older_pairs = self.pairs
+                self.pairs = {}
+            self.pairs[key] = ok
+        return ok
+
+    def whole(self, piece: str) -> bool:
+        """Whether merging the piece's characters gives the piece: one answer for each of the vocabulary."""
+        ok = self.wholes.get(piece)
+        if ok is None:
+            ok = self.wholes[piece] = self.merged(piece) == [piece]
         return ok
 
     def split(self, text: str) -> list[str]:
@@ -103,14 +120,11 @@ class Pieces:
         n = len(text)
         if n < 2:
             return [text] if n else []
-        if n == 2 or text in self.id:
-            whole = self.merged(text)
-            if len(whole) == 1 or n == 2:
-                return whole
-        longest = [1] * n
-        for end, size in self.auto.iter(text):
-            if size > longest[end - size + 1]:
-                longest[end - size + 1] = size
+        if text in self.id and self.whole(text):
+            return [text]
+        longest = list(range(1, n + 1))  # the end of the longest piece from each place; shorter ones come first
+        for end, back in self.auto.iter(text):
+            longest[end + back] = end + 1
         failed, known, pairs = bytearray(n // 8 + 1), self.id, self.pairs
         at, out, sizes = 0, [], []
         size = longest[0]
@@ -124,7 +138,7 @@ class Pieces:
                         if ok is None:
                             ok = self.compatible(out[-1], piece)
                     else:
-                        ok = size == 1 or self.merged(piece) == [piece]
+                        ok = size == 1 or self.whole(piece)
                     if ok:
                         break
                 size -= 1
@@ -132,7 +146,7 @@ class Pieces:
                 out.append(piece)
                 sizes.append(size)
                 at = end
-                size = longest[at] if at < n else 0
+                size = longest[at] - at if at < n else 0
             else:
                 # the way to this place is the only valid one, so from here no way leads to the end
                 failed[at >> 3] |= 1 << (at & 7)
@@ -160,10 +174,13 @@ class Pieces:
         if cuts:
             known = self.known_ids
             return "".join([known[part[a:z]] for a, z in zip([0, *cuts], [*cuts, len(part)], strict=True)])
-        ids = self.part_ids(part)
-        if self.surface(ids) != part.replace(MARK, " "):
-            self.altered += 1
-        return "".join([f"{i}," for i in ids])
+        try:  # the joined pieces are the part itself
+            return "".join([self.id_text[p] for p in self.split(part)])
+        except KeyError:  # a character outside the vocabulary
+            ids = self.part_ids(part)
+            if self.surface(ids) != part.replace(MARK, " "):
+                self.altered += 1
+            return "".join([f"{i}," for i in ids])
 
     def surface(self, ids) -> str:
         """The text of ids with marks as blanks; a prefix blank is kept. Bytes that are no UTF-8 give U+FFFD each."""

@@ -36,7 +36,7 @@ MOST_COPIES = BROADCAST_BYTES
 #: The runs to ship are sent to the texts by broadcast up to so many bytes, else joined by an exchange.
 MOST_SENT = 32 << 20
 _SENT_BYTES = 64
-#: Runs of one anchor (of one class of the sketch) that are gathered in a task at most.
+#: Runs of one anchor (of one class of the sketch) that are gathered in a task at most, or eight times the mean of all classes if that is more.
 MOST_RUNS = 250_000
 SKETCH_BITS = 20
 _PIECE_BITS = 14
@@ -78,25 +78,31 @@ def live_runs(packed: DataFrame, smaller: bool, limit: int, most: int | None = N
     most = MOST_RUNS if most is None else most
     with Held() as held:
         packed = held(packed)
-        sizes = class_counts(packed)
-        if not (sizes > most).any():
+        sizes = class_counts(packed, RUN, "m")
+        common = sizes > common_size(sizes, most)
+        if not common.any():
             return compact(_gathered(packed, smaller, limit), "runs")
-        every = packed.sparkSession.sparkContext.broadcast(np.where(sizes > most, sizes, 0))
+        every = packed.sparkSession.sparkContext.broadcast(np.where(common, sizes, 0))
         return compact(_gathered(_split(packed, every, hot=False), smaller, limit).unionByName(_ungathered(_split(packed, every, hot=True), smaller, limit, every)), "runs")
 
 
+def common_size(sizes: np.ndarray, most: int) -> float:
+    """Above which a class counts as very common: most, or eight times the mean, as many classes fill in a large corpus without any common value."""
+    return max(most, 8 * sizes.mean())
+
+
 def class_of(m: np.ndarray) -> np.ndarray:
     return (mix(m ^ np.uint64(0x2545F4914F6CDD1D)) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
 
 
-def class_counts(packed: DataFrame) -> np.ndarray:
-    """The number of runs in each of 2**SKETCH_BITS classes of anchors: eight megabytes, at any size of input."""
+def class_counts(packed: DataFrame, kind: np.dtype, field: str) -> np.ndarray:
+    """The number of records in each of 2**SKETCH_BITS classes of a field's values: eight megabytes, at any size of input."""
 
     def run(batches):
         total = np.zeros(1 << SKETCH_BITS, np.int64)
         for b in batches:
             for body in b.column("body").to_pylist():
-                total += np.bincount(class_of(np.frombuffer(body, RUN)["m"]), minlength=len(total))
+                total += np.bincount(class_of(np.frombuffer(body, kind)[field]), minlength=len(total))
         for k, x in enumerate(total.reshape(-1, 1 << _PIECE_BITS)):
             if x.any():
                 yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([x.astype(np.uint32 if x.max() < 2**32 else np.int64).tobytes()], pa.binary())], names=["bucket", "body"])

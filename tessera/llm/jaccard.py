@@ -14,6 +14,10 @@ components are formed, of groups parted by component and expanded into members,
 bound of their overlap (the sum of least counts of 256 hash classes), and compared.
 No link between components is lost; links inside one need not be made. A
 centre's members are compared in blocks of a bounded number.
+
+Shingles with very many postings are told by a count sketch. Theirs are not
+gathered: each meets the shingle's least group, found by a minimum that is
+taken map-side first, and in the second round tiles of them meet in pairs.
 """
 
 from __future__ import annotations
@@ -23,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm import anchors
 from tessera.llm.common import BROADCAST_BYTES, PACKED_DDL, Held, Packer, arrow_groups, arrow_map, batch, bucket_of, bytes_of, compact, parts, prepare, small_join, starts, unpack
 from tessera.llm.components import components
 from tessera.llm.wordcore import LOWER, SPACE, Words, chunks, column_bytes, inside_rows, mix, window_hashes
@@ -39,11 +44,13 @@ _POST = np.dtype([("tok", np.uint64), ("gid", np.int64), ("n", np.int32), ("pos"
 DENSE = 16
 _EDGE = np.dtype([("b", np.int64), ("a", np.int64), ("k", np.int32)])
 #: A shingle of more groups is dealt into tiles of about so many, which meet in pairs in different tasks.
-SPLIT = 2_048
+SPLIT = 512
 #: side: 1 and 2 of a pair of tiles, whose entries meet those of the other side only; else 0.
 _LIVE = np.dtype([("tok", np.uint64), ("gid", np.int64), ("n", np.int32), ("pos", np.int32), ("comp", np.int64), ("side", np.int8)])
 _INFO = np.dtype([("gid", np.int64), ("comp", np.int64), ("sub", np.int64), ("n", np.int64), ("bins", np.uint8, BINS)])
 _SHARED = np.dtype([*_POST.descr, ("df", np.int32)])
+#: Postings of one shingle (of one class of a count sketch) that are gathered in a task at most, or eight times the mean of all classes if that is more.
+MOST_POSTS = 250_000
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -178,11 +185,66 @@ def postings(groups: DataFrame, buckets: int) -> DataFrame:
     return arrow_map(groups.select("doc", "n", "prefix"), run, PACKED_DDL)
 
 
-def shared_postings(packed: DataFrame, buckets: int) -> DataFrame:
-    """The postings of shingles that several groups have, packed by group."""
+def very_common(packed: DataFrame):
+    """The classes of shingles with too many postings for a task, as a broadcast of a bit for each class; None if there are none."""
+    sizes = anchors.class_counts(packed, _POST, "tok")
+    common = sizes > anchors.common_size(sizes, MOST_POSTS)
+    return packed.sparkSession.sparkContext.broadcast(common) if common.any() else None
+
+
+def headed(packed: DataFrame, common) -> DataFrame:
+    """(tok, gid, n, pos, head, df) of the postings of very common shingles, each beside the shingle's least group (head: gid, n, pos). Nothing is gathered by shingle but that minimum."""
+    schema = pa.schema([("tok", pa.int64()), ("gid", pa.int64()), ("n", pa.int32()), ("pos", pa.int32())])
+
+    def run(batches):
+        for b in batches:
+            r = unpack(pa.Table.from_batches([b]), _POST)
+            r = r[common.value[anchors.class_of(r["tok"])]]
+            yield batch(schema, r["tok"].copy().view(np.int64), r["gid"], r["n"], r["pos"])
+
+    rows = arrow_map(packed, run, "tok long, gid long, n int, pos int")
+    heads = compact(rows.groupBy("tok").agg(F.min(F.struct("gid", "n", "pos")).alias("head"), F.count("*").alias("df")).where("df > 1"), "heads", 500_000)
+    return compact(small_join(rows, heads, "tok").select("tok", "gid", "n", "pos", F.col("head.gid").alias("gid0"), F.col("head.n").alias("n0"), F.col("head.pos").alias("pos0"), F.least("df", F.lit(1 << 30)).cast("int").alias("df")), "headed", 500_000)
+
+
+def repacked(rows: DataFrame, kind: np.dtype, make, by: str, buckets: int) -> DataFrame:
+    """Records of a kind, made of headed() rows (as arrays by name), packed by a field."""
+
+    def run(batches):
+        pack = Packer(buckets, 16 << 20)
+        for b in batches:
+            r = make({n: b.column(i).to_numpy(zero_copy_only=False) for i, n in enumerate(b.schema.names)})
+            yield from pack.add(bucket_of(mix(r[by].copy().view(np.uint64)), buckets), r)
+        yield from pack.flush()
+
+    return arrow_map(rows, run, PACKED_DDL)
+
+
+def as_shared(x: dict) -> np.ndarray:
+    r = np.empty(len(x["tok"]), _SHARED)
+    r["tok"] = x["tok"].view(np.uint64)
+    for name in ("gid", "n", "pos", "df"):
+        r[name] = x[name]
+    return r
+
+
+def as_edges(num: int, den: int):
+    def make(x: dict) -> np.ndarray:
+        ok = (x["gid0"] < x["gid"]) & fits(x["n0"].astype(np.int64), x["pos0"], x["n"].astype(np.int64), x["pos"], num, den)
+        e = np.empty(int(ok.sum()), _EDGE)
+        e["a"], e["b"], e["k"] = x["gid0"][ok], x["gid"][ok], 1
+        return e
+
+    return make
+
+
+def shared_postings(packed: DataFrame, buckets: int, common=None) -> DataFrame:
+    """The postings of shingles that several groups have, packed by group; without those of very common classes."""
 
     def group(t: pa.Table) -> pa.Table:
         r = unpack(t, _POST)
+        if common is not None:
+            r = r[~common.value[anchors.class_of(r["tok"])]]
         r = r[np.argsort(r["tok"], kind="stable")]
         at = starts(r["tok"])
         size = np.diff(np.r_[at, len(r)])
@@ -198,13 +260,15 @@ def shared_postings(packed: DataFrame, buckets: int) -> DataFrame:
     return arrow_groups(packed.groupBy("bucket"), group, PACKED_DDL)
 
 
-def centres(live: DataFrame, buckets: int, num: int, den: int) -> DataFrame:
-    """(a, b): for each group b the group a < b that shares most shingles with it, of those that are the least group of a shared shingle."""
+def centres(live: DataFrame, buckets: int, num: int, den: int, common=None, more: DataFrame | None = None) -> DataFrame:
+    """(a, b): for each group b the group a < b that shares most shingles with it, of those that are the least group of a shared shingle. more: the edges of very common shingles, which aren't gathered here."""
 
     def by_token(batches):
         pack = Packer(buckets, 16 << 20)
         for b in batches:
             r = unpack(pa.Table.from_batches([b]), _SHARED)
+            if common is not None:
+                r = r[~common.value[anchors.class_of(r["tok"])]]
             yield from pack.add(bucket_of(mix(r["tok"]), buckets), r)
         yield from pack.flush()
 
@@ -237,7 +301,8 @@ def centres(live: DataFrame, buckets: int, num: int, den: int) -> DataFrame:
         e = e[starts(e["b"])]
         return pa.table({"a": pa.array(e["a"], pa.int64()), "b": pa.array(e["b"], pa.int64())})
 
-    return arrow_groups(arrow_groups(arrow_map(live, by_token, PACKED_DDL).groupBy("bucket"), edges, PACKED_DDL).groupBy("bucket"), best, "a long, b long")
+    found = arrow_groups(arrow_map(live, by_token, PACKED_DDL).groupBy("bucket"), edges, PACKED_DDL)
+    return arrow_groups((found if more is None else found.unionByName(more)).groupBy("bucket"), best, "a long, b long")
 
 
 def reachable(u: np.ndarray, v: np.ndarray, na: np.ndarray, nb: np.ndarray, num: int, den: int) -> np.ndarray:
@@ -456,10 +521,16 @@ def join(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, id_col:
         alike = compact(sets.groupBy("n", "p").agg(F.min("doc").alias("leader"), F.count("*").alias("k")).where("k > 1").drop("k"), "groups")
         grouped = small_join(sets, alike, ["n", "p"], "left", MOST)
         leaders = grouped.where("leader is null or leader = doc")
-        live = compact(shared_postings(postings(leaders, buckets), buckets), "live", 5_000)
+        packed = held(postings(leaders, buckets))
+        common, more = very_common(packed), None
+        live = shared_postings(packed, buckets, common)
+        if common is not None:
+            hot = headed(packed, common)
+            live, more = live.unionByName(repacked(hot, _SHARED, as_shared, "gid", buckets)), repacked(hot, _EDGE, as_edges(num, den), "b", buckets)
+        live = compact(live, "live", 5_000)
         members = compact(grouped.where("leader is not null").select("leader", "doc"), "members")
 
-        first = centres(live, buckets, num, den).unionByName(members.where("leader <> doc").select(F.col("leader").alias("a"), F.col("doc").alias("b")))
+        first = centres(live, buckets, num, den, common, more).unionByName(members.where("leader <> doc").select(F.col("leader").alias("a"), F.col("doc").alias("b")))
         links = compact(verified(first, texts, width, num, den), "links")
         comps = compact(components(links), "components")
         # candidates between components: pairs of groups' parts, each of one component, expanded into members, and pairs inside a group

@@ -261,6 +261,7 @@ def test_jaccard_templates(spark, monkeypatch):
     """Many texts of one template, in one group of equal prefix or under the same shingles, of which only some are similar: tiles meet in pairs."""
     monkeypatch.setattr(jaccard, "SPLIT", 4)
     monkeypatch.setattr(jaccard, "DENSE", 2)
+    monkeypatch.setattr(jaccard, "MOST_POSTS", 20)
     r = random.Random(21)
     head = [f"h{i}" for i in range(24)]
     rows = []
@@ -277,6 +278,7 @@ def test_jaccard(spark, rows, members, monkeypatch):
     if members == 2:
         monkeypatch.setattr(jaccard, "DENSE", 2)
         monkeypatch.setattr(jaccard, "SPLIT", 3)
+        monkeypatch.setattr(jaccard, "MOST_POSTS", 0)
         monkeypatch.setattr(jaccard, "MOST_PAIRS", 0)
         monkeypatch.setattr(jaccard, "MOST", 0)
     got = jaccard.join(docs_of(spark, rows)).collect()

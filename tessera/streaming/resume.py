@@ -22,14 +22,15 @@ def run(spark: SparkSession, source: str, schema: str, target: str, failed: str,
 
     def each(batch: DataFrame, number: int) -> None:
         new = batch.where(F.col(key).isNotNull()).dropDuplicates([key])
-        # what this batch itself left in an earlier attempt is done again and replaced, whole
-        done = stored(spark, target, f"`{key}` {dict(batch.dtypes)[key]}, batch long")
+        # what this batch itself left in an earlier attempt is done again and replaced, whole; other checkpoints' batches have other names
+        own = f"{spark.sparkContext.getLocalProperty('sql.streaming.queryId')}-{number}"
+        done = stored(spark, target, f"`{key}` {dict(batch.dtypes)[key]}, batch string")
         if done is not None:
-            new = new.join(done.where(F.col("batch") != number).select(key), key, "left_anti")
+            new = new.join(done.where(F.col("batch") != own).select(key), key, "left_anti")
         results = cut(work(new))
         ok = F.coalesce(F.col(valid), F.lit(False))
-        results.where(ok).write.mode("overwrite").parquet(f"{target}/batch={number}")
-        results.where(~ok).write.mode("overwrite").parquet(f"{failed}/batch={number}")
+        results.where(ok).write.mode("overwrite").parquet(f"{target}/batch={own}")
+        results.where(~ok).write.mode("overwrite").parquet(f"{failed}/batch={own}")
 
     rows = spark.readStream.format(form).schema(schema).load(source)
     rows.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()

@@ -215,6 +215,27 @@ def test_resume_twice_is_once(spark, tmp_path):
     assert resume.finished(got, 2) and not resume.finished(got, 3) and not resume.finished(None, 0)
 
 
+def test_resume_with_another_checkpoint(spark, tmp_path):
+    """A lost checkpoint offers everything again: what is stored stays and is not done twice."""
+    d = {k: str(tmp_path / k) for k in ("in", "out", "failed")}
+    work = lambda b: b.withColumn("valid", F.lit(True))
+    for k, rows in enumerate((range(5), range(5, 9))):
+        spark.createDataFrame([(i,) for i in rows], "id long").coalesce(1).write.mode("append").parquet(d["in"])
+        resume.run(spark, d["in"], "id long", d["out"], d["failed"], str(tmp_path / f"check{k}"), work)
+    got = resume.stored(spark, d["out"])
+    assert sorted(r.id for r in got.collect()) == list(range(9)) and len({r.batch for r in got.select("batch").collect()}) == 2
+
+
+def test_cluster_needs_a_shared_folder(monkeypatch):
+    from types import SimpleNamespace
+
+    from tessera.session import shared_dir
+
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None, getConf=lambda: {})
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(SimpleNamespace(sparkContext=context, conf={}))
+
+
 def test_sources(spark, tmp_path):
     p = str(tmp_path / "log.jsonl")
     with open(p, "w") as f:

@@ -10,7 +10,8 @@ blocked, and are shared by all shards that a task holds.
 Queries are written to the shared folder in blocks of a bounded size. A task
 holds the trees of a bounded number of its candidates and takes the blocks'
 files one after another, so that candidates are read once, a task's memory is
-that of some trees and a block, and no queries pass through the driver.
+that of some trees and a block, and no queries pass through the driver. (Where
+Arrow has no file system for the shared folder, a few blocks at a time are broadcast.)
 Components become floor(scale * x); products and sums of integers are exact
 (float64 below 2**53, else int64).
 """
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import PACKED_DDL, Packer, arrow_groups, arrow_map, batch, bucket_of, parts, prepare, unpack, written
+from tessera.llm.common import PACKED_DDL, Packer, arrow_groups, arrow_map, batch, bucket_of, compact, parts, prepare, unpack, written
 from tessera.llm.wordcore import mix
 
 LEAF = 64
@@ -30,6 +31,8 @@ SHARD = 8192
 #: Bytes of candidates (as 64-bit numbers) whose trees a task holds.
 HELD_BYTES = 48 << 20
 QUERY_BLOCK = 16_384
+#: Blocks that are broadcast together where Arrow can't read the shared folder.
+WAVE = 4
 SEED_ROWS = 4096
 _HIT = np.dtype([("q", np.int32), ("id", np.int64), ("score", np.int64)])
 #: A hit on its way to its query: block and place in it name the query.
@@ -179,17 +182,34 @@ def blocked(q: DataFrame, seeds: dict[int, tuple[np.ndarray, np.ndarray]], k: in
     return arrow_groups(numbered.groupBy("block"), pack, "width int, block int, ids binary, vectors binary, floor binary")
 
 
+def opened(name: str):
+    """(file system, path) of a file that Spark has named."""
+    from pyarrow.fs import FileSystem
+
+    return FileSystem.from_uri(f"s3{name[3:]}" if name.startswith("s3a:") else name)
+
+
 def read_blocks(files: list[str]):
     """The blocks of the files in the shared folder, one at a time: (width, block, ids, vectors, floor)."""
     import pyarrow.parquet as pq
-    from pyarrow.fs import FileSystem
 
     for name in files:
-        system, path = FileSystem.from_uri(name)
+        system, path = opened(name)
         with system.open_input_file(path) as f:
             for b in pq.ParquetFile(f).iter_batches(batch_size=1):
-                for r in b.to_pylist():
-                    yield r["width"], r["block"], np.frombuffer(r["ids"], np.int64), whole(np.frombuffer(r["vectors"], np.int64).reshape(-1, r["width"])), np.frombuffer(r["floor"], np.int64)
+                yield from map(unpacked, b.to_pylist())
+
+
+def unpacked(r) -> tuple[int, int, np.ndarray, np.ndarray, np.ndarray]:
+    return r["width"], r["block"], np.frombuffer(r["ids"], np.int64), whole(np.frombuffer(r["vectors"], np.int64).reshape(-1, r["width"])), np.frombuffer(r["floor"], np.int64)
+
+
+def readable(files: list[str]) -> bool:
+    """Whether Arrow knows the shared folder's file system."""
+    try:
+        return all(opened(f) for f in files[:1])
+    except Exception:  # noqa: BLE001  a scheme that Arrow has not, or was not built with
+        return False
 
 
 def top_k(candidates: DataFrame, queries: DataFrame, k: int = 20, scale: float = 64.0, id_col: str = "vec_id", vec_col: str = "embedding", block: int = QUERY_BLOCK) -> DataFrame:
@@ -219,10 +239,11 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int = 20, scale: float =
         got = c.where((F.size("v") == w) & (F.pmod(F.xxhash64("id"), F.lit(step)) == 0)).limit(2 * SEED_ROWS).toArrow()
         if got.num_rows:
             seeds[w] = got.column("id").to_numpy(), np.stack(got.column("v").to_pandas().to_numpy()).astype(np.int64)
-    files = written(blocked(q, seeds, k, blocks), "queries").inputFiles()
+    sent = written(blocked(q, seeds, k, blocks), "queries")
+    files = sent.inputFiles()
     buckets = 2 * parts(spark)
 
-    def run(batches):
+    def run(batches, blocks_of):
         held: dict[int, list] = {}
         size = 0
         for b in batches:
@@ -233,19 +254,19 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int = 20, scale: float =
                     held.setdefault(w, []).append((own.column(0).to_numpy(zero_copy_only=False), matrix(own.column(1), w)))
                     size += own.num_rows * w * 8
             if size >= HELD_BYTES:
-                yield from answered(held)
+                yield from answered(held, blocks_of)
                 held, size = {}, 0
         if held:
-            yield from answered(held)
+            yield from answered(held, blocks_of)
 
-    def answered(held):
+    def answered(held, blocks_of):
         trees = {}
         for w, own in held.items():
             ids, v = np.concatenate([x for x, _ in own]), np.concatenate(same(*[m for _, m in own]))
             trees[w] = [(ids[i : i + SHARD], v[i : i + SHARD], BallTree(v[i : i + SHARD].astype(np.float64))) for i in range(0, len(ids), SHARD)]
         held.clear()
         pack = Packer(buckets)
-        for w, number, q_ids, q, floor in read_blocks(files):
+        for w, number, q_ids, q, floor in blocks_of():
             top = Best(len(q_ids), k, floor)
             norms = np.sqrt((q.astype(np.float64) ** 2).sum(1))
             for ids, v, tree in trees.get(w, ()):
@@ -268,4 +289,13 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int = 20, scale: float =
         return pa.Table.from_batches([batch(schema, h["query"], (rank + 1).astype(np.int32), h["id"], h["score"])])
 
     c = c.where(F.size("v").isin(list(sizes)))
-    return arrow_groups(arrow_map(c, run, PACKED_DDL).groupBy("bucket"), merge, "query_id long, rank int, id long, score long").withColumnRenamed("id", id_col)
+    if readable(files):
+        hits = arrow_map(c, lambda batches: run(batches, lambda: read_blocks(files)), PACKED_DDL)
+    else:  # the blocks are broadcast a few at a time, each time over all candidates
+        hits = None
+        for first in range(0, at, WAVE):
+            some = spark.sparkContext.broadcast([r.asDict() for r in sent.where(F.col("block").between(first, first + WAVE - 1)).collect()])
+            found = compact(arrow_map(c, lambda batches, some=some: run(batches, lambda: map(unpacked, some.value)), PACKED_DDL), "hits", 5_000)
+            some.unpersist()
+            hits = found if hits is None else hits.unionByName(found)
+    return arrow_groups(hits.groupBy("bucket"), merge, "query_id long, rank int, id long, score long").withColumnRenamed("id", id_col)

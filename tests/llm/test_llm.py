@@ -356,9 +356,12 @@ def test_decode_any_ids():
         assert model.decode(ids) == sp.decode(ids)
 
 
-@pytest.mark.parametrize("held", [1 << 30, 100])
-def test_top_k(spark, held, monkeypatch):
+@pytest.mark.parametrize(("held", "files"), [(1 << 30, True), (100, True), (5000, False)])
+def test_top_k(spark, held, files, monkeypatch):
     monkeypatch.setattr(topk, "HELD_BYTES", held)
+    assert topk.readable(["file:///tmp/x"]) and not topk.readable(["nosuch://host/x"])
+    if not files:
+        monkeypatch.setattr(topk, "readable", lambda names: False)
     r = random.Random(6)
     vectors = [(i, [r.gauss(i % 3, 1) for _ in range(8)]) for i in range(400)] + [(400 + i, [float(i % 2)] * 8) for i in range(60)]
     vectors += [(1000, None), (1020, []), (1040, [float("nan")] * 8), (1060, [None] * 8), (1080, [1.0] * 3), (1001, [2.0] * 3), (1100, [1e7] * 8), (None, [1.0] * 8)]

@@ -25,7 +25,7 @@ def prepare(spark: SparkSession) -> None:
     find_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     try:
-        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
     except Exception as e:  # noqa: BLE001  an older Spark without the setting keeps the bound on rows
         if "maxBytesPerBatch" not in str(e):
             raise

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Held, arrow_map, batch, compact, fresh, parts, prepare, starts, texts_of
+from tessera.llm.common import Held, arrow_map, batch, compact, fresh, parts, prepare, starts
 from tessera.llm.wordcore import LOWER, SPACE, Words, chunks, column_bytes, digests
 
 _CHUNK = 1 << 18
@@ -139,8 +139,7 @@ def dropped_lines(lines: DataFrame, copies: int, n: int) -> DataFrame:
         for b in batches:
             if b.num_rows:
                 drop, open_ = decider.add(*[b.column(x).to_numpy(zero_copy_only=False) for x in range(5)])
-                yield rows(drop, True)
-                yield rows(open_, False)
+                yield from (rows(x, decided) for x, decided in ((drop, True), (open_, False)) if len(x[0]))
         yield rows(decider.held, False)
         for (h1, h2), docs in decider.tops.items():
             yield batch(schema, [h1], [h2], [None], [None], [None], [docs])
@@ -222,7 +221,10 @@ def digest(docs: DataFrame, copies: int = 3, least: int = 20, id_col: str = "doc
 
     def run(batches):
         for b in batches:
-            out = [kept_text(t, d) for t, d in zip(texts_of(b.column(1)), b.column(2).to_pylist(), strict=True)]
-            yield batch(schema, b.column(0), [n for _, n, _ in out], [d for _, _, d in out], [hashlib.sha256(t.encode()).hexdigest() for t, _, _ in out])
+            lines, lost, sha = [], [], []
+            for i in range(b.num_rows):  # one text after another, so that a batch is not held twice
+                text, n, d = kept_text(b.column(1)[i].as_py() or "", b.column(2)[i].as_py())
+                lines.append(n), lost.append(d), sha.append(hashlib.sha256(text.encode()).hexdigest())
+            yield batch(schema, b.column(0), lines, lost, sha)
 
     return arrow_map(rows.select(F.col(id_col).cast("long"), text_col, bitmap), run, "id long, n_lines long, n_dropped long, kept_sha256 string").withColumnRenamed("id", id_col)

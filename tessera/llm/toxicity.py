@@ -113,9 +113,9 @@ def classed(positives: DataFrame) -> DataFrame:
             yield batch(schema, np.repeat(t.to_numpy(), _MINIMA), np.tile(np.arange(_MINIMA, dtype=np.int32), n), m)
 
     texts = positives.select(F.xxhash64("text").alias("t"), "text").dropDuplicates(["t"])
-    shared = arrow_map(texts, run, "t long, k int, m long")
-    least = shared.groupBy("k", "m").agg(F.min("t").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n")
-    links = shared.join(least, ["k", "m"]).where("a <> t").select("a", F.col("t").alias("b"))
+    shared = compact(arrow_map(texts, run, "t long, k int, m long"), "minima", 500_000)
+    least = compact(shared.groupBy("k", "m").agg(F.min("t").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n"), "least", 500_000)
+    links = small_join(shared, least, ["k", "m"]).where("a <> t").select("a", F.col("t").alias("b"))
     own = components(links).withColumnRenamed("node", "t")
     return texts.join(own, "t", "left").select(F.coalesce("component", "t").alias("class"), "text")
 
